@@ -11,7 +11,7 @@ BUCKET_DIGITS = 3
 
 
 def shuffle_key(text: Column, seed: int = SEED) -> Column:
-    """A reproducible random order of texts, the same in every engine."""
+    """A reproducible random order of texts (or of their hashes), the same in every engine."""
     return F.md5(F.concat(F.lit(f"{seed}:"), text))
 
 
@@ -41,7 +41,7 @@ def with_shuffled_rank(df: DataFrame, group: str, key: Column, digits: int = BUC
 
 
 def stratified_folds(
-    df: DataFrame, group: str, folds: int = FOLDS, seed: int = SEED, text: str = "text", exact: bool = True
+    df: DataFrame, group: str, folds: int = FOLDS, seed: int = SEED, text: str = "text_hash", exact: bool = True
 ) -> DataFrame:
     """Add `fold` in 0..folds-1, balanced inside every group.
 
@@ -75,7 +75,7 @@ def split_quotas(counts: DataFrame, group: str, share: float = TEST_SHARE) -> Da
 
 
 def stratified_split(
-    df: DataFrame, group: str, share: float = TEST_SHARE, seed: int = SEED, text: str = "text"
+    df: DataFrame, group: str, share: float = TEST_SHARE, seed: int = SEED, text: str = "text_hash"
 ) -> DataFrame:
     """Add `split` ('train' or 'test'); every group gives its share of the test rows."""
     ranked = with_shuffled_rank(df, group, shuffle_key(F.col(text), seed))

@@ -14,7 +14,6 @@ from lexigauge.config import SIGNALS
 from lexigauge.functions.exprs import small
 
 INTERCEPT = "[intercept]"
-WEIGHT_SCHEMA = "model int, key string, slot int, is_term boolean, idf double, mean double, std double"
 
 
 def signal_key(name: str) -> str:
@@ -47,8 +46,8 @@ def signal_scaler(df: DataFrame) -> DataFrame:
     return df.agg(*scaler()).select(F.inline(cells))
 
 
-def term_weight_rows(vocabulary: DataFrame) -> DataFrame:
-    """Weight-table rows from (model, term, idx, idf)."""
+def term_weight_rows(vocabulary: DataFrame, *extra: str) -> DataFrame:
+    """Weight-table rows from (model, term, idx, idf), with the columns `extra` behind."""
     return vocabulary.select(
         F.col("model").cast("int").alias("model"),
         F.col("term").alias("key"),
@@ -57,11 +56,12 @@ def term_weight_rows(vocabulary: DataFrame) -> DataFrame:
         "idf",
         F.lit(None).cast("double").alias("mean"),
         F.lit(None).cast("double").alias("std"),
+        *extra,
     )
 
 
-def signal_weight_rows(scale: DataFrame) -> DataFrame:
-    """Weight-table rows from (model, pos, name, mean, std)."""
+def signal_weight_rows(scale: DataFrame, *extra: str) -> DataFrame:
+    """Weight-table rows from (model, pos, name, mean, std), with the columns `extra` behind."""
     return scale.select(
         F.col("model").cast("int").alias("model"),
         F.concat(F.lit("["), F.col("name"), F.lit("]")).alias("key"),
@@ -70,6 +70,21 @@ def signal_weight_rows(scale: DataFrame) -> DataFrame:
         F.lit(None).cast("double").alias("idf"),
         "mean",
         "std",
+        *extra,
+    )
+
+
+def intercept_rows(intercepts: DataFrame) -> DataFrame:
+    """Weight-table rows with `coef` from (model, intercept): a feature that is 1 in every document."""
+    return intercepts.select(
+        F.col("model").cast("int").alias("model"),
+        F.lit(INTERCEPT).alias("key"),
+        F.lit(None).cast("int").alias("slot"),
+        F.lit(False).alias("is_term"),
+        F.lit(None).cast("double").alias("idf"),
+        F.lit(0.0).alias("mean"),
+        F.lit(1.0).alias("std"),
+        F.col("intercept").cast("double").alias("coef"),
     )
 
 

@@ -15,7 +15,7 @@ from lexigauge.config import (
 from lexigauge.operators.rank import top_per_group
 from lexigauge.operators.vocab import part_statistics, smoothed_idf
 from lexigauge.operators.weights import (
-    INTERCEPT, WEIGHT_SCHEMA, feature_vectors, scaler, signal_weight_rows, term_weight_rows,
+    feature_vectors, intercept_rows, scaler, signal_weight_rows, term_weight_rows,
 )
 from lexigauge.sources.scratch import materialize
 
@@ -42,20 +42,12 @@ class Model:
     @staticmethod
     def from_tables(terms: DataFrame, numeric: DataFrame, meta: DataFrame, rows: int) -> "Model":
         """From (term, idx, idf, coef), (name, pos, mean, std, coef) and (intercept)."""
-        zero = F.lit(0).alias("model")
-        term_rows = term_weight_rows(terms.select(zero, "term", "idx", "idf"))
-        signal_rows = signal_weight_rows(numeric.select(zero, "pos", "name", "mean", "std"))
-        coefs = terms.select(F.col("term").alias("key"), "coef").unionByName(
-            numeric.select(F.concat(F.lit("["), "name", F.lit("]")).alias("key"), "coef")
+        weights = (
+            term_weight_rows(terms.withColumn("model", F.lit(0)), "coef")
+            .unionByName(signal_weight_rows(numeric.withColumn("model", F.lit(0)), "coef"))
+            .unionByName(intercept_rows(meta.withColumn("model", F.lit(0))))
         )
-        weights = term_rows.unionByName(signal_rows).join(coefs, "key")
-        columns = [*weights.columns]
-        intercept = meta.select(
-            F.lit(INTERCEPT).alias("key"), zero, F.lit(None).cast("int").alias("slot"), F.lit(False).alias("is_term"),
-            F.lit(None).cast("double").alias("idf"), F.lit(0.0).alias("mean"), F.lit(1.0).alias("std"),
-            F.col("intercept").cast("double").alias("coef"),
-        )
-        return Model(weights.unionByName(intercept.select(*columns)), rows)
+        return Model(weights, rows)
 
 
 def trial_vocabularies(
@@ -154,8 +146,6 @@ def fit_trials(
     coefs = spark.createDataFrame(
         [(m, slot, float(c)) for m, _, cs in results for slot, c in enumerate(cs)], "model int, slot int, coef double"
     )
-    intercepts = spark.createDataFrame(
-        [(m, INTERCEPT, None, False, None, 0.0, 1.0, float(b)) for m, b, _ in results], f"{WEIGHT_SCHEMA}, coef double"
-    )
-    fitted = weights.join(coefs, ["model", "slot"]).select(*intercepts.columns).unionByName(intercepts)
+    intercepts = spark.createDataFrame([(m, float(b)) for m, b, _ in results], "model int, intercept double")
+    fitted = weights.join(coefs, ["model", "slot"]).unionByName(intercept_rows(intercepts))
     return Model(materialize(fitted, "model"), rows)

@@ -16,7 +16,7 @@ from lexigauge.functions.clean import NOT_SPACE, decode_subject
 
 ORDER = ("file", "part_start", "row_no", "piece")
 # Line ends that only Unicode-aware splitters know; the reader has split at the others.
-_LINE_ENDS = r"[\x0b\x0c\x1c-\x1e\x85  ]"
+_LINE_ENDS = r"[\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 
 def _position() -> list[Column]:
