@@ -237,7 +237,7 @@ ORACLES = {
         WHERE regexp_matches(low, '(^|[^a-z0-9])' || regexp_escape(term))""",
     "top_words": f"WITH {_LABELLED}, {_WORDS} SELECT grp, rank, word, docs, round(pct, 6) AS pct FROM words",
     "rollup_counts": f"""WITH {_LABELLED}
-        SELECT origin, y, grouping(origin, y)::INT AS level, count(*) AS n_rows, count(DISTINCT text) AS distinct_texts
+        SELECT coalesce(origin, 'all') AS origin, coalesce(y::VARCHAR, 'all') AS y, grouping(origin, y)::INT AS level, count(*) AS n_rows, count(DISTINCT text) AS distinct_texts
         FROM corpus GROUP BY GROUPING SETS ((origin, y), (origin), (y), ())""",
     "class_reference": f"""WITH {_LABELLED_SIGNALS}, {_PROFILE}
         SELECT y, {', '.join(f'round(avg({m}), 6) AS {m}' for m in REFERENCED)}

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexigauge.catalog.setup import GROUPS, LEXICONS, STOP, corpus, distinct, features, fixed_model, origin, read
+from lexigauge.catalog.setup import GROUPS, LEXICONS, STOP, corpus, distinct, documents, features, fixed_model, origin, read, texts
 from lexigauge.config import SIGNALS
 from lexigauge.functions.lexicon import lexicon_matches
 from lexigauge.functions.signals import with_clean_text, with_signals
@@ -29,20 +29,20 @@ def group_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_text(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read(spark, sf, "documents").select("doc_id", F.col("text").alias("raw"))
+    docs = documents(spark, sf)
     return with_clean_text(docs).select("doc_id", "text", "low")
 
 
 def dedup_keep_first(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read(spark, sf, "documents").select(
-        "doc_id", origin().alias("origin"), F.when(F.col("lang") == "en", 0).otherwise(1).alias("grp_order"), F.col("text").alias("raw")
+    docs = texts(
+        spark, sf, "documents", "doc_id", origin().alias("origin"), F.when(F.col("lang") == "en", 0).otherwise(1).alias("grp_order"), F.col("text").alias("raw")
     )
     return distinct_documents(docs).select("doc_id", "origin", "text_hash")
 
 
 def label_conflicts(spark: SparkSession, sf: str) -> DataFrame:
     """Texts with two labels, for both label columns; none may be left for training."""
-    docs = with_clean_text(read(spark, sf, "documents").select("doc_id", F.col("text").alias("raw")))
+    docs = with_clean_text(documents(spark, sf))
     labelled = docs.join(read(spark, sf, "labels"), "doc_id")
     by_hash = labelled.groupBy(dedup.text_hash(F.col("text"))).agg(
         *[(F.min(c) != F.max(c)).cast("long").alias(c) for c in ("toxic", "quality")]
@@ -55,13 +55,13 @@ def label_conflicts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def duplicate_audit(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read(spark, sf, "documents").withColumn("raw_text", F.col("text"))
+    docs = texts(spark, sf, "documents", "lang", "source", "n_chars", F.col("text").alias("raw_text"))
     cleaned = with_clean_text(docs, "raw_text").drop("low")
     return dedup.duplicate_audit(cleaned, "lang", ["raw_text", "lang", "source", "n_chars"])
 
 
 def conversation_audit(spark: SparkSession, sf: str) -> DataFrame:
-    turns = read(spark, sf, "conversations").withColumn("raw_text", F.col("text"))
+    turns = texts(spark, sf, "conversations", "role", F.col("text").alias("raw_text"))
     return dedup.duplicate_audit(with_clean_text(turns, "raw_text").drop("low"), "role", ["role", "raw_text"])
 
 
@@ -74,7 +74,7 @@ def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def conversation_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    turns = with_clean_text(read(spark, sf, "conversations").select(F.col("text").alias("raw")))
+    turns = with_clean_text(texts(spark, sf, "conversations", F.col("text").alias("raw")))
     return vocab.select_vocabulary(vocab.term_statistics(vocab.with_term_counts(turns)))
 
 
@@ -90,7 +90,7 @@ def tfidf_l2(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def signals(spark: SparkSession, sf: str) -> DataFrame:
-    docs = with_clean_text(read(spark, sf, "documents").select("doc_id", F.col("text").alias("raw")))
+    docs = with_clean_text(documents(spark, sf))
     return with_signals(docs, LEXICONS).select(
         "doc_id", "words", "chars", "letters", "caps", "punct", "excl", "urls",
         F.array_join("urgency_hits", ",").alias("urgency_hits"), F.array_join("cta_hits", ",").alias("cta_hits"),
@@ -105,7 +105,7 @@ def signal_scaler(spark: SparkSession, sf: str) -> DataFrame:
 
 def url_stats(spark: SparkSession, sf: str) -> DataFrame:
     """URLs in the HTML and in the address of every page."""
-    pages = read(spark, sf, "pages")
+    pages = texts(spark, sf, "pages", "page_id", "url", "html")
     body = with_clean_text(pages, "html").select("page_id", "url", F.col("low").alias("body"))
     return with_clean_text(body, "url").select(
         "page_id", url_count(F.col("body")).alias("n_urls"), has_url(F.col("body")).alias("has_url"),
@@ -122,7 +122,7 @@ def lexicon_hits(spark: SparkSession, sf: str) -> DataFrame:
     """Lexicon terms per document by an equi-join, the form for lexicons of any size."""
     entries = [(k, t) for k, ts in LEXICONS.items() for t in ts]
     table = spark.createDataFrame(entries, "kind string, term string")
-    docs = with_clean_text(read(spark, sf, "documents").select("doc_id", F.col("text").alias("raw")))
+    docs = with_clean_text(documents(spark, sf))
     return lexicon_matches(docs, table, [len(t) for _, t in entries])
 
 
@@ -134,7 +134,7 @@ def group_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 def role_profile(spark: SparkSession, sf: str) -> DataFrame:
     """The same profile for the turns of conversations, grouped by speaker."""
-    turns = with_clean_text(read(spark, sf, "conversations").select(F.col("role").alias("grp"), F.col("text").alias("raw")))
+    turns = with_clean_text(texts(spark, sf, "conversations", F.col("role").alias("grp"), F.col("text").alias("raw")))
     table = profile.group_profile(with_signals(turns, LEXICONS))
     return table.select("grp", "docs", "median_words", *[rounded(c) for c in ("urls", "url_any", "urg_any", "cta_any", "caps", "excl")])
 
@@ -185,7 +185,7 @@ def fold_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 def _fixed(spark: SparkSession, sf: str):
     """The fixed-coefficient model and the features of every document, labelled or not."""
     learned = materialize(features(distinct(spark, sf)).select("counted", *SIGNALS), "learned")
-    docs = with_clean_text(read(spark, sf, "documents").select("doc_id", F.col("text").alias("raw")))
+    docs = with_clean_text(documents(spark, sf))
     return fixed_model(learned), features(docs).withColumn("model", F.lit(0))
 
 
@@ -229,7 +229,7 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "exported")
     sinks.save_model(model, path, LEXICONS)
     loaded, lexicons = sinks.load_model(spark, path)
-    docs = read(spark, sf, "documents").select("doc_id", F.col("text").alias("raw"))
+    docs = documents(spark, sf)
     return score_texts(docs, loaded, lexicons).select("doc_id", "known_terms", F.round("z", 3).alias("z"), "pred")
 
 

@@ -10,7 +10,7 @@ from lexigauge.operators.vocab import select_vocabulary, term_statistics, with_i
 from lexigauge.operators.weights import signal_scaler
 from lexigauge.plans import corpus as plans
 from lexigauge.plans.fit import Model
-from lexigauge.sources.tables import group_dimension, labelled_documents
+from lexigauge.sources.tables import group_dimension, labelled_documents, spread
 
 # (origin, label, group, order, display name)
 GROUPS = (
@@ -36,6 +36,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, table: str, *columns) -> DataFrame:
+    """The columns of a table with long texts, as evenly spread as the cores can use."""
+    return spread(read(spark, sf_dir, table).select(*columns))
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return texts(spark, sf_dir, "documents", "doc_id", F.col("text").alias("raw"))
+
+
 def origin():
     return F.when(F.col("lang") == "en", "en").otherwise("other")
 

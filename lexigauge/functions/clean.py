@@ -9,10 +9,11 @@ from lexigauge.functions.exprs import let
 _SPACE_BUT_BLANK = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 SPACE = rf"[ {_SPACE_BUT_BLANK}]"
 NOT_SPACE = rf"[^ {_SPACE_BUT_BLANK}]"
-# A lone blank is already in its final form, so only other runs are worth replacing.
-_SPACE_RUN = rf"[{_SPACE_BUT_BLANK}]{SPACE}*| {SPACE}+"
+# Runs to replace. A blank before a printable ASCII character is already in its final form, and
+# looking at that first passes over ordinary words quickly.
+_SPACE_RUN = rf"(?![!-~]| [!-~]){SPACE}+"
 
-# Characters that NFKC keeps as they are in any sequence of one another: ASCII and the precomposed
+# Characters that NFKC keeps as they are in any sequence with one another and with ASCII: precomposed
 # letters, punctuation and ideographs without a compatibility form. Texts made of these alone
 # never leave the JVM. tests/test_clean.py checks every one against the Unicode tables.
 NFKC_STABLE = (
@@ -20,7 +21,7 @@ NFKC_STABLE = (
     r"\u0400-\u0482\u048a-\u052f\u2010\u2012-\u2016\u2018-\u2023\u20ac"
     r"\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff"
 )
-_MAYBE_UNSTABLE = rf"[^{NFKC_STABLE}]"
+_STABLE_TEXT = rf"\A(?:[\x00-\x7f]++|[{NFKC_STABLE}]++)*+\z"
 
 
 def _nfkc_udf():
@@ -36,7 +37,8 @@ def _nfkc_udf():
 
 def nfkc(text: Column) -> Column:
     """Unicode compatibility composition; only texts it might change go through Arrow."""
-    return F.coalesce(_nfkc_udf()(F.when(text.rlike(_MAYBE_UNSTABLE), text)), text)
+    stable = (F.length(text) == F.octet_length(text)) | text.rlike(_STABLE_TEXT)
+    return F.coalesce(_nfkc_udf()(F.when(~stable, text)), text)
 
 
 def collapse_whitespace(text: Column) -> Column:

@@ -30,3 +30,12 @@ def sigmoid(z: Column) -> Column:
 def small(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast `df` when its declared row bound is small; otherwise leave the join to the optimizer."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def unpack(entries: Column) -> Column:
+    """One row per struct of an array, a column per field.
+
+    The outer form keeps the optimizer from adding a "size > 0" filter that computes `entries` a second
+    time; callers drop the all-null row of an empty array by a join or a filter.
+    """
+    return F.inline_outer(entries)

@@ -35,7 +35,7 @@ def lexicon_matches(docs: DataFrame, lexicon: DataFrame, lengths: Sequence[int],
         )
     )
     return (
-        docs.select(doc_key, F.explode(snippets).alias("term"))
+        docs.select(doc_key, F.explode_outer(snippets).alias("term"))
         .join(lexicon.select("kind", "term").distinct(), "term")
         .select(doc_key, "kind", "term")
     )

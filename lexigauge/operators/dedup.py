@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def text_hash(text: Column) -> Column:
-    return F.sha2(text, 256)
+    """SHA-256 in hex, empty for null.
+
+    Spark types sha2 as nullable even for a non-null text, and would push "hash is not null" filters,
+    with all the cleaning below them, under earlier joins. Saying it is never null avoids that.
+    """
+    return F.coalesce(F.sha2(text, 256), F.lit(""))
 
 
 def keep_first(df: DataFrame, order: Sequence[str], text: str = "text") -> DataFrame:
@@ -51,8 +56,8 @@ def duplicate_audit(
     slim = df.select(
         group,
         row_hash.alias("row_hash"),
-        text_hash(F.col(text)).alias("raw_hash"),
-        text_hash(F.col(cleaned)).alias("clean_hash"),
+        F.sha2(text, 256).alias("raw_hash"),
+        F.sha2(cleaned, 256).alias("clean_hash"),
     )
     return (
         slim.groupBy(group)

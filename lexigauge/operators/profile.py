@@ -84,7 +84,7 @@ def lexicon_rates(
 
 def top_words(docs: DataFrame, stop_words: Sequence[str], n: int = 10, group: str = "grp") -> DataFrame:
     """(group, rank, word, docs, pct): the words in most documents of a group; ties in word order."""
-    words = docs.select(group, F.explode(alpha_words(F.col("low"))).alias("word"))
+    words = docs.select(group, F.explode_outer(alpha_words(F.col("low"))).alias("word"))
     counts = (
         words.where(~F.col("word").isin(list(stop_words)))
         .groupBy(group, "word")
@@ -103,15 +103,16 @@ def top_words(docs: DataFrame, stop_words: Sequence[str], n: int = 10, group: st
 def rollup_counts(docs: DataFrame, origin: str = "origin", label: str = "y", text: str = "text_hash") -> DataFrame:
     """Rows and distinct texts for all, per label, per origin and per both, in one pass.
 
-    `text` appears in every cell it occurs in; `level` tells a total (null key) from a null value.
+    A text counts in every cell it occurs in. A total has the key 'all'; `level` is 0 for a cell of both keys.
     """
-    return docs.groupingSets(
-        [[F.col(origin), F.col(label)], [F.col(origin)], [F.col(label)], []], origin, label
-    ).agg(
+    sets = [[F.col(origin), F.col(label)], [F.col(origin)], [F.col(label)], []]
+    cells = docs.groupingSets(sets, origin, label).agg(
         F.grouping_id().cast("int").alias("level"),
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct(text).alias("distinct_texts"),
     )
+    named = lambda key, bit: F.when(F.col("level").bitwiseAND(bit) > 0, "all").otherwise(F.col(key).cast("string")).alias(key)
+    return cells.select(named(origin, 2), named(label, 1), "level", "n_rows", "distinct_texts")
 
 
 def class_reference(profile: DataFrame, label: str = "y", metrics: Sequence[str] = REFERENCED) -> DataFrame:

@@ -12,7 +12,7 @@ BUCKET_DIGITS = 3
 
 def shuffle_key(text: Column, seed: int = SEED) -> Column:
     """A reproducible random order of texts (or of their hashes), the same in every engine."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), text))
+    return F.coalesce(F.md5(F.concat(F.lit(f"{seed}:"), text)), F.lit(""))
 
 
 def with_shuffled_rank(df: DataFrame, group: str, key: Column, digits: int = BUCKET_DIGITS) -> DataFrame:

@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexigauge.config import MAX_FEATURES, MIN_DOC_FREQ
+from lexigauge.functions.exprs import unpack
 from lexigauge.functions.terms import term_counts
 
 
@@ -15,7 +16,7 @@ def with_term_counts(df: DataFrame) -> DataFrame:
 
 def document_terms(df: DataFrame, *keys: str) -> DataFrame:
     """Long form (keys..., term, cnt)."""
-    return df.select(*keys, F.explode("counted").alias("_t")).select(*keys, "_t.term", "_t.cnt")
+    return df.select(*keys, unpack(F.col("counted"))).where(F.col("term").isNotNull())
 
 
 def term_statistics(df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexigauge.config import SIGNALS
-from lexigauge.functions.exprs import small
+from lexigauge.functions.exprs import small, unpack
 
 INTERCEPT = "[intercept]"
 
@@ -102,7 +102,7 @@ def weighted_entries(docs: DataFrame, weights: DataFrame, keys: Sequence[str], r
     counts = F.transform(
         "counted", lambda t: F.struct(t["term"].alias("key"), sublinear(t["cnt"]).alias("x"))
     )
-    long = docs.select("model", *[k for k in keys if k != "model"], F.inline(F.concat(counts, F.array(*own))))
+    long = docs.select("model", *[k for k in keys if k != "model"], unpack(F.concat(counts, F.array(*own))))
     value = F.when(F.col("is_term"), F.col("x") * F.col("idf")).otherwise((F.col("x") - F.col("mean")) / F.col("std"))
     return (
         long.join(small(weights, rows), ["model", "key"])
@@ -120,7 +120,7 @@ def norm_of(entries_is_term: Column, value: Column) -> Column:
 def tfidf(docs: DataFrame, vocabulary: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
     """(key, term, weight): L2-normalised sublinear TF-IDF over vocabulary terms."""
     known = (
-        docs.select(key, F.inline("counted"))
+        docs.select(key, unpack(F.col("counted")))
         .join(small(vocabulary.select("term", "idf"), rows), "term")
         .withColumn("w", sublinear(F.col("cnt")) * F.col("idf"))
     )

@@ -7,6 +7,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 GROUP_SCHEMA = "origin string, y int, grp string, grp_order int, grp_name string"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input that has fewer splits than the session has cores.
+
+    Large tables have more splits than cores and pass unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def group_dimension(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     """The fixed table of groups; a group is an origin with a class."""
     return spark.createDataFrame(list(rows), GROUP_SCHEMA)
@@ -21,7 +30,6 @@ def labelled_documents(
     documents: DataFrame, labels: DataFrame, origin: Column, label: str, groups: DataFrame, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Documents that have a label, with origin and group. Only the columns used are read."""
-    joined = documents.select(key, F.coalesce(F.col(text), F.lit("")).alias("raw"), origin.alias("origin")).join(
-        labels.select(key, F.col(label).cast("int").alias("y")), key
-    )
+    texts = spread(documents.select(key, F.coalesce(F.col(text), F.lit("")).alias("raw"), origin.alias("origin")))
+    joined = texts.join(labels.select(key, F.col(label).cast("int").alias("y")), key)
     return with_groups(joined, groups)
