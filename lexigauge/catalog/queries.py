@@ -79,7 +79,7 @@ def conversation_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def idf_weights(spark: SparkSession, sf: str) -> DataFrame:
-    docs = vocab.with_term_counts(distinct(spark, sf))
+    docs = materialize(vocab.with_term_counts(distinct(spark, sf)).select("counted"), "counted")
     return vocab.with_idf(vocab.select_vocabulary(vocab.term_statistics(docs)), docs).select("term", "df", rounded("idf"))
 
 
@@ -123,7 +123,7 @@ def lexicon_hits(spark: SparkSession, sf: str) -> DataFrame:
     entries = [(k, t) for k, ts in LEXICONS.items() for t in ts]
     table = spark.createDataFrame(entries, "kind string, term string")
     docs = with_clean_text(documents(spark, sf))
-    return lexicon_matches(docs, table, [len(t) for _, t in entries])
+    return lexicon_matches(docs, table, [len(t) for _, t in entries], len(entries))
 
 
 def group_profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,7 +140,7 @@ def role_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def top_words(spark: SparkSession, sf: str) -> DataFrame:
-    words = profile.top_words(distinct(spark, sf).select("grp", "low"), STOP)
+    words = profile.top_words(materialize(distinct(spark, sf).select("grp", "low"), "distinct"), STOP)
     return words.select("grp", "rank", "word", "docs", rounded("pct"))
 
 
@@ -161,12 +161,16 @@ def comparison(spark: SparkSession, sf: str) -> DataFrame:
     return profile.comparison(table, shown=shown).select("metric", "grp", rounded("value"), rounded("rel_weight"))
 
 
+def _distinct_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(distinct(spark, sf).select("doc_id", "grp", "text_hash"), "distinct")
+
+
 def strat_folds(spark: SparkSession, sf: str) -> DataFrame:
-    return rank.stratified_folds(distinct(spark, sf).select("doc_id", "grp", "text_hash"), "grp").select("doc_id", "grp", "fold")
+    return rank.stratified_folds(_distinct_keys(spark, sf), "grp").select("doc_id", "grp", "fold")
 
 
 def strat_split(spark: SparkSession, sf: str) -> DataFrame:
-    return rank.stratified_split(distinct(spark, sf).select("doc_id", "grp", "text_hash"), "grp").select("doc_id", "grp", "split")
+    return rank.stratified_split(_distinct_keys(spark, sf), "grp").select("doc_id", "grp", "split")
 
 
 def first_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -253,7 +257,8 @@ def parity_check(spark: SparkSession, sf: str) -> DataFrame:
 
 def stats_document(spark: SparkSession, sf: str) -> DataFrame:
     """Every published number as one long table."""
-    return report.statistics(corpus(spark, sf), distinct(spark, sf), LEXICONS, STOP)
+    docs = materialize(distinct(spark, sf).select("grp", "text", "low"), "distinct")
+    return report.statistics(corpus(spark, sf), docs, LEXICONS, STOP)
 
 
 def _written_files(spark: SparkSession, sf: str) -> list[GroupFile]:

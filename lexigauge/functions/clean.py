@@ -28,9 +28,10 @@ def _nfkc_udf():
     # A nested function travels to the executors by value: no package has to be installed there.
     @F.arrow_udf("string")
     def nfkc(texts: pa.Array) -> pa.Array:
-        import pyarrow.compute as pc
+        from unicodedata import normalize
 
-        return pc.utf8_normalize(texts, form="NFKC")
+        # Not pyarrow's own utf8_normalize: it leaves some letter-and-accent pairs uncomposed.
+        return pa.array([t if t is None else normalize("NFKC", t) for t in texts.to_pylist()], pa.string())
 
     return nfkc
 

@@ -4,6 +4,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lexigauge.functions.exprs import small
+
 
 def has_term(low: Column, term: str) -> Column:
     # The plain substring test rejects most texts before any regex runs.
@@ -17,26 +19,26 @@ def hits(low: Column, terms: Sequence[str]) -> Column:
     return F.array_compact(F.array(*[F.when(has_term(low, t), F.lit(t)) for t in terms]))
 
 
-def lexicon_matches(docs: DataFrame, lexicon: DataFrame, lengths: Sequence[int], doc_key: str = "doc_id") -> DataFrame:
+def lexicon_matches(
+    docs: DataFrame, lexicon: DataFrame, lengths: Sequence[int], rows: int, doc_key: str = "doc_id"
+) -> DataFrame:
     """(doc_key, kind, term) for a lexicon of any size, given as a table (kind, term).
 
-    `lengths` are the term lengths that occur. For each, the snippets of that length at word starts
-    are the only places a term can be, so the theta-join "term occurs in text" becomes an equi-join.
-    Snippets are distinct per text before they are exploded.
+    `lengths` are the term lengths that occur, `rows` bounds the lexicon (a small one is broadcast). A term can only be the beginning of the text that follows
+    a word start, so cutting those beginnings to each length turns the theta-join "term occurs in text"
+    into an equi-join. Beginnings are distinct per text before they are exploded.
     """
-    snippets = F.array_distinct(
-        F.flatten(
-            F.array(
-                *[
-                    F.regexp_extract_all(F.col("low"), F.lit(rf"(?s)(?<![a-z0-9])(?=(.{{{int(n)}}}))"), F.lit(1))
-                    for n in sorted(set(lengths))
-                ]
-            )
+    sizes = sorted({int(n) for n in lengths})
+    beginnings = F.array_distinct(
+        F.regexp_extract_all(
+            F.col("low"), F.lit(rf"(?s)(?<![a-z0-9])(?=(.{{{sizes[0]},{sizes[-1]}}}))"), F.lit(1)
         )
     )
+    cuts = F.array(*[F.when(F.length("_start") >= n, F.substring("_start", 1, n)) for n in sizes])
     return (
-        docs.select(doc_key, F.explode_outer(snippets).alias("term"))
-        .join(lexicon.select("kind", "term").distinct(), "term")
+        docs.select(doc_key, F.explode_outer(beginnings).alias("_start"))
+        .select(doc_key, F.explode_outer(cuts).alias("term"))
+        .join(small(lexicon.select("kind", "term"), rows), "term")
         .select(doc_key, "kind", "term")
+        .distinct()
     )
-

@@ -1,5 +1,6 @@
 """Per-document counts and the six numeric signals."""
 
+import string
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -24,9 +25,9 @@ def count_char(text: Column, char: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
 
 
-def count_kept(text: Column, dropped: str) -> Column:
-    """Characters left once every run of the class `dropped` is taken out."""
-    return F.length(F.regexp_replace(text, dropped, ""))
+def letter_count(text: Column) -> Column:
+    """ASCII letters."""
+    return F.length(text) - F.length(F.translate(text, string.ascii_letters, ""))
 
 
 def with_clean_text(df: DataFrame, raw: str = "raw") -> DataFrame:
@@ -42,8 +43,8 @@ def with_signals(df: DataFrame, lexicons: Mapping[str, Sequence[str]] = LEXICONS
         word_count(text).alias("words"),
         split_length(text).alias("split_words"),
         F.length(text).alias("chars"),
-        count_kept(text, "[^A-Za-z]+").alias("letters"),
-        count_kept(text, "[^A-Z]+").alias("caps"),
+        letter_count(text).alias("letters"),
+        F.regexp_count(text, F.lit("[A-Z]")).alias("caps"),
         count_char(text, "!").alias("excl"),
         count_char(text, "?").alias("quest"),
         url_count(low).alias("urls"),

@@ -19,7 +19,8 @@ from lexigauge.operators.weights import (
 )
 from lexigauge.sources.scratch import materialize
 
-FITS_AT_ONCE = 4
+FITS_AT_ONCE = 8
+ROWS_PER_TASK = 20_000
 
 
 @dataclass(frozen=True)
@@ -136,11 +137,14 @@ def fit_trials(
             labelCol="y", featuresCol="features", family="binomial", standardization=False, elasticNetParam=0.0,
             regParam=1.0 / (C * sizes[trial.model]), maxIter=max_iter, tol=tol,
         )
-        fitted = lr.fit(matrix.where(F.col("model") == trial.model))
+        rows = matrix.where(F.col("model") == trial.model)
+        # Hundreds of short passes: few rows are best kept in few tasks.
+        tasks = -(-sizes[trial.model] // ROWS_PER_TASK)
+        fitted = lr.fit(rows.coalesce(tasks) if tasks < rows.rdd.getNumPartitions() else rows)
         return trial.model, fitted.intercept, fitted.coefficients.toArray()
 
     with ThreadPoolExecutor(min(FITS_AT_ONCE, len(trials))) as pool:
-        results = list(pool.map(inheritable_thread_target(fit), trials))
+        results = list(pool.map(inheritable_thread_target(spark)(fit), trials))
 
     # Vocabulary-sized: max_features + 6 numbers per model.
     coefs = spark.createDataFrame(

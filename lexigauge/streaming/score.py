@@ -10,6 +10,7 @@ from lexigauge.functions.signals import with_clean_text
 from lexigauge.operators.score import score
 from lexigauge.plans.corpus import features
 from lexigauge.plans.fit import Model
+from lexigauge.sources.tables import spread
 
 
 def score_texts(
@@ -37,7 +38,7 @@ def score_stream(
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        score_texts(batch, model, lexicons, raw, key).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        score_texts(spread(batch), model, lexicons, raw, key).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return (
         docs.writeStream.foreachBatch(write)
