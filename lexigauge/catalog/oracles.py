@@ -5,6 +5,7 @@ from lexigauge.config import MAX_FEATURES, SEED, SIGNALS
 from lexigauge.operators.profile import COMPARED, REFERENCED
 
 _SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]+"
+# fixed value: what counts as a URL
 _URL = (
     r"https?://\S+|\b(?:www\.)?[a-z0-9-]+(?:\.[a-z0-9-]+)*\.(?:com|net|org|io|co|info|biz|us|uk|ru|xyz)\b(?:/\S*)?"
 )

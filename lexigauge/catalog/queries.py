@@ -190,7 +190,7 @@ def _fixed(spark: SparkSession, sf: str):
     """The fixed-coefficient model and the features of every document, labelled or not."""
     learned = materialize(features(distinct(spark, sf)).select("counted", *SIGNALS), "learned")
     docs = with_clean_text(documents(spark, sf))
-    return fixed_model(learned), features(docs).withColumn("model", F.lit(0))
+    return fixed_model(learned), features(docs)
 
 
 def score_fixed(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,14 +10,14 @@ from lexigauge.operators.weights import INTERCEPT, norm_of, weighted_entries
 
 
 def score(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
-    """(keys..., known_terms, z, p, pred). Shuffles one small row per document.
+    """(model, keys..., known_terms, z, p, pred). Shuffles one small row per document.
 
-    `keys` must identify a document (and its model); other columns that depend on it ride along.
+    `keys` must identify a document; other columns that depend on it ride along.
     """
     is_term, value, part = F.col("is_term"), F.col("value"), F.col("value") * F.col("coef")
     return (
         weighted_entries(docs, weights, keys, rows)
-        .groupBy(*keys)
+        .groupBy("model", *keys)
         .agg(
             F.sum(is_term.cast("long")).alias("known_terms"),
             norm_of(is_term, value).alias("_norm"),
@@ -32,7 +32,7 @@ def score(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int) -
 
 
 def explain(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
-    """(keys..., known_terms, z, p, pred, contributions): contributions by falling size, ties by name.
+    """(model, keys..., known_terms, z, p, pred, contributions): contributions by falling size, ties by name.
 
     The list has at most one entry per feature of the model, so it fits a row.
     """
@@ -40,7 +40,7 @@ def explain(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int)
     entry = F.struct(F.col("key").alias("term"), is_term.alias("is_term"), (value * F.col("coef")).alias("value"))
     per_doc = (
         weighted_entries(docs, weights, keys, rows)
-        .groupBy(*keys)
+        .groupBy("model", *keys)
         .agg(
             F.sum(is_term.cast("long")).alias("known_terms"),
             norm_of(is_term, value).alias("_norm"),

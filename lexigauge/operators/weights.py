@@ -89,12 +89,13 @@ def intercept_rows(intercepts: DataFrame) -> DataFrame:
 
 
 def weighted_entries(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
-    """(keys..., key, slot, is_term, value [, coef]): one row per known feature of a document.
+    """(model, keys..., key, slot, is_term, value [, coef]): one row per known feature of a document and model.
 
-    `docs` needs `model`, `counted` and the signals; `rows` bounds the weight table, which is broadcast
-    when small, so documents are not shuffled. Unknown terms drop out; signals (and the intercept, where
-    the table has one) always match, so every document keeps a row. `value` is the term weight before
-    the L2 norm, or the standardised signal.
+    `docs` needs `counted` and the signals; an array column `models` says which models a document belongs
+    to (without one, to all of the table). `rows` bounds the weight table, which is broadcast when small,
+    so documents are not shuffled, and a document's features are laid out once however many models there
+    are. Unknown terms drop out; signals (and the intercept, where the table has one) always match, so
+    every document keeps a row. `value` is the term weight before the L2 norm, or the standardised signal.
     """
     own = [
         F.struct(F.lit(signal_key(n)).alias("key"), F.col(n).alias("x")) for n in SIGNALS
@@ -102,13 +103,13 @@ def weighted_entries(docs: DataFrame, weights: DataFrame, keys: Sequence[str], r
     counts = F.transform(
         "counted", lambda t: F.struct(t["term"].alias("key"), sublinear(t["cnt"]).alias("x"))
     )
-    long = docs.select("model", *[k for k in keys if k != "model"], unpack(F.concat(counts, F.array(*own))))
+    chosen = "models" in docs.columns
+    long = docs.select(*keys, *(["models"] if chosen else []), unpack(F.concat(counts, F.array(*own))))
+    known = long.join(small(weights, rows), "key")
+    if chosen:
+        known = known.where(F.array_contains("models", F.col("model"))).drop("models")
     value = F.when(F.col("is_term"), F.col("x") * F.col("idf")).otherwise((F.col("x") - F.col("mean")) / F.col("std"))
-    return (
-        long.join(small(weights, rows), ["model", "key"])
-        .withColumn("value", value)
-        .drop("x", "idf", "mean", "std", *(["model"] if "model" not in keys else []))
-    )
+    return known.withColumn("value", value).drop("x", "idf", "mean", "std")
 
 
 def norm_of(entries_is_term: Column, value: Column) -> Column:
@@ -141,12 +142,12 @@ def _vector_udf(size: int):
 
 
 def feature_vectors(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int, max_features: int) -> DataFrame:
-    """(keys..., features): one sparse vector per document, normalised terms and standardised signals.
+    """(model, keys..., features): one sparse vector per document and model, normalised terms and standardised signals.
 
     `keys` must identify a document; further columns that depend on it may be listed to carry them along.
     """
     entries = weighted_entries(docs, weights, keys, rows).where(F.col("slot").isNotNull())
-    per_doc = entries.groupBy(*keys).agg(
+    per_doc = entries.groupBy("model", *keys).agg(
         norm_of(F.col("is_term"), F.col("value")).alias("norm"),
         F.sort_array(F.collect_list(F.struct("slot", "is_term", "value"))).alias("entries"),
     )
@@ -154,4 +155,4 @@ def feature_vectors(docs: DataFrame, weights: DataFrame, keys: Sequence[str], ro
         "entries", lambda e: F.when(e["is_term"], e["value"] / F.col("norm")).otherwise(e["value"])
     )
     vector = _vector_udf(max_features + len(SIGNALS))
-    return per_doc.select(*keys, vector(F.col("entries.slot"), values).alias("features"))
+    return per_doc.select("model", *keys, vector(F.col("entries.slot"), values).alias("features"))

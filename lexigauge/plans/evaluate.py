@@ -28,7 +28,7 @@ HOLDOUT = (Trial(0, "holdout", ("train",), ("test",)),)
 def predictions(docs: DataFrame, part: str, trials: Sequence[Trial], model: Model, key: str = "doc_id") -> DataFrame:
     """(model, key, grp, y, p, pred, ...) for the test documents of every trial."""
     tested = assign_trials(docs, part, trials, "test")
-    return score(tested, model.weights, ["model", key, "grp", "y"], model.rows)
+    return score(tested, model.weights, [key, "grp", "y"], model.rows)
 
 
 def outcome_counts(predicted: DataFrame) -> DataFrame:

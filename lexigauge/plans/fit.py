@@ -72,7 +72,9 @@ def trial_vocabularies(
         )
         for t in trials
     ])
-    candidates = stats.select("term", F.inline(per_trial)).where(F.col("df") >= min_df)
+    # A term too rare overall is too rare for every trial; most terms end here.
+    overall = reduce(lambda a, b: a + b, [F.col(f"df_{i}") for i in range(len(parts))])
+    candidates = stats.where(overall >= min_df).select("term", F.inline(per_trial)).where(F.col("df") >= min_df)
     kept = top_per_group(candidates, ["model"], [F.desc("tf"), "term"], max_features, F.col("term"))
     # At most max_features rows per model are left for this window.
     in_order = Window.partitionBy("model").orderBy("term")
@@ -99,12 +101,13 @@ def trial_scalers(docs: DataFrame, part: str, trials: Sequence[Trial]) -> dict[i
 
 
 def assign_trials(docs: DataFrame, part: str, trials: Sequence[Trial], role: str) -> DataFrame:
-    """Add `model`: a document once per trial that has its part in `role`. The plan is a handful of rows."""
-    pairs = [(t.model, p) for t in trials for p in getattr(t, role)]
-    plan = docs.sparkSession.createDataFrame(pairs, ["model", part]).select(
-        F.col("model").cast("int").alias("model"), F.col(part).cast(docs.schema[part].dataType).alias(part)
-    )
-    return docs.join(F.broadcast(plan), part)
+    """Add `models`, the trials that have a document's part in `role`; documents of no trial drop out."""
+    wanted: dict = {}
+    for t in trials:
+        for p in getattr(t, role):
+            wanted.setdefault(p, []).append(t.model)
+    cases = [F.when(F.col(part) == p, F.array(*map(F.lit, models))) for p, models in wanted.items()]
+    return docs.where(F.col(part).isin(list(wanted))).withColumn("models", F.coalesce(*cases))
 
 
 def fit_trials(
@@ -128,7 +131,7 @@ def fit_trials(
     rows = len(trials) * (max_features + len(SIGNALS) + 1)
     training = assign_trials(docs, part, trials, "train")
     matrix = materialize(
-        feature_vectors(training, weights, ["model", key, "y"], rows, max_features).drop(key), "matrix", ["model"]
+        feature_vectors(training, weights, [key, "y"], rows, max_features).drop(key), "matrix", ["model"]
     )
 
     def fit(trial: Trial):

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dir: str | None = None
+_written: list[str] = []
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -26,7 +27,9 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/lexigauge-{uuid.uuid4().hex}/{name}"
+    folder = f"{scratch_dir(spark)}/lexigauge-{uuid.uuid4().hex}"
+    _written.append(folder)
+    return f"{folder}/{name}"
 
 
 def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -35,3 +38,11 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     path = new_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this program. Results that still read them stop working."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        folder.getFileSystem(hadoop).delete(folder, True)

@@ -2,7 +2,7 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from lexigauge.config import LEXICONS
@@ -17,8 +17,8 @@ def score_texts(
     docs: DataFrame, model: Model, lexicons: Mapping[str, Sequence[str]] = LEXICONS, raw: str = "raw", key: str = "doc_id"
 ) -> DataFrame:
     """(key, known_terms, z, p, pred) for raw texts; the batch form of the stream."""
-    ready = features(with_clean_text(docs, raw), lexicons).withColumn("model", F.lit(0))
-    return score(ready, model.weights, [key], model.rows)
+    ready = features(with_clean_text(docs, raw), lexicons)
+    return score(ready, model.weights, [key], model.rows).drop("model")
 
 
 def score_stream(

@@ -13,6 +13,7 @@ from lexigauge import config
 from lexigauge.functions import clean, exprs, lexicon, signals, terms, urls
 
 BLANKS = re.compile(r"[\s﻿]+")
+# fixed value: what counts as a URL
 HOST_OR_LINK = re.compile(
     r"https?://\S+|\b(?:www\.)?[a-z0-9-]+(?:\.[a-z0-9-]+)*\.(?:com|net|org|io|co|info|biz|us|uk|ru|xyz)\b(?:/\S*)?",
     re.I | re.ASCII,

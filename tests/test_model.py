@@ -86,7 +86,7 @@ def test_scores_equal_the_vector_product(ready, model):
         if r["slot"] is not None:
             w[r["slot"]] = r["coef"]
     b = next(r["coef"] for r in rows if r["slot"] is None)
-    got = {r["doc_id"]: r for r in score.score(ready.withColumn("model", F.lit(0)), model.weights, ["doc_id"], model.rows).collect()}
+    got = {r["doc_id"]: r for r in score.score(ready, model.weights, ["doc_id"], model.rows).collect()}
     assert len(got) == len(ids)
     for i, z in zip(ids, X @ w + b):
         assert got[i]["z"] == pytest.approx(z, abs=1e-9) and got[i]["p"] == pytest.approx(1 / (1 + math.exp(-z)))
@@ -101,7 +101,7 @@ def test_term_block_has_unit_norm_and_signals_are_standardised(ready, model):
 
 
 def test_contributions_sum_to_the_score(ready, model):
-    docs = ready.withColumn("model", F.lit(0))
+    docs = ready
     b = model.weights.where("slot is null").first()["coef"]
     for r in score.explain(docs, model.weights, ["doc_id"], model.rows).collect():
         sizes = [abs(c["value"]) for c in r["contributions"]]
@@ -114,7 +114,7 @@ def test_report_of_blank_and_scored_texts(spark, model):
     docs = features(with_clean_text(spark.createDataFrame([(1, " ﻿ "), (2, "URGENT prize, click here now! x.com")], "doc_id long, raw string")), LEX)
     keys = ["doc_id", "words", "chars", "urls", "urgency_hits", "cta_hits", "caps_pct", "punct"]
     full = score.document_report(
-        score.explain(docs.withColumn("model", F.lit(0)), model.weights, keys, model.rows), {"urls": (1.0, 3.5)}
+        score.explain(docs, model.weights, keys, model.rows), {"urls": (1.0, 3.5)}
     )
     rows = {r["doc_id"]: r for r in full.collect()}
     assert rows[1]["status"] == "nothing_to_analyze" and rows[1]["verdict"] is None and 0 < rows[1]["p"] < 1
@@ -143,7 +143,7 @@ def test_vocabulary_sees_training_parts_only(ready):
 
 def test_scoring_needs_no_shuffle_of_terms_and_no_python(ready, model):
     fixed = type(model)(materialize(model.weights, "fixed"), model.rows)
-    df = score.score(ready.withColumn("model", F.lit(0)), fixed.weights, ["doc_id"], fixed.rows)
+    df = score.score(ready, fixed.weights, ["doc_id"], fixed.rows)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

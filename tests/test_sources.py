@@ -95,3 +95,15 @@ def test_intermediate_tables_go_to_the_shared_folder(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(session("spark://host:7077"))
     assert materialize(spark.range(5), "five").count() == 5
+
+
+def test_released_tables_are_gone(spark, monkeypatch):
+    from lexigauge.sources import scratch
+
+    monkeypatch.setattr(scratch, "_written", [])
+    path = scratch.new_path(spark, "some")
+    spark.range(3).write.parquet(path)
+    scratch.release(spark)
+    assert not scratch._written
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
