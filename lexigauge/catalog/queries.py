@@ -10,7 +10,7 @@ from lexigauge.functions.urls import has_url, url_count
 from lexigauge.operators import dedup, profile, rank, score, vocab, weights
 from lexigauge.plans import evaluate, report
 from lexigauge.plans.corpus import distinct_documents
-from lexigauge.plans.fit import trial_scalers, trial_vocabularies
+from lexigauge.plans.fit import trial_vocabularies
 from lexigauge.sources import sinks
 from lexigauge.sources.files import GroupFile, load_corpus, load_for_audit
 from lexigauge.sources.scratch import materialize, new_path
@@ -179,10 +179,11 @@ def first_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def fold_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     """Vocabulary and idf of every fold's model, from the other folds only."""
-    docs = rank.stratified_folds(distinct(spark, sf), "grp")
-    slim = materialize(features(docs).select("fold", "counted", *SIGNALS), "folds")
+    docs = vocab.with_term_counts(rank.stratified_folds(distinct(spark, sf), "grp"))
+    slim = materialize(docs.select("fold", "counted"), "folds")
     trials = evaluate.fold_trials()
-    sizes = {m: s["n"] for m, s in trial_scalers(slim, "fold", trials).items()}
+    members = {r["fold"]: r["count"] for r in slim.groupBy("fold").count().collect()}
+    sizes = {t.model: sum(members[f] for f in t.train) for t in trials}
     return trial_vocabularies(slim, "fold", trials, sizes, 1000).select("model", "term", "idx", "tf", "df", rounded("idf"))
 
 

@@ -34,11 +34,16 @@ def lexicon_matches(
             F.col("low"), F.lit(rf"(?s)(?<![a-z0-9])(?=(.{{{sizes[0]},{sizes[-1]}}}))"), F.lit(1)
         )
     )
+    entries = small(lexicon.select("kind", "term"), rows)
+    # Most beginnings already fail at the shortest length.
+    openings = small(lexicon.select(F.substring("term", 1, sizes[0]).alias("_opening")), rows)
     cuts = F.array(*[F.when(F.length("_start") >= n, F.substring("_start", 1, n)) for n in sizes])
     return (
         docs.select(doc_key, F.explode_outer(beginnings).alias("_start"))
+        .withColumn("_opening", F.substring("_start", 1, sizes[0]))
+        .join(openings, "_opening", "left_semi")
         .select(doc_key, F.explode_outer(cuts).alias("term"))
-        .join(small(lexicon.select("kind", "term"), rows), "term")
+        .join(entries, "term")
         .select(doc_key, "kind", "term")
         .distinct()
     )

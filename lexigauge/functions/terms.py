@@ -28,10 +28,11 @@ def terms(low: Column) -> Column:
 
 
 def run_lengths(values: Column) -> Column:
-    """array<string> -> array<struct<term, cnt>>, one entry per distinct value, sorted by it.
+    """array<string> -> array<struct<term string, cnt double>>, one entry per distinct value, sorted by it.
 
     Sorting brings equal values together; an entry starts wherever the value changes and its
-    count is the distance to the next start. Linear after the sort, so whole texts are no issue.
+    count is the distance to the next start. Linear after the sort, so whole texts are no issue. Counts are
+    doubles so that numeric features can join the same array (see operators.weights).
     """
 
     def from_sorted(s):
@@ -46,7 +47,7 @@ def run_lengths(values: Column) -> Column:
                 at,
                 lambda start, k: F.struct(
                     F.get(s, start).alias("term"),
-                    (F.coalesce(F.get(at, k + 1), n) - start).cast("long").alias("cnt"),
+                    (F.coalesce(F.get(at, k + 1), n) - start).cast("double").alias("cnt"),
                 ),
             ),
         )

@@ -16,7 +16,8 @@ def with_term_counts(df: DataFrame) -> DataFrame:
 
 def document_terms(df: DataFrame, *keys: str) -> DataFrame:
     """Long form (keys..., term, cnt)."""
-    return df.select(*keys, unpack(F.col("counted"))).where(F.col("term").isNotNull())
+    long = df.select(*keys, unpack(F.col("counted"))).where(F.col("term").isNotNull())
+    return long.withColumn("cnt", F.col("cnt").cast("long"))
 
 
 def term_statistics(df: DataFrame) -> DataFrame:

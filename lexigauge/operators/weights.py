@@ -24,14 +24,13 @@ def sublinear(count: Column) -> Column:
     return 1 + F.log(count)
 
 
-def scaler(when: Column | None = None, prefix: str = "") -> list[Column]:
+def scaler() -> list[Column]:
     """Aggregates for the mean and POPULATION deviation of each signal; a deviation of 0 becomes 1."""
     out = []
     for name in SIGNALS:
-        x = F.col(name) if when is None else F.when(when, F.col(name))
-        deviation = F.stddev_pop(x)
-        out.append(F.avg(x).alias(f"{prefix}mean_{name}"))
-        out.append(F.when(deviation == 0, F.lit(1.0)).otherwise(deviation).alias(f"{prefix}std_{name}"))
+        deviation = F.stddev_pop(name)
+        out.append(F.avg(name).alias(f"mean_{name}"))
+        out.append(F.when(deviation == 0, F.lit(1.0)).otherwise(deviation).alias(f"std_{name}"))
     return out
 
 
@@ -97,18 +96,14 @@ def weighted_entries(docs: DataFrame, weights: DataFrame, keys: Sequence[str], r
     are. Unknown terms drop out; signals (and the intercept, where the table has one) always match, so
     every document keeps a row. `value` is the term weight before the L2 norm, or the standardised signal.
     """
-    own = [
-        F.struct(F.lit(signal_key(n)).alias("key"), F.col(n).alias("x")) for n in SIGNALS
-    ] + [F.struct(F.lit(INTERCEPT).alias("key"), F.lit(1.0).alias("x"))]
-    counts = F.transform(
-        "counted", lambda t: F.struct(t["term"].alias("key"), sublinear(t["cnt"]).alias("x"))
-    )
+    own = [(signal_key(n), F.col(n)) for n in SIGNALS] + [(INTERCEPT, F.lit(1.0))]
+    entries = F.concat("counted", F.array(*[F.struct(F.lit(k).alias("term"), x.alias("cnt")) for k, x in own]))
     chosen = "models" in docs.columns
-    long = docs.select(*keys, *(["models"] if chosen else []), unpack(F.concat(counts, F.array(*own))))
+    long = docs.select(*keys, *(["models"] if chosen else []), unpack(entries)).withColumnsRenamed({"term": "key", "cnt": "x"})
     known = long.join(small(weights, rows), "key")
     if chosen:
         known = known.where(F.array_contains("models", F.col("model"))).drop("models")
-    value = F.when(F.col("is_term"), F.col("x") * F.col("idf")).otherwise((F.col("x") - F.col("mean")) / F.col("std"))
+    value = F.when(F.col("is_term"), sublinear(F.col("x")) * F.col("idf")).otherwise((F.col("x") - F.col("mean")) / F.col("std"))
     return known.withColumn("value", value).drop("x", "idf", "mean", "std")
 
 

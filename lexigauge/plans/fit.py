@@ -86,18 +86,9 @@ def trial_vocabularies(
 
 def trial_scalers(docs: DataFrame, part: str, trials: Sequence[Trial]) -> dict[int, dict]:
     """Training size, and mean and deviation of each signal, per trial; one pass, a few numbers."""
-    aggregates = []
-    for t in trials:
-        mine = F.col(part).isin(list(t.train))
-        aggregates += [F.count(F.when(mine, 1)).alias(f"m{t.model}_n"), *scaler(mine, f"m{t.model}_")]
-    row = docs.agg(*aggregates).first()
-    return {
-        t.model: {
-            "n": row[f"m{t.model}_n"],
-            "signals": [(row[f"m{t.model}_mean_{s}"], row[f"m{t.model}_std_{s}"]) for s in SIGNALS],
-        }
-        for t in trials
-    }
+    shares = assign_trials(docs, part, trials, "train").select(F.explode("models").alias("model"), *SIGNALS)
+    rows = shares.groupBy("model").agg(F.count(F.lit(1)).alias("n"), *scaler()).collect()
+    return {r["model"]: {"n": r["n"], "signals": [(r[f"mean_{s}"], r[f"std_{s}"]) for s in SIGNALS]} for r in rows}
 
 
 def assign_trials(docs: DataFrame, part: str, trials: Sequence[Trial], role: str) -> DataFrame:
