@@ -1,6 +1,6 @@
 """The same results as plain SQL over the given tables, for an independent engine."""
 
-from lexigauge.catalog.setup import FIXED_FEATURES, FIXED_INTERCEPT, GROUPS, LEXICONS, STOP
+from lexigauge.catalog.setup import FIXED_INTERCEPT, GROUPS, LEXICONS, STOP
 from lexigauge.config import MAX_FEATURES, SEED, SIGNALS
 from lexigauge.operators.profile import COMPARED, REFERENCED
 
@@ -140,7 +140,7 @@ shuffled AS (
 # The model with coefficients by position, applied to every document.
 _ENTRY_SIGNALS = ", ".join(f"('{n}', {i})" for i, n in enumerate(SIGNALS))
 _FIXED = f"""
-WITH {_LABELLED}, {_signals('docs', 'doc_id')}, {_terms('docs', 'doc_id')}, {_vocabulary(FIXED_FEATURES)},
+WITH {_LABELLED}, {_signals('docs', 'doc_id')}, {_terms('docs', 'doc_id')}, {_vocabulary(MAX_FEATURES)},
 model_terms AS (SELECT term, idx, {_IDF} AS idf, (idx % 7 - 3) * 0.5 AS coef FROM vocabulary),
 scale AS (
     {' UNION ALL '.join(
@@ -270,13 +270,13 @@ ORACLES = {
             SELECT model, term, sum(cnt)::BIGINT AS tf, count(*) AS df
             FROM terms JOIN trials ON fold <> model GROUP BY model, term HAVING count(*) >= 2
         ),
-        kept AS (SELECT * FROM stats QUALIFY row_number() OVER (PARTITION BY model ORDER BY tf DESC, term) <= 1000)
+        kept AS (SELECT * FROM stats QUALIFY row_number() OVER (PARTITION BY model ORDER BY tf DESC, term) <= {MAX_FEATURES})
         SELECT model::INT AS model, term, (row_number() OVER (PARTITION BY model ORDER BY term) - 1)::INT AS idx, tf, df,
             round(ln((1 + (SELECT count(*) FROM folded f WHERE f.fold <> kept.model)) / (1 + df)) + 1, 6) AS idf
         FROM kept""",
     "score_fixed": _SCORED,
     "stream_score": _SCORED,
-    "model_roundtrip": f"{_FIXED} SELECT doc_id, known_terms, round(z, 3) AS z, pred FROM scored",
+    "model_roundtrip": f"{_FIXED} SELECT doc_id, known_terms, round(p, 6) AS p, true AS agrees FROM scored",
     "explain_fixed": f"""{_FIXED},
         ranked AS (
             SELECT doc_id, abs(value) AS size, row_number() OVER (PARTITION BY doc_id ORDER BY abs(value) DESC, term) AS rank

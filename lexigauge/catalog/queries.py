@@ -10,7 +10,7 @@ from lexigauge.functions.urls import has_url, url_count
 from lexigauge.operators import dedup, profile, rank, score, vocab, weights
 from lexigauge.plans import evaluate, report
 from lexigauge.plans.corpus import distinct_documents
-from lexigauge.plans.fit import trial_vocabularies
+from lexigauge.plans.fit import Model, trial_vocabularies
 from lexigauge.sources import sinks
 from lexigauge.sources.files import GroupFile, load_corpus, load_for_audit
 from lexigauge.sources.scratch import materialize, new_path
@@ -184,14 +184,15 @@ def fold_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     trials = evaluate.fold_trials()
     members = {r["fold"]: r["count"] for r in slim.groupBy("fold").count().collect()}
     sizes = {t.model: sum(members[f] for f in t.train) for t in trials}
-    return trial_vocabularies(slim, "fold", trials, sizes, 1000).select("model", "term", "idx", "tf", "df", rounded("idf"))
+    return trial_vocabularies(slim, "fold", trials, sizes).select("model", "term", "idx", "tf", "df", rounded("idf"))
 
 
 def _fixed(spark: SparkSession, sf: str):
     """The fixed-coefficient model and the features of every document, labelled or not."""
     learned = materialize(features(distinct(spark, sf)).select("counted", *SIGNALS), "learned")
     docs = with_clean_text(documents(spark, sf))
-    return fixed_model(learned), features(docs)
+    model = fixed_model(learned)
+    return Model(materialize(model.weights, "weights"), model.rows), features(docs)
 
 
 def score_fixed(spark: SparkSession, sf: str) -> DataFrame:
@@ -229,23 +230,27 @@ def model_terms_fixed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Save the model as tables, load it again, score all documents with the loaded one."""
-    model, _ = _fixed(spark, sf)
+    """Save the model as tables, load it again, score all documents with both: the stored digits suffice."""
+    model, docs = _fixed(spark, sf)
     path = new_path(spark, "exported")
     sinks.save_model(model, path, LEXICONS)
-    loaded, lexicons = sinks.load_model(spark, path)
-    docs = documents(spark, sf)
-    return score_texts(docs, loaded, lexicons).select("doc_id", "known_terms", F.round("z", 3).alias("z"), "pred")
+    loaded, _ = sinks.load_model(spark, path)
+    ready = materialize(docs.select("doc_id", "counted", *SIGNALS), "features")
+    stored = score.score(ready, loaded.weights, ["doc_id"], loaded.rows).select("doc_id", F.col("p").alias("stored"))
+    return (
+        score.score(ready, model.weights, ["doc_id"], model.rows)
+        .join(stored, "doc_id")
+        .select("doc_id", "known_terms", rounded("p"), (F.abs(F.col("p") - F.col("stored")) < 1e-4).alias("agrees"))
+    )
 
 
 def stream_score(spark: SparkSession, sf: str) -> DataFrame:
     """The documents as a stream, scored by micro-batch."""
     model, _ = _fixed(spark, sf)
-    fixed = materialize(model.weights, "model")
     schema = read(spark, sf, "documents").schema
     stream = spark.readStream.schema(schema).parquet(f"{sf}/documents*.parquet").select("doc_id", F.col("text").alias("raw"))
     out = new_path(spark, "scored")
-    score_stream(stream, type(model)(fixed, model.rows), out, new_path(spark, "progress"), LEXICONS).awaitTermination()
+    score_stream(stream, model, out, new_path(spark, "progress"), LEXICONS).awaitTermination()
     return spark.read.parquet(out).select("doc_id", "known_terms", rounded("z"), rounded("p"), "pred")
 
 
@@ -297,7 +302,7 @@ def file_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fit_features(spark: SparkSession, sf: str) -> DataFrame:
-    return features(distinct(spark, sf))
+    return materialize(evaluate.slim(features(distinct(spark, sf)), "origin", "text_hash"), "features")
 
 
 def fit_terms(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,7 +5,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexigauge.config import SIGNALS, STOP_WORDS, WEB_WORDS
+from lexigauge.config import MAX_FEATURES, SIGNALS, STOP_WORDS, WEB_WORDS
 from lexigauge.operators.vocab import select_vocabulary, term_statistics, with_idf
 from lexigauge.operators.weights import signal_scaler
 from lexigauge.plans import corpus as plans
@@ -28,7 +28,6 @@ STOP = (*STOP_WORDS, *WEB_WORDS)
 
 # A weight table that needs no fit, so that scoring can be checked against SQL: the features come from
 # the data, the coefficients follow from their position.
-FIXED_FEATURES = 500
 FIXED_INTERCEPT = -0.25
 
 
@@ -64,9 +63,9 @@ features = partial(plans.features, lexicons=LEXICONS)
 
 def fixed_model(docs: DataFrame) -> Model:
     """From a feature table: its vocabulary, idf and scaler with coefficients by position."""
-    terms = with_idf(select_vocabulary(term_statistics(docs), FIXED_FEATURES), docs).withColumn(
+    terms = with_idf(select_vocabulary(term_statistics(docs)), docs).withColumn(
         "coef", (F.col("idx") % 7 - 3) * 0.5
     )
     numeric = signal_scaler(docs).withColumn("coef", (F.col("pos") - 2) * 0.2)
     meta = docs.sparkSession.createDataFrame([(FIXED_INTERCEPT,)], "intercept double")
-    return Model.from_tables(terms, numeric, meta, FIXED_FEATURES + len(SIGNALS) + 1)
+    return Model.from_tables(terms, numeric, meta, MAX_FEATURES + len(SIGNALS) + 1)

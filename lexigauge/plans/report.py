@@ -50,6 +50,13 @@ def statistics(
     )
 
 
+def signal_reference(reference: DataFrame, label: str = "y") -> dict[str, tuple[float, float]]:
+    """What is typical of either class, for `document_report`, from the two rows of `class_reference`."""
+    rows = {r[label]: r for r in reference.collect()}
+    columns = {"urgency": "urg_any", "cta": "cta_any", "urls": "urls", "length": "median_words", "caps": "caps"}
+    return {name: (rows[1][c], rows[0][c]) for name, c in columns.items()}
+
+
 def parity(
     spark: SparkSession, texts: DataFrame, model: Model, lexicons: Mapping[str, Sequence[str]], keys: Sequence[str]
 ) -> DataFrame:

@@ -136,3 +136,12 @@ def test_top_words_ties_and_stop_words(spark):
     df = spark.createDataFrame([("g", "zeta alpha the"), ("g", "alpha zeta beta"), ("g", "www beta")], "grp string, low string")
     got = [(r["rank"], r["word"], r["docs"]) for r in profile.top_words(df, ("the", "www"), 2).orderBy("rank").collect()]
     assert got == [(1, "alpha", 2), (2, "beta", 2)]
+
+
+def test_reference_values_weigh_groups_equally(spark):
+    from lexigauge.plans.report import signal_reference
+
+    rows = [("a", 1, 10, 80.0, 1.0, 50.0, 20.0, 3.0), ("b", 1, 9000, 100.0, 3.0, 30.0, 0.0, 5.0), ("c", 0, 5, 7.0, 0.5, 2.0, 1.0, 4.0)]
+    table = spark.createDataFrame(rows, "grp string, y int, docs int, median_words double, urls double, urg_any double, cta_any double, caps double")
+    got = signal_reference(profile.class_reference(table))
+    assert got == {"urgency": (40, 2), "cta": (10, 1), "urls": (2, 0.5), "length": (90, 7), "caps": (4, 4)}
