@@ -302,7 +302,7 @@ def file_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fit_features(spark: SparkSession, sf: str) -> DataFrame:
-    return materialize(evaluate.slim(features(distinct(spark, sf)), "origin", "text_hash"), "features")
+    return features(distinct(spark, sf))  # the reports write what they read more than once
 
 
 def fit_terms(spark: SparkSession, sf: str) -> DataFrame:
