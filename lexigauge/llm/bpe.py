@@ -4,7 +4,7 @@ Encoding: a text is cut into the pattern's matches. In each task DuckDB encodes
 recursive query unnests their tokens into rows of positions, joins neighbouring pairs with the table of merges and contracts in
 every word its leftmost pair of least rank, until no word has a pair that merges. A match that is itself a token is that token.
 Decoding: DuckDB joins token positions with the vocabulary and aggregates their bytes in order. Equal runs of tokens
-between two word starts are decoded once per batch, and a document is put together from its runs.
+between two word starts are decoded once, and a document is put together from its runs.
 
 Nothing is shuffled; a task holds one Arrow batch and dictionaries of bounded size. Words of more than LONG_WORD bytes, whose
 contraction one pair at a time would be quadratic, take the same merges in the same order from a heap.
@@ -18,21 +18,22 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import duckdb
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from lexigauge.llm.batches import add_columns
 
 LONG_WORD = 256
-#: Entries of a dictionary before it is cut back to what the batch at hand needs.
-CACHE = 500_000
+#: Entries of a table of runs before it is cut back to those met more than once.
+CACHE = 600_000
 #: Bytes or ids that are looked through for equal runs at once.
 SLICE = 2_000_000
 
@@ -88,8 +89,8 @@ class Codec:
         self.opens[[rank for token, rank in self.ranks.items() if token.startswith(b" ")]] = True
         self.valid = np.zeros(len(self.opens), bool)
         self.valid[list(self.ranks.values())] = True
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[bytes, bytes | None] = {}
+        self.pieces = RunTable(np.uint8, np.int32, self._encode_runs)
+        self.runs = RunTable(np.int32, np.uint8, self._decode_runs)
 
     def _table(self, name: str, table: pa.Table) -> None:
         self.db.register("given", table)
@@ -125,93 +126,146 @@ class Codec:
                 out[i] = flat[4 * a : 4 * b]
         return out
 
-    def _learn_words(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > CACHE:
-            self.words = {w: self.words[w] for w in words if w in self.words}
-        self.words.update(zip(new, self.encode_words([w.encode() for w in new]), strict=True))
-
-    def _learn_pieces(self, pieces: list[bytes]) -> None:
-        """Encode pieces: what stands between single spaces, with the space before it.
-
-        The pattern never matches across a space that follows a character other than white space, so pieces can be matched
-        apart, or one behind the other. A piece that is empty or ends in white space gets None: its text is matched as a whole.
-        """
-        texts = [p.decode() for p in pieces]
-        plain = [i for i, t in enumerate(texts) if t.startswith(" ") and not t[-1].isspace()]
-        found = self.pattern.findall("".join([texts[i] for i in plain]))
-        alone = {i: self.pattern.findall(t) for i, t in enumerate(texts) if t and not t.startswith(" ") and not t[-1].isspace()}
-        self._learn_words(set(found).union(*alone.values()))
-        ids = self.words
+    def _encode_runs(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of runs, and how many each has."""
+        texts = [r.decode() for r in runs]
+        # Of runs that start with a space, those that do not end in one can be matched one behind the other.
+        apart = [i for i, t in enumerate(texts) if t[0] == " " and not t[-1].isspace()]
+        found = self.pattern.findall("".join([texts[i] for i in apart]))
+        rest = {i: self.pattern.findall(t) for i, t in enumerate(texts) if t[0] != " " or t[-1].isspace()}
+        words = list(set(found).union(*rest.values()))
+        ids = dict(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
         ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
-        stops = np.searchsorted(ends, np.cumsum([len(texts[i]) for i in plain])).tolist()
-        made: dict[bytes, bytes | None] = dict.fromkeys(pieces)
+        stops = np.searchsorted(ends, np.cumsum([len(texts[i]) for i in apart])).tolist()
+        made = [b""] * len(runs)
         first = 0
-        for i, stop in zip(plain, stops, strict=True):
-            made[pieces[i]] = ids[found[first]] if first == stop else b"".join([ids[w] for w in found[first : stop + 1]])
+        for i, stop in zip(apart, stops, strict=True):
+            made[i] = ids[found[first]] if first == stop else b"".join([ids[w] for w in found[first : stop + 1]])
             first = stop + 1
-        for i, words in alone.items():
-            made[pieces[i]] = b"".join([ids[w] for w in words])
-        self.pieces.update(made)
+        for i, matches in rest.items():
+            made[i] = b"".join([ids[w] for w in matches])
+        return np.frombuffer(b"".join(made), np.int32), np.array([len(m) // 4 for m in made], np.int64)
+
+    def _decode_runs(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of runs of ids, and how many each has."""
+        offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in runs])]).astype(np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(runs), np.int32)))
+        found = self._query(_DECODE, "runs", pa.table({"run": np.arange(len(runs), dtype=np.int32), "ids": ids}))
+        made = [b.encode("latin-1") for b in found["bytes"].to_pylist()]
+        return np.frombuffer(b"".join(made), np.uint8), np.array([len(b) for b in made], np.int64)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one behind the other, and where each text's ids start and the last ones end."""
-        data = b"".join(texts)
-        flat = np.frombuffer(data, np.uint8)
+        """The ids of all texts one behind the other, and where each text's ids start and the last ones end.
+
+        A text is cut into runs where the pattern never matches across: before a space that follows no white space, between
+        an ASCII letter and other ASCII that is no letter or digit, and between a single line end and a letter.
+        """
+        flat = np.frombuffer(b"".join(texts), np.uint8)
         ends = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-        opens = flat == 32
+        kind = _KIND[flat]
+        opens = kind == _SPACE
+        if len(flat) > 2:
+            opens[1:] &= ~_WHITE[flat[:-1]]
+            opens[2:] &= ~(_WHITE_LAST[flat[1:-1]] & _WHITE_BEFORE[flat[:-2]])
+            opens[1:] |= (kind[:-1] == _LETTER) & (kind[1:] >= _MARK)
+            opens[2:] |= (flat[1:-1] == 10) & (kind[2:] == _LETTER) & (kind[:-2] > 0) & ~_WHITE[flat[:-2]]
         opens[ends[:-1][ends[:-1] < len(flat)]] = True
-        bounds = np.append(np.flatnonzero(opens), len(flat))
-        ids, counts, odd = [], [], []
-        for lo, hi in _slices(bounds):
-            first, place = distinct_runs(flat, bounds[lo : hi + 1])
-            keys = [data[a:b] for a, b in zip(bounds[lo + first].tolist(), bounds[lo + first + 1].tolist(), strict=True)]
-            new = [k for k in keys if k not in self.pieces]
-            if len(self.pieces) + len(new) > CACHE:
-                self.pieces = {k: self.pieces[k] for k in keys if k in self.pieces}
-            self._learn_pieces(new)
-            found = [self.pieces[k] for k in keys]
-            values = np.frombuffer(b"".join([f or b"" for f in found]), np.int32)
-            lengths = np.array([len(f) // 4 if f else 0 for f in found], np.int64)
-            ids.append(spread(values, lengths, place))
-            counts.append(lengths[place])
-            odd.append(np.array([f is None for f in found])[place])
-        if not ids:
-            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-        flat_ids, before = np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
-        at = before[np.searchsorted(bounds, ends)]
-        wrong = np.unique(np.searchsorted(ends, bounds[:-1][np.concatenate(odd)], side="right") - 1)
-        if not len(wrong):
-            return flat_ids, at
-        matches = [self.pattern.findall(texts[i].decode()) for i in wrong]
-        self._learn_words({w for found in matches for w in found})
-        whole = {i: np.frombuffer(b"".join([self.words[w] for w in found]), np.int32) for i, found in zip(wrong.tolist(), matches, strict=True)}
-        lists = [whole[i] if i in whole else flat_ids[at[i] : at[i + 1]] for i in range(len(texts))]
-        return np.concatenate(lists), np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+        ids, counts, at = self.pieces.replace(flat, np.append(np.flatnonzero(opens), len(flat)), ends)
+        return ids, np.concatenate([[0], np.cumsum(counts)])[at]
 
     def decode(self, flat: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of the lists flat[ends[i]:ends[i + 1]] one behind the other, and where each list's bytes start and end."""
         if len(flat) and not (flat.min() >= 0 and flat.max() < len(self.valid) and self.valid[flat].all()):
             raise ValueError("an id is not in the vocabulary")
-        starts = self.opens[flat]
-        starts[ends[:-1][ends[:-1] < len(flat)]] = True
-        bounds = np.append(np.flatnonzero(starts), len(flat))
-        out, counts = [np.zeros(0, np.uint8)], [np.zeros(1, np.int64)]
+        opens = self.opens[flat]
+        opens[ends[:-1][ends[:-1] < len(flat)]] = True
+        data, counts, at = self.runs.replace(flat, np.append(np.flatnonzero(opens), len(flat)), ends)
+        return data, np.concatenate([[0], np.cumsum(counts)])[at]
+
+
+class RunTable:
+    """Runs of numbers and what each is replaced by, found by hash and compared in full."""
+
+    def __init__(self, key: type, value: type, make: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]) -> None:
+        self.key, self.value, self.make = key, value, make
+        self._set(*[np.zeros(0, t) for t in (np.uint64, np.int64, key, np.int64, value, np.int64)])
+
+    def _set(self, hashes, key_sizes, keys, counts, values, uses) -> None:
+        """Keep entries in the order of their hashes. `counts` are the sizes of the values."""
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.key_sizes, self.counts, self.uses = hashes[order], key_sizes[order], counts[order], uses[order]
+        self.keys, self.values = spread(keys, key_sizes, order), spread(values, counts, order)
+        self.key_starts = np.cumsum(self.key_sizes) - self.key_sizes
+
+    def _add(self, hashes: np.ndarray, key_sizes: np.ndarray, keys: np.ndarray, counts: np.ndarray, values: np.ndarray) -> None:
+        if len(self.hashes) + len(hashes) > CACHE:  # entries met once since the last time go
+            often = np.flatnonzero(self.uses > 0)
+            if len(often) + len(hashes) > CACHE:
+                often = often[:0]
+            kept = (self.hashes[often], self.key_sizes[often], spread(self.keys, self.key_sizes, often), self.counts[often],
+                    spread(self.values, self.counts, often), np.zeros(len(often), np.int64))
+        else:
+            kept = (self.hashes, self.key_sizes, self.keys, self.counts, self.values, self.uses)
+        new = (hashes, key_sizes, keys, counts, values, np.zeros(len(hashes), np.int64))
+        self._set(*[np.concatenate(pair) for pair in zip(kept, new, strict=True)])
+
+    def replace(self, flat: np.ndarray, bounds: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Values of all runs one behind the other, their sizes, and the first run of each list that starts at `ends`."""
+        values, counts = [np.zeros(0, self.value)], [np.zeros(0, np.int64)]
         for lo, hi in _slices(bounds):
-            first, place = distinct_runs(flat, bounds[lo : hi + 1])
-            lengths = bounds[lo + first + 1] - bounds[lo + first]
-            offsets = np.concatenate([[0], np.cumsum(lengths)])
-            # The ids of the distinct runs, each run where it occurs first.
-            ids = flat[np.repeat(bounds[lo + first] - offsets[:-1], lengths) + np.arange(offsets[-1])]
-            runs = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
-            found = self._query(_DECODE, "runs", pa.table({"run": np.arange(len(first), dtype=np.int32), "ids": runs}))
-            made = [b.encode("latin-1") for b in found["bytes"].to_pylist()]
-            sizes = np.array([len(b) for b in made], np.int64)
-            out.append(spread(np.frombuffer(b"".join(made), np.uint8), sizes, place))
-            counts.append(sizes[place])
-        before = np.cumsum(np.concatenate(counts))
-        return np.concatenate(out), before[np.searchsorted(bounds, ends)]
-
+            v, c = self._slice(flat[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo])
+            values.append(v)
+            counts.append(c)
+        return np.concatenate(values), np.concatenate(counts), np.searchsorted(bounds, ends)
+
+    def _slice(self, part: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        hashes, first, place = distinct_runs(part, bounds)
+        starts, sizes = bounds[first], bounds[first + 1] - bounds[first]
+        at = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
+        known = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+        known[known] = self.key_sizes[at[known]] == sizes[known]
+        inside = np.repeat(np.arange(len(hashes)), sizes * known)
+        offset = np.arange(len(inside)) - np.repeat(np.cumsum(sizes * known) - sizes * known, sizes * known)
+        differs = self.keys[self.key_starts[at[inside]] + offset] != part[starts[inside] + offset]
+        known[inside[differs]] = False
+        self.uses[at[known]] += 1
+        new = np.flatnonzero(~known)
+        keys = spread_at(part, starts[new], sizes[new])
+        data, stops = keys.tobytes(), (np.concatenate([[0], np.cumsum(sizes[new])]) * keys.itemsize).tolist()
+        made, made_counts = self.make([data[a:b] for a, b in zip(stops[:-1], stops[1:], strict=True)]) if len(new) else (np.zeros(0, self.value), np.zeros(0, np.int64))
+        counts = np.zeros(len(hashes), np.int64)
+        counts[known], counts[new] = self.counts[at[known]], made_counts
+        old = spread(self.values, self.counts, at[known])
+        # Values of known and of new runs side by side, then in the order of the runs.
+        table = np.concatenate([old, made])
+        where = np.zeros(len(hashes), np.int64)
+        sizes_known, sizes_new = counts[known], made_counts
+        where[known] = np.cumsum(sizes_known) - sizes_known
+        where[new] = len(old) + np.cumsum(sizes_new) - sizes_new
+        out = spread_at(table, where[place], counts[place])
+        if len(new):
+            fresh = ~np.isin(hashes[new], self.hashes)  # a hash shared with another run is not kept
+            pick = np.flatnonzero(fresh)
+            self._add(hashes[new][pick], sizes[new][pick], spread(keys, sizes[new], pick), made_counts[pick], spread(made, sizes_new, pick))
+        return out, counts[place]
+
+
+_LETTER, _MARK, _SPACE = 1, 2, 3
+_KIND = np.array([
+    _SPACE if b == 32 else _LETTER if b < 128 and chr(b).isalpha() else _MARK if b < 128 and not chr(b).isdigit() else 0 for b in range(256)
+], np.uint8)
+
+
+def _bytes(*values: int) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(values)] = True
+    return out
+
+
+# ASCII white space; the last byte, and the one before it, of white space outside ASCII (and of some other characters).
+_WHITE = _bytes(9, 10, 11, 12, 13, 32)
+_WHITE_LAST = _bytes(0x85, 0xA0, *range(0x80, 0x8B), 0xA8, 0xA9, 0xAF, 0x9F)
+_WHITE_BEFORE = _bytes(0xC2, 0x80, 0x81, 0x9A)
 
 _STEP = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_STEP, -1, 1 << 64)
@@ -236,30 +290,34 @@ def _slices(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def distinct_runs(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First run of each kind, and the kind of every run flat[bounds[i]:bounds[i + 1]]. Equal hashes are compared in full."""
-    begin, lengths = bounds[:-1] - bounds[0], np.diff(bounds)
-    part = flat[bounds[0] : bounds[-1]]
-    if len(lengths) == 1:
-        return np.zeros(1, np.int64), np.zeros(1, np.int64)
+def distinct_runs(part: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and first run of each kind, and the kind of every run part[bounds[i]:bounds[i + 1]]. Equal hashes are compared in full."""
+    begin, lengths = bounds[:-1], np.diff(bounds)
     powers, inverse = _powers()
+    if len(part) > SLICE:  # one long run
+        return np.array([xxhash.xxh64_intdigest(part.tobytes())], np.uint64), np.zeros(1, np.int64), np.zeros(1, np.int64)
     sums = np.zeros(len(part) + 1, np.uint64)
     np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers[: len(part)], out=sums[1:])
-    hashes = (sums[begin + lengths] - sums[begin]) * inverse[begin] * np.uint64(_INVERSE) + lengths.astype(np.uint64)
-    _, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+    hashes = (sums[begin + lengths] - sums[begin]) * inverse[begin] * np.uint64(_STEP) + lengths.astype(np.uint64)
+    kinds, first, place = np.unique(hashes, return_index=True, return_inverse=True)
     same = (lengths[first][place] == lengths).all() and (part[np.repeat(begin[first][place] - begin, lengths) + np.arange(len(part))] == part).all()
     if not same:  # two runs share a hash
-        kinds: dict[bytes, int] = {}
-        place = np.array([kinds.setdefault(part[a : a + n].tobytes(), len(kinds)) for a, n in zip(begin.tolist(), lengths.tolist(), strict=True)])
+        names: dict[bytes, int] = {}
+        place = np.array([names.setdefault(part[a : a + n].tobytes(), len(names)) for a, n in zip(begin.tolist(), lengths.tolist(), strict=True)])
         _, first = np.unique(place, return_index=True)
-    return first, place
+        kinds = hashes[first]
+    return kinds, first, place
+
+
+def spread_at(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """values[starts[i]:starts[i] + sizes[i]] for every i, one behind the other."""
+    ends = np.cumsum(sizes)
+    return values[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 def spread(values: np.ndarray, lengths: np.ndarray, place: np.ndarray) -> np.ndarray:
     """The lists with `lengths` in `values`, one list per entry of `place`, one behind the other."""
-    starts, sizes = np.cumsum(lengths) - lengths, lengths[place]
-    ends = np.cumsum(sizes)
-    return values[np.repeat(starts[place] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+    return spread_at(values, (np.cumsum(lengths) - lengths)[place], lengths[place])
 
 
 @lru_cache(maxsize=4)
