@@ -164,7 +164,7 @@ def fit_cutoffs(
             part = pdf[pdf["rule"] == rule]
             good = np.bincount(part["step"], weights=part["good"], minlength=len(cutoffs) + 1)
             rest = np.bincount(part["step"], weights=part["rows"] - part["good"], minlength=len(cutoffs) + 1)
-            above = lambda h: h[::-1].cumsum()[::-1][1:]
+            above = lambda h: h[::-1].cumsum()[:-1]  # noqa: E731  a document that k cutoffs reject is rejected by the k last ones
             at = choose(above(rest), above(good), int(good.sum()), rate, level, price)
             row[f"cut_{rule}"] = None if at is None else cutoffs[at]
         return pd.DataFrame([row], columns=[f.name for f in schema])
