@@ -37,7 +37,7 @@ CURVE_ROWS, SLICES = 4000, 8
 WINDOWS = (8, 24, 64)
 DISCOUNT = 1
 THRESHOLD = 0.3
-_CHUNK, _PIECE = 4_000_000, 400_000
+_CHUNK, _PIECE = 2_000_000, 400_000
 
 
 @dataclass(frozen=True)
@@ -199,6 +199,7 @@ def ratios(model: Model, texts: list[bytes]) -> np.ndarray:
         last, size, parts, lengths = first, 0, [], []
         while last < len(texts) and (last == first or size < _PIECE):
             data = plain(texts[last])
+            data = data if data.strip() else b""
             parts += [data, b" " * gap]
             lengths.append(len(data))
             size += len(data) + gap
@@ -209,12 +210,14 @@ def ratios(model: Model, texts: list[bytes]) -> np.ndarray:
         inside = np.zeros(len(ratio) + 1, np.int32)
         np.add.at(inside, starts, 1)
         np.add.at(inside, starts + lengths, -1)
-        ratio[np.cumsum(inside[:-1]) == 0] = 0
+        outside = np.cumsum(inside[:-1]) == 0
+        ratio[outside] = 0
         out[first:last, 0] = np.add.reduceat(ratio, starts) / np.maximum(lengths, 1)
         sums = np.concatenate([[0.0], np.cumsum(ratio), np.zeros(gap)])
         sums[len(ratio) + 1 :] = sums[len(ratio)]
         for i, width in enumerate(WINDOWS):
             windows = (sums[width : width + len(ratio)] - sums[: len(ratio)]) / width
+            windows[outside] = -np.inf  # starts behind its text
             out[first:last, 1 + i] = np.where(np.array(lengths) > 0, np.maximum.reduceat(windows, starts), 0)
         first = last
     return out
