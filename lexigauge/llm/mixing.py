@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from lexigauge.sources.scratch import materialize
 
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 RESULTS = ("size", "source_size", "target", "taken")
 _GAP, _WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]+"
 
