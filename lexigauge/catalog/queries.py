@@ -123,7 +123,7 @@ def lexicon_hits(spark: SparkSession, sf: str) -> DataFrame:
     entries = [(k, t) for k, ts in LEXICONS.items() for t in ts]
     table = spark.createDataFrame(entries, "kind string, term string")
     docs = with_clean_text(documents(spark, sf))
-    return lexicon_matches(docs, table, [len(t) for _, t in entries], len(entries))
+    return lexicon_matches(docs, table, len(entries))
 
 
 def group_profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -320,7 +320,7 @@ def holdout_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cross_origin_report(spark: SparkSession, sf: str) -> DataFrame:
-    return evaluate.cross_origin(_fit_features(spark, sf), ["en", "other"])
+    return evaluate.cross_origin(_fit_features(spark, sf), [("en", "other"), ("other", "en")])
 
 
 QUERIES = {

@@ -20,15 +20,17 @@ def hits(low: Column, terms: Sequence[str]) -> Column:
 
 
 def lexicon_matches(
-    docs: DataFrame, lexicon: DataFrame, lengths: Sequence[int], rows: int, doc_key: str = "doc_id"
+    docs: DataFrame, lexicon: DataFrame, rows: int, doc_key: str = "doc_id"
 ) -> DataFrame:
     """(doc_key, kind, term) for a lexicon of any size, given as a table (kind, term).
 
-    `lengths` are the term lengths that occur, `rows` bounds the lexicon (a small one is broadcast). A term can only be the beginning of the text that follows
-    a word start, so cutting those beginnings to each length turns the theta-join "term occurs in text"
+    `rows` bounds the lexicon (a small one is broadcast). A term can only be the beginning of the text that follows a word start, so cutting those beginnings to each length turns the theta-join "term occurs in text"
     into an equi-join. Beginnings are distinct per text before they are exploded.
     """
-    sizes = sorted({int(n) for n in lengths})
+    lengths = lexicon.where(F.length("term") > 0).select(F.length("term").alias("n")).distinct()
+    sizes = sorted(r["n"] for r in lengths.collect())  # a row per length that occurs
+    if not sizes:
+        return docs.select(doc_key, F.lit("").alias("kind"), F.lit("").alias("term")).where("false")
     beginnings = F.array_distinct(
         F.regexp_extract_all(
             F.col("low"), F.lit(rf"(?s)(?<![a-z0-9])(?=(.{{{sizes[0]},{sizes[-1]}}}))"), F.lit(1)

@@ -1,5 +1,7 @@
 """Words, word pairs and their counts inside one row: no shuffle is needed to count within a document."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from lexigauge.functions.exprs import let
@@ -23,8 +25,9 @@ def with_pairs(words: Column) -> Column:
     return let(words, build)
 
 
-def terms(low: Column) -> Column:
-    return with_pairs(tokens(low))
+def terms(low: Column, words: Callable[[Column], Column] = tokens) -> Column:
+    """Words and pairs; `words` makes an array of words of a text."""
+    return with_pairs(words(low))
 
 
 def run_lengths(values: Column) -> Column:
@@ -55,8 +58,8 @@ def run_lengths(values: Column) -> Column:
     return let(F.sort_array(values), from_sorted)
 
 
-def term_counts(low: Column) -> Column:
-    return run_lengths(terms(low))
+def term_counts(low: Column, words: Callable[[Column], Column] = tokens) -> Column:
+    return run_lengths(terms(low, words))
 
 
 def alpha_words(low: Column) -> Column:

@@ -7,17 +7,20 @@ from lexigauge.config import URL_TLDS
 # The JVM's \b knows Unicode letters; a host glued to Japanese text needs the ASCII meaning, spelled out.
 _EDGE = r"(?:(?<![A-Za-z0-9_])(?=[A-Za-z0-9_])|(?<=[A-Za-z0-9_])(?![A-Za-z0-9_]))"
 _TLD = "|".join(URL_TLDS)
-# A host name has at most 127 labels, and the bound keeps the matcher's stack flat.
-URL = (
-    rf"https?://[^ ]+|{_EDGE}[a-z0-9-]++(?:\.[a-z0-9-]++){{0,126}}\.(?:{_TLD}){_EDGE}(?:/[^ ]*)?"
-)
+# A host is taken as one run of its characters, which the matcher steps through without a stack, and given back up to the last
+# known ending. Labels must not be empty: `_split` puts a control character between neighbouring dots, which ends a run.
+URL = rf"https?://[^ ]+|{_EDGE}[a-z0-9-][a-z0-9.-]*\.(?:{_TLD}){_EDGE}(?:/[^ ]*)?"
 _CANDIDATE = rf"://|\.(?:{_TLD})"
 
 
+def _split(low: Column) -> Column:
+    return F.when(low.contains(".."), F.regexp_replace(low, r"\.(?=\.)", ".\u0001")).otherwise(low)
+
+
 def url_count(low: Column) -> Column:
     """Number of URLs; texts without a scheme or a known ending skip the full pattern."""
-    return F.when(low.rlike(_CANDIDATE), F.regexp_count(low, F.lit(URL))).otherwise(F.lit(0))
+    return F.when(low.rlike(_CANDIDATE), F.regexp_count(_split(low), F.lit(URL))).otherwise(F.lit(0))
 
 
 def has_url(low: Column) -> Column:
-    return low.rlike(_CANDIDATE) & low.rlike(URL)
+    return low.rlike(_CANDIDATE) & _split(low).rlike(URL)

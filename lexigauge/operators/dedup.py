@@ -44,6 +44,12 @@ def require_consistent_labels(df: DataFrame, text: str = "text", label: str = "y
         raise ValueError(f"same text appears with both labels (text hash {found[0]['text_hash']})")
 
 
+def exact_row(columns: Sequence[str]) -> Column:
+    """All values of a row as one string: every value with its length before it, a null as a dash; nothing is rounded."""
+    values = [F.col(c).cast("string") for c in columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in values])
+
+
 def duplicate_audit(
     df: DataFrame, group: str, row_columns: Sequence[str], text: str = "raw_text", cleaned: str = "text"
 ) -> DataFrame:
@@ -52,7 +58,7 @@ def duplicate_audit(
     The distinct counts run on fixed-size hashes and combine before the shuffle. Two nulls count as
     identical texts, but a null is not a unique text.
     """
-    row_hash = F.sha2(F.to_json(F.struct(*row_columns)), 256)
+    row_hash = F.sha2(exact_row(row_columns), 256)
     slim = df.select(
         group,
         row_hash.alias("row_hash"),

@@ -6,18 +6,18 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexigauge.config import SIGNAL_LABELS, THRESHOLD
 from lexigauge.functions.exprs import round_half_even, sigmoid
-from lexigauge.operators.weights import INTERCEPT, norm_of, weighted_entries
+from lexigauge.operators.weights import INTERCEPT, ROW, norm_of, weighted_entries
 
 
 def score(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
-    """(model, keys..., known_terms, z, p, pred). Shuffles one small row per document.
+    """(model, keys..., known_terms, z, p, pred): one row per row of `docs`. Shuffles one small row per document.
 
-    `keys` must identify a document; other columns that depend on it ride along.
+    `keys` are carried along; rows that repeat one are scored each for itself.
     """
     is_term, value, part = F.col("is_term"), F.col("value"), F.col("value") * F.col("coef")
     return (
         weighted_entries(docs, weights, keys, rows)
-        .groupBy("model", *keys)
+        .groupBy("model", ROW, *keys)
         .agg(
             F.sum(is_term.cast("long")).alias("known_terms"),
             norm_of(is_term, value).alias("_norm"),
@@ -27,7 +27,7 @@ def score(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int) -
         .withColumn("z", F.col("_terms") / F.col("_norm") + F.col("_rest"))
         .withColumn("p", sigmoid(F.col("z")))
         .withColumn("pred", (F.col("p") >= THRESHOLD).cast("int"))
-        .drop("_norm", "_terms", "_rest")
+        .drop(ROW, "_norm", "_terms", "_rest")
     )
 
 
@@ -40,7 +40,7 @@ def explain(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int)
     entry = F.struct(F.col("key").alias("term"), is_term.alias("is_term"), (value * F.col("coef")).alias("value"))
     per_doc = (
         weighted_entries(docs, weights, keys, rows)
-        .groupBy("model", *keys)
+        .groupBy("model", ROW, *keys)
         .agg(
             F.sum(is_term.cast("long")).alias("known_terms"),
             norm_of(is_term, value).alias("_norm"),
@@ -60,7 +60,7 @@ def explain(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int)
         .withColumn("p", sigmoid(F.col("z")))
         .withColumn("pred", (F.col("p") >= THRESHOLD).cast("int"))
         .withColumn("contributions", _by_size(F.filter("_all", lambda e: e["term"] != INTERCEPT)))
-        .drop("_norm", "_entries", "_all")
+        .drop(ROW, "_norm", "_entries", "_all")
     )
 
 

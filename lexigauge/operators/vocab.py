@@ -1,17 +1,17 @@
 """Term statistics, vocabulary and inverse document frequency."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexigauge.config import MAX_FEATURES, MIN_DOC_FREQ
 from lexigauge.functions.exprs import unpack
-from lexigauge.functions.terms import term_counts
+from lexigauge.functions.terms import term_counts, tokens
 
 
-def with_term_counts(df: DataFrame) -> DataFrame:
-    """Add `counted`: array<struct<term, cnt>> of the words and pairs of `low`."""
-    return df.withColumn("counted", term_counts(F.col("low")))
+def with_term_counts(df: DataFrame, words: Callable[[Column], Column] = tokens) -> DataFrame:
+    """Add `counted`: array<struct<term, cnt>> of the words and pairs of `low`. `words` cuts a text into words."""
+    return df.withColumn("counted", term_counts(F.col("low"), words))
 
 
 def document_terms(df: DataFrame, *keys: str) -> DataFrame:

@@ -14,6 +14,7 @@ from lexigauge.config import SIGNALS
 from lexigauge.functions.exprs import small, unpack
 
 INTERCEPT = "[intercept]"
+ROW = "_row"
 
 
 def signal_key(name: str) -> str:
@@ -88,7 +89,9 @@ def intercept_rows(intercepts: DataFrame) -> DataFrame:
 
 
 def weighted_entries(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
-    """(model, keys..., key, slot, is_term, value [, coef]): one row per known feature of a document and model.
+    """(model, ROW, keys..., key, slot, is_term, value [, coef]): one row per known feature of a document and model.
+
+    ROW tells the rows of `docs` apart, made where they are scanned: keys may repeat.
 
     `docs` needs `counted` and the signals; an array column `models` says which models a document belongs
     to (without one, to all of the table). `rows` bounds the weight table, which is broadcast when small,
@@ -99,7 +102,8 @@ def weighted_entries(docs: DataFrame, weights: DataFrame, keys: Sequence[str], r
     own = [(signal_key(n), F.col(n)) for n in SIGNALS] + [(INTERCEPT, F.lit(1.0))]
     entries = F.concat("counted", F.array(*[F.struct(F.lit(k).alias("term"), x.alias("cnt")) for k, x in own]))
     chosen = "models" in docs.columns
-    long = docs.select(*keys, *(["models"] if chosen else []), unpack(entries)).withColumnsRenamed({"term": "key", "cnt": "x"})
+    numbered = docs.withColumn(ROW, F.monotonically_increasing_id())
+    long = numbered.select(ROW, *keys, *(["models"] if chosen else []), unpack(entries)).withColumnsRenamed({"term": "key", "cnt": "x"})
     known = long.join(small(weights, rows), "key")
     if chosen:
         known = known.where(F.array_contains("models", F.col("model"))).drop("models")
@@ -116,12 +120,13 @@ def norm_of(entries_is_term: Column, value: Column) -> Column:
 def tfidf(docs: DataFrame, vocabulary: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
     """(key, term, weight): L2-normalised sublinear TF-IDF over vocabulary terms."""
     known = (
-        docs.select(key, unpack(F.col("counted")))
+        docs.withColumn(ROW, F.monotonically_increasing_id())
+        .select(ROW, key, unpack(F.col("counted")))
         .join(small(vocabulary.select("term", "idf"), rows), "term")
         .withColumn("w", sublinear(F.col("cnt")) * F.col("idf"))
     )
     # A document's entries number at most the vocabulary, so they fit one row.
-    per_doc = known.groupBy(key).agg(
+    per_doc = known.groupBy(ROW, key).agg(
         F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.collect_list(F.struct("term", "w")).alias("entries")
     )
     return per_doc.select(key, "norm", F.inline("entries")).select(key, "term", (F.col("w") / F.col("norm")).alias("weight"))
@@ -139,10 +144,10 @@ def _vector_udf(size: int):
 def feature_vectors(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int, max_features: int) -> DataFrame:
     """(model, keys..., features): one sparse vector per document and model, normalised terms and standardised signals.
 
-    `keys` must identify a document; further columns that depend on it may be listed to carry them along.
+    `keys` are carried along; they need not identify a row.
     """
     entries = weighted_entries(docs, weights, keys, rows).where(F.col("slot").isNotNull())
-    per_doc = entries.groupBy("model", *keys).agg(
+    per_doc = entries.groupBy("model", ROW, *keys).agg(
         norm_of(F.col("is_term"), F.col("value")).alias("norm"),
         F.sort_array(F.collect_list(F.struct("slot", "is_term", "value"))).alias("entries"),
     )

@@ -1,12 +1,13 @@
 """From a loaded corpus to distinct documents and their features."""
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lexigauge.config import LEXICONS
 from lexigauge.functions.clean import clean_text, lower_without_emails
 from lexigauge.functions.signals import with_signals
+from lexigauge.functions.terms import tokens
 from lexigauge.operators.dedup import keep_first
 from lexigauge.operators.vocab import with_term_counts
 
@@ -19,6 +20,8 @@ def distinct_documents(corpus: DataFrame, order: Sequence[str] = ("grp_order", "
     return kept.withColumn("low", lower_without_emails(F.col("text")))
 
 
-def features(documents: DataFrame, lexicons: Mapping[str, Sequence[str]] = LEXICONS) -> DataFrame:
-    """Signals and in-document term counts: all a fit or a score needs."""
-    return with_term_counts(with_signals(documents, lexicons))
+def features(
+    documents: DataFrame, lexicons: Mapping[str, Sequence[str]] = LEXICONS, words: Callable[[Column], Column] = tokens
+) -> DataFrame:
+    """Signals and in-document term counts: all a fit or a score needs. `words` is the caller's own way to cut a text into words."""
+    return with_term_counts(with_signals(documents, lexicons), words)

@@ -18,15 +18,16 @@ from lexigauge.sources import sinks
 from lexigauge.sources.scratch import materialize, new_path
 from lexigauge.streaming.score import score_texts
 
-# Raw texts that exercise what is easy to get wrong: odd whitespace, hosts glued to other scripts,
-# names that are special elsewhere, terms inside words, and nothing at all.
+# Raw texts for what this engine could get wrong: hosts of many labels or with empty ones, line ends that only some readers split
+# at, letters written with combining marks, characters of two UTF-16 units, regex syntax, and one text twice.
 EDGE_TEXTS = (
-    "\ufeffPlease confirm\u0085your order immediately!?",
-    "詳細はexample.co.jp と http://example.org/a?b=c",
-    "hasOwnProperty constructor __proto__ valueOf",
-    "The account is UNLOCKED, no need to SIGN IN at www.my-own-bank.net within 24 hours.",
-    "First line\r\n\r\nSecond line, third part",
-    "",
+    "see " + "a." * 150 + "org/now and b..com",
+    "one\x0btwo\x1cthree four, five,",
+    "café Ångstrom ﬁne ½",
+    "\U0001f600\U0001f600 twice! twice? \U0001d504",
+    r"\Qquoted\E (group) [class] $1 \\ end",
+    "the same text",
+    "the same text",
 )
 
 
@@ -89,11 +90,12 @@ def training_run(
     corpus: DataFrame, out: str, lexicons: Mapping[str, Sequence[str]] = LEXICONS,
     stop_words: Sequence[str] = (*STOP_WORDS, *WEB_WORDS), max_features: int = MAX_FEATURES,
     C: float = INVERSE_REGULARISATION, folds: int = FOLDS, share: float = TEST_SHARE, seed: int = SEED,
-    expected_rows: dict[str, int] | int | None = None, **fit,
+    expected_rows: dict[str, int] | int | None = None, transfer_pairs: Sequence[tuple[str, str]] = (), **fit,
 ) -> dict[str, DataFrame]:
     """Everything from a loaded corpus (doc_id, raw, y, origin, grp, grp_order) to a stored model and statistics.
 
-    Writes `<out>/model`, `<out>/stats`; returns the reports by name.
+    Writes `<out>/model`, `<out>/stats`; returns the reports by name. `transfer_pairs` lists (origin to fit on, origin to test
+    on); without any there is no transfer report.
     """
     spark = corpus.sparkSession
     loaded = materialize(corpus, "corpus")
@@ -106,8 +108,7 @@ def training_run(
 
     cv = evaluate.cross_validate(ready, folds, seed, **options)
     model, predicted, held_out = evaluate.hold_out(ready, share, seed, **options)
-    origins = [r["origin"] for r in ready.select("origin").distinct().orderBy("origin").collect()]
-    transfer = evaluate.cross_origin(ready, origins, **options)
+    transfer = {"transfer": evaluate.cross_origin(ready, transfer_pairs, **options)} if transfer_pairs else {}
 
     sinks.save_model(model, f"{out}/model", lexicons)
     tests = parity_texts(spark, predicted, documents.select("doc_id", "raw"))
@@ -118,7 +119,7 @@ def training_run(
     stats = statistics(loaded, documents, lexicons, stop_words)
     sinks.save_stats(stats, f"{out}/stats")
     return {
-        "cv": cv, "held_out": held_out, "transfer": transfer, "strongest": score.strongest_terms(model.weights),
+        "cv": cv, "held_out": held_out, **transfer, "strongest": score.strongest_terms(model.weights),
         "stats": spark.read.schema(stats.schema).json(f"{out}/stats"),
         "parity": spark.read.parquet(f"{out}/model/parity"),
     }

@@ -9,18 +9,20 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lexigauge.config import CSV_NULLS
 from lexigauge.functions.clean import NOT_SPACE, decode_subject
+from lexigauge.sources.scratch import materialize
 
-ORDER = ("file", "part_start", "row_no", "piece")
+ORDER = ("file", "row_no", "piece")
+_SPLIT = ("file", "part_start", "row_no", "piece")
 # Line ends that only Unicode-aware splitters know; the reader has split at the others.
 _LINE_ENDS = r"[\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 
 def _position() -> list[Column]:
-    # Inside one split, rows get growing numbers; the split's start orders the splits of a file.
+    # Inside one split, rows get growing numbers; the split's start orders the splits of a file. `_numbered` makes row numbers of them.
     return [
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("part_start"),
@@ -28,6 +30,18 @@ def _position() -> list[Column]:
     ]
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """`row_no` as the number of the row in its file, from 0, however the file was split.
+
+    A first pass counts the rows of every split, so the table that is joined has a row per split. It must not prune columns
+    in a way that changes what a row is, so it reads what the second pass reads.
+    """
+    splits = rows.groupBy("file", "part_start").agg(F.min("row_no").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("file").orderBy("part_start").rowsBetween(Window.unboundedPreceding, 0)
+    base = materialize(splits.withColumn("_base", F.sum("_n").over(before) - F.col("_n") - F.col("_first")).drop("_n", "_first"), "splits")
+    return rows.join(F.broadcast(base), ["file", "part_start"]).withColumn("row_no", F.col("row_no") + F.col("_base")).drop("part_start", "_base")
+
+
 def _blank_if_null(value: Column) -> Column:
     return F.when(value.isin(*CSV_NULLS), F.lit("")).otherwise(F.coalesce(value, F.lit("")))
 
@@ -36,36 +50,46 @@ def _null_if_marked(value: Column) -> Column:
     return F.when(~value.isin(*CSV_NULLS), value)
 
 
-def _csv(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool) -> DataFrame:
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    reader = spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
-    return reader.option("multiLine", multi_line).csv(path)
+def _csv(spark: SparkSession, path: str, needed: Sequence[str], multi_line: bool = True) -> DataFrame:
+    """All columns as strings under the names of the header; files with another header than the first are an error."""
+    reader = lambda: spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+    names = reader().csv(path).columns  # reads the first lines only
+    missing = [c for c in needed if c not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {', '.join(names)}")
+    schema = ", ".join(f"`{c}` string" for c in names)
+    return reader().schema(schema).option("enforceSchema", False).csv(path)
 
 
 def read_subject_body(
     spark: SparkSession, path: str, columns: Sequence[str] = ("subject", "body"), audit: bool = False
 ) -> DataFrame:
-    """Quoted CSV with embedded newlines; text = subject, one blank, body.
+    """Quoted CSV with embedded newlines; text = subject, one blank, body. Columns are found by the names in the header.
 
-    `columns` names the file's columns in order. A multi-line file is one task: keep such files small or
+    `columns` are the names of the two columns. A multi-line file is one task: keep such files small or
     land them as Parquet once.
     """
-    df = _csv(spark, path, columns, multi_line=True)
-    subject = F.col("subject")
+    first, second = columns
+    df = _csv(spark, path, columns)
+    subject = F.col(first)
     subject = _blank_if_null(subject) if audit else decode_subject(_null_if_marked(subject))
-    raw = F.concat(subject, F.lit(" "), _blank_if_null(F.col("body")))
-    kept = [_null_if_marked(F.col(c)).alias(c) for c in columns] if audit else []
-    return df.select(*_position(), F.lit(0).alias("piece"), raw.alias("raw"), *kept)
+    raw = F.concat(subject, F.lit(" "), _blank_if_null(F.col(second)))
+    kept = [_null_if_marked(F.col(c)).alias(c) for c in df.columns] if audit else []
+    return _numbered(df.select(*_position(), F.lit(0).alias("piece"), raw.alias("raw"), *kept))
 
 
 def read_text_column(
-    spark: SparkSession, path: str, columns: Sequence[str] = ("text",), text: str = "text", audit: bool = False
+    spark: SparkSession, path: str, columns: Sequence[str] = ("text",), audit: bool = False, multi_line: bool = True
 ) -> DataFrame:
-    """Quoted CSV with a text column. An audit keeps a missing text as null."""
-    df = _csv(spark, path, columns, multi_line=True)
+    """Quoted CSV with a text column, found by its name in the header. An audit keeps a missing text as null.
+
+    Without line ends inside quotes, `multi_line=False` lets large files be split.
+    """
+    (text,) = columns
+    df = _csv(spark, path, columns, multi_line)
     raw = _null_if_marked(F.col(text)) if audit else _blank_if_null(F.col(text))
-    kept = [_null_if_marked(F.col(c)).alias(c) for c in columns if c != text] if audit else []
-    return df.select(*_position(), F.lit(0).alias("piece"), raw.alias("raw"), *kept)
+    kept = [_null_if_marked(F.col(c)).alias(c) for c in df.columns if c != text] if audit else []
+    return _numbered(df.select(*_position(), F.lit(0).alias("piece"), raw.alias("raw"), *kept))
 
 
 def _without_first_lines():
@@ -97,7 +121,8 @@ def read_last_comma(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).select(*_position(), "value")
     body = lines.mapInArrow(_without_first_lines(), lines.schema)
     return (
-        body.select("file", "part_start", "row_no", F.posexplode(F.split("value", _LINE_ENDS)).alias("piece", "line"))
+        _numbered(body.select(*_SPLIT[:3], "value"))
+        .select("file", "row_no", F.posexplode(F.split("value", _LINE_ENDS)).alias("piece", "line"))
         .where(F.col("line").rlike(NOT_SPACE))
         .select(*ORDER, F.regexp_replace("line", r",[^,]*\z", "").alias("raw"))
     )
@@ -112,7 +137,7 @@ class GroupFile:
     grp: str
     origin: str
     y: int
-    columns: tuple[str, ...] | None = None
+    columns: tuple[str, ...] | None = None  # names of the columns to read, if not the usual ones
 
 
 def read_group(spark: SparkSession, source: GroupFile, audit: bool = False) -> DataFrame:
@@ -129,7 +154,8 @@ def load_corpus(spark: SparkSession, sources: Sequence[GroupFile]) -> DataFrame:
     """
     parts = [
         read_group(spark, s).select(
-            F.concat_ws("#", "file", *[F.col(c).cast("string") for c in ORDER[1:]]).alias("doc_id"),
+            # Numbers padded, so that the order of the strings is the order of the rows.
+            F.concat_ws("#", "file", F.lpad(F.col("row_no").cast("string"), 15, "0"), F.lpad(F.col("piece").cast("string"), 6, "0")).alias("doc_id"),
             "raw",
             F.lit(s.y).alias("y"),
             F.lit(s.origin).alias("origin"),

@@ -4,16 +4,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+SMALL_SPLITS = 16
 GROUP_SCHEMA = "origin string, y int, grp string, grp_order int, grp_name string"
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of an input that has fewer splits than the session has cores.
+    """Give every core a share of an input of a few splits, such as a single small file.
 
-    Large tables have more splits than cores and pass unchanged, without a shuffle.
+    An input of SMALL_SPLITS splits or more passes without a shuffle, however many cores there are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    cores, splits = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    return df if splits >= min(cores, SMALL_SPLITS) else df.repartition(min(cores, SMALL_SPLITS))
 
 
 def group_dimension(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:

@@ -11,7 +11,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables not found")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = contract.QUERIES, contract.ORACLES
 FITS = sorted(set(QUERIES) - set(SQL))
 
 

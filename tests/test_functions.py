@@ -90,15 +90,20 @@ def test_urls(texts):
 
 
 def test_url_pattern_survives_long_hosts(spark):
-    long = ".".join(["ab"] * 20000) + " x.com"
-    assert spark.createDataFrame([(long,)], "low string").select(urls.url_count(F.col("low"))).first()[0] == 1
+    texts = [".".join(["ab"] * 20000) + " x.com"]
+    texts += ["x.com" + ".y" * n + ".com" for n in (0, 1, 126, 127, 200, 20000)]  # one host, whatever its length
+    rows = spark.createDataFrame([(t,) for t in texts], "low string").select(urls.url_count(F.col("low"))).collect()
+    assert [r[0] for r in rows] == [1] * len(texts)
+    empty = ["a..com", "a.b..com/x y.org", "a.com..b.net", "..", "x.com/a..b.org"]
+    rows = spark.createDataFrame([(t,) for t in empty], "low string").select(urls.url_count(F.col("low"))).collect()
+    assert [r[0] for r in rows] == [0, 1, 2, 0, 1]
 
 
 def test_lexicon_terms_start_at_a_word(texts):
     words = ["clown", "here", "log in", "locked", "dog", "a.b", "12"]
     table = texts.sparkSession.createDataFrame([("k", w) for w in words], "kind string, term string")
     joined = {}
-    for r in lexicon.lexicon_matches(texts, table, [len(w) for w in words], len(words)).collect():
+    for r in lexicon.lexicon_matches(texts, table, len(words)).collect():
         joined.setdefault(r["doc_id"], set()).add(r["term"])
     for r in texts.select("doc_id", "low", lexicon.hits(F.col("low"), words).alias("h")).collect():
         want = [w for w in words if re.search("(?:^|[^a-z0-9])" + re.escape(w), r["low"])]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexigauge.functions.signals import with_clean_text
 from lexigauge.operators.dedup import duplicate_audit
+from lexigauge.plans.corpus import distinct_documents
 from lexigauge.sources.files import GroupFile, load_corpus, load_for_audit, read_last_comma, read_subject_body, read_text_column
 from lexigauge.sources.scratch import materialize, scratch_dir
 
@@ -30,11 +31,8 @@ def files(tmp_path):
     return tmp_path
 
 
-COLUMNS = ("sender", "subject", "body", "label")
-
-
 def test_quoted_multi_line(spark, files):
-    rows = read_subject_body(spark, f"{files}/quoted.csv", COLUMNS).orderBy("row_no").collect()
+    rows = read_subject_body(spark, f"{files}/quoted.csv").orderBy("row_no").collect()
     assert [r["raw"] for r in rows] == [
         'one, two he said "hi"\nsecond line', "été plain", " ", "=?broken x", 'one, two he said "hi"\nsecond line',
     ]
@@ -56,22 +54,60 @@ def test_every_file_loses_its_own_header_even_when_split(spark, tmp_path):
         df = read_last_comma(spark, str(tmp_path))
         assert df.rdd.getNumPartitions() > 10
         assert df.count() == 15000 and df.where("raw like 'head%'").count() == 0
-        assert df.select("file", "part_start", "row_no", "piece").distinct().count() == 15000
+        assert df.select("file", "row_no", "piece").distinct().count() == 15000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_rows_have_the_same_ids_however_files_are_split_and_the_first_copy_stays(spark, tmp_path):
+    lines = [f"line {i % 4000}, text,1" for i in range(6000)]
+    lines[3] = lines[11] = lines[5900] = "a copy,1"
+    (tmp_path / "many.txt").write_text("\n".join(["text,label", *lines]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    seen = []
+    for size in ("20000", "33333", before):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            docs = load_corpus(spark, [GroupFile(str(tmp_path / "many.txt"), "last_comma", "g", "o", 1)])
+            rows = docs.orderBy("doc_id").collect()
+            first = distinct_documents(docs).where("text = 'a copy'").select("doc_id").collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert [r["row_no"] for r in rows] == list(range(6000))
+        assert [r["raw"] for r in rows] == [x.rsplit(",", 1)[0] for x in lines]
+        assert [r["doc_id"] for r in first] == [rows[3]["doc_id"]]
+        seen.append([r["doc_id"] for r in rows])
+    assert seen[0] == seen[1] == seen[2]
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "six.csv").write_text('sender,receiver,date,subject,body,label\nme,you,now,Hello,World,1\n')
+    (tmp_path / "turned.csv").write_text('body,label,subject\nWorld,1,Hello\n')
+    for name in ("six.csv", "turned.csv"):
+        assert [r["raw"] for r in read_subject_body(spark, f"{tmp_path}/{name}").collect()] == ["Hello World"]
+    (tmp_path / "without.csv").write_text("title,body\na,b\n")
+    with pytest.raises(ValueError, match="subject"):
+        read_subject_body(spark, f"{tmp_path}/without.csv")
+
+
+def test_rows_that_differ_in_microseconds_differ(spark):
+    rows = spark.sql("SELECT 'g' AS g, 't' AS raw_text, 't' AS text, timestamp'2020-01-01 00:00:00' + make_dt_interval(0, 0, 0, id / 1000000.0) AS at FROM range(3)")
+    twins = rows.unionAll(rows.limit(1))
+    found = duplicate_audit(twins, "g", ["raw_text", "at"]).first()
+    assert (found["n_rows"], found["identical_rows"]) == (4, 1)
+
+
 def test_text_column(spark, files):
-    read = lambda audit: [r["raw"] for r in read_text_column(spark, f"{files}/texts.csv", ("text", "label"), audit=audit).orderBy("row_no").collect()]
+    read = lambda audit: [r["raw"] for r in read_text_column(spark, f"{files}/texts.csv", audit=audit).orderBy("row_no").collect()]
     assert read(False) == ["a, b", "", "", "last"]
     assert read(True) == ["a, b", None, None, "last"]
 
 
 def test_corpus_and_audit(spark, files):
     sources = [
-        GroupFile(f"{files}/quoted.csv", "subject_body", "hp", "human", 1, COLUMNS),
+        GroupFile(f"{files}/quoted.csv", "subject_body", "hp", "human", 1),
         GroupFile(f"{files}/unquoted.csv", "last_comma", "lp", "machine", 1),
-        GroupFile(f"{files}/texts.csv", "text", "ll", "machine", 0, ("text", "label")),
+        GroupFile(f"{files}/texts.csv", "text", "ll", "machine", 0),
     ]
     docs = load_corpus(spark, sources)
     assert {(r["grp"], r["origin"], r["y"], r["grp_order"]): r["n"] for r in docs.groupBy("grp", "origin", "y", "grp_order").agg(F.count("*").alias("n")).collect()} == {
