@@ -49,6 +49,8 @@ docs AS (
 _ALL = f"""
 docs AS (SELECT *, {_low('text')} AS low FROM (SELECT doc_id, {_clean('text')} AS text FROM documents))"""
 
+_DISTINCT = f"""{_ALL.rstrip(')')}) QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1)"""
+
 
 def _signals(source: str, keep: str) -> str:
     return f"""
@@ -209,15 +211,15 @@ ORACLES = {
             count(*) - count(DISTINCT text) AS identical_text, count(DISTINCT text) AS unique_text,
             count(DISTINCT {_clean('text')}) AS after_cleaning
         FROM conversations GROUP BY role""",
-    "token_counts": f"WITH {_LABELLED}, {_terms('docs', 'doc_id')} SELECT doc_id, term, cnt FROM terms",
-    "vocabulary": f"WITH {_LABELLED}, {_terms('docs', 'doc_id')}, {_vocabulary(MAX_FEATURES)} SELECT * FROM vocabulary",
+    "token_counts": f"WITH {_DISTINCT}, {_terms('docs', 'doc_id')} SELECT doc_id, term, cnt FROM terms",
+    "vocabulary": f"WITH {_DISTINCT}, {_terms('docs', 'doc_id')}, {_vocabulary(MAX_FEATURES)} SELECT * FROM vocabulary",
     "conversation_vocabulary": f"""WITH docs AS (
         SELECT id, {_low('text')} AS low
         FROM (SELECT row_number() OVER () AS id, {_clean('text')} AS text FROM conversations)
     ), {_terms('docs', 'id')}, {_vocabulary(MAX_FEATURES, 'id')} SELECT * FROM vocabulary""",
-    "idf_weights": f"""WITH {_LABELLED}, {_terms('docs', 'doc_id')}, {_vocabulary(MAX_FEATURES)}
+    "idf_weights": f"""WITH {_DISTINCT}, {_terms('docs', 'doc_id')}, {_vocabulary(MAX_FEATURES)}
         SELECT term, df, round({_IDF}, 6) AS idf FROM vocabulary""",
-    "tfidf_l2": f"""WITH {_LABELLED}, {_terms('docs', 'doc_id')}, {_vocabulary(MAX_FEATURES)},
+    "tfidf_l2": f"""WITH {_DISTINCT}, {_terms('docs', 'doc_id')}, {_vocabulary(MAX_FEATURES)},
         weighted AS (SELECT doc_id, term, (1 + ln(cnt)) * ({_IDF}) AS w FROM terms JOIN vocabulary USING (term))
         SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM weighted""",
     "signals": f"""WITH {_ALL}, {_signals('docs', 'doc_id')}
@@ -225,7 +227,7 @@ ORACLES = {
             array_to_string(urgency_hits, ',') AS urgency_hits, array_to_string(cta_hits, ',') AS cta_hits,
             round(100 * caps_ratio, 6) AS caps_pct, {', '.join(f'round({s}, 6) AS {s}' for s in SIGNALS)}
         FROM signals""",
-    "signal_scaler": f"""WITH {_LABELLED_SIGNALS} {' UNION ALL '.join(
+    "signal_scaler": f"""WITH {_DISTINCT}, {_signals('docs', 'doc_id')} {' UNION ALL '.join(
         f"SELECT {i} AS pos, '{s}' AS name, round(avg({s}), 6) AS mean, "
         f"round(CASE WHEN stddev_pop({s}) = 0 THEN 1 ELSE stddev_pop({s}) END, 6) AS std FROM signals"
         for i, s in enumerate(SIGNALS))}""",

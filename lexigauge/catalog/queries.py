@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexigauge.catalog.setup import GROUPS, LEXICONS, STOP, corpus, distinct, documents, features, fixed_model, origin, read, texts
+from lexigauge.catalog.setup import GROUPS, LEXICONS, STOP, all_distinct, corpus, distinct, documents, features, fixed_model, origin, read, texts
 from lexigauge.config import SIGNALS
 from lexigauge.functions.lexicon import lexicon_matches
 from lexigauge.functions.signals import with_clean_text, with_signals
@@ -66,11 +66,11 @@ def conversation_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def token_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return vocab.document_terms(vocab.with_term_counts(distinct(spark, sf)), "doc_id")
+    return vocab.document_terms(vocab.with_term_counts(all_distinct(spark, sf)), "doc_id")
 
 
 def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    return vocab.select_vocabulary(vocab.term_statistics(vocab.with_term_counts(distinct(spark, sf))))
+    return vocab.select_vocabulary(vocab.term_statistics(vocab.with_term_counts(all_distinct(spark, sf))))
 
 
 def conversation_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
@@ -79,12 +79,12 @@ def conversation_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def idf_weights(spark: SparkSession, sf: str) -> DataFrame:
-    docs = materialize(vocab.with_term_counts(distinct(spark, sf)).select("counted"), "counted")
+    docs = materialize(vocab.with_term_counts(all_distinct(spark, sf)).select("counted"), "counted")
     return vocab.with_idf(vocab.select_vocabulary(vocab.term_statistics(docs)), docs).select("term", "df", rounded("idf"))
 
 
 def tfidf_l2(spark: SparkSession, sf: str) -> DataFrame:
-    docs = materialize(vocab.with_term_counts(distinct(spark, sf)).select("doc_id", "counted"), "counted")
+    docs = materialize(vocab.with_term_counts(all_distinct(spark, sf)).select("doc_id", "counted"), "counted")
     words = vocab.with_idf(vocab.select_vocabulary(vocab.term_statistics(docs)), docs)
     return weights.tfidf(docs, words, 5000).select("doc_id", "term", rounded("weight"))
 
@@ -99,7 +99,7 @@ def signals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def signal_scaler(spark: SparkSession, sf: str) -> DataFrame:
-    scale = weights.signal_scaler(with_signals(distinct(spark, sf), LEXICONS))
+    scale = weights.signal_scaler(with_signals(all_distinct(spark, sf), LEXICONS))
     return scale.select("pos", "name", rounded("mean"), rounded("std"))
 
 

@@ -58,6 +58,11 @@ def distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.distinct_documents(corpus(spark, sf_dir))
 
 
+def all_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct documents whether they have a label or not: counting terms needs none."""
+    return plans.distinct_documents(documents(spark, sf_dir), ("doc_id",))
+
+
 features = partial(plans.features, lexicons=LEXICONS)
 
 

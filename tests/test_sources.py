@@ -105,19 +105,19 @@ def test_text_column(spark, files):
 
 def test_corpus_and_audit(spark, files):
     sources = [
-        GroupFile(f"{files}/quoted.csv", "subject_body", "hp", "human", 1),
-        GroupFile(f"{files}/unquoted.csv", "last_comma", "lp", "machine", 1),
-        GroupFile(f"{files}/texts.csv", "text", "ll", "machine", 0),
+        GroupFile(f"{files}/quoted.csv", "subject_body", "g1", "human", 1),
+        GroupFile(f"{files}/unquoted.csv", "last_comma", "g3", "machine", 1),
+        GroupFile(f"{files}/texts.csv", "text", "g4", "machine", 0),
     ]
     docs = load_corpus(spark, sources)
     assert {(r["grp"], r["origin"], r["y"], r["grp_order"]): r["n"] for r in docs.groupBy("grp", "origin", "y", "grp_order").agg(F.count("*").alias("n")).collect()} == {
-        ("hp", "human", 1, 0): 5, ("lp", "machine", 1, 1): 6, ("ll", "machine", 0, 2): 4,
+        ("g1", "human", 1, 0): 5, ("g3", "machine", 1, 1): 6, ("g4", "machine", 0, 2): 4,
     }
     assert docs.select("doc_id").distinct().count() == 15
     audit = with_clean_text(load_for_audit(spark, sources).withColumnRenamed("raw", "raw_text"), "raw_text")
     rows = {r["grp"]: r for r in duplicate_audit(audit, "grp", ["row"]).collect()}
-    assert (rows["hp"]["n_rows"], rows["hp"]["identical_rows"], rows["hp"]["identical_text"], rows["hp"]["unique_text"]) == (5, 1, 1, 4)
-    assert (rows["ll"]["n_rows"], rows["ll"]["identical_text"], rows["ll"]["unique_text"]) == (4, 1, 2)
+    assert (rows["g1"]["n_rows"], rows["g1"]["identical_rows"], rows["g1"]["identical_text"], rows["g1"]["unique_text"]) == (5, 1, 1, 4)
+    assert (rows["g4"]["n_rows"], rows["g4"]["identical_text"], rows["g4"]["unique_text"]) == (4, 1, 2)
 
 
 def session(master, shared=None):
