@@ -1,3 +1,37 @@
-"""DuckDB SQL of the queries that SQL can express."""
+r"""DuckDB SQL of the queries that SQL can express.
 
-ORACLES: dict[str, str] = {}
+Not expressible, and tested against brute force instead: op1 (merges until none is left), op4 and op6 (seeded hashes), op5 and op10 (spans and
+cutoffs of the method), op7 and op8 (learned models), op9 (the ring), the pipeline over them.
+"""
+
+_TURNS = r"""
+turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL
+    SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)"""
+_ESCAPED = r"regexp_replace({}, '(\\|{}###|</turn>)', '\\\1', 'g')"
+
+ORACLES: dict[str, str] = {
+    "op2_chat": f"""WITH {_TURNS}
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            sum(length('### ' || {_ESCAPED.format('role', ':|')} || ': ' || {_ESCAPED.format('text', '')} || ' </turn>' || chr(10)))::BIGINT AS formatted_chars
+        FROM turns GROUP BY conv_id""",
+    "op3_nearest": """WITH usable AS (
+            SELECT vec_id, min(embedding::DOUBLE[]) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+            GROUP BY vec_id
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+            FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0
+        )
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+        FROM scored QUALIFY rank <= 20""",
+}
