@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -15,7 +16,9 @@ SPACE = b" \t\n\x0b\x0c\r"
 #: The bytes of a code point after its first one.
 CONTINUATION = bytes(range(0x80, 0xC0))
 #: Entries that a worker's dictionary of words may hold before it starts again.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
+#: Bytes of text that a task works on at once, or one text.
+PIECE_BYTES = 1_000_000
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
@@ -23,6 +26,21 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [t or b"" for t in batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()]
 
 
+def pieces_of(batch: pa.RecordBatch, lengths: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose lengths add up to `most`; a longer row is a run of its own."""
+    ends, first = np.cumsum(lengths), 0
+    while first < batch.num_rows:
+        before = ends[first - 1] if first else 0
+        stop = max(int(np.searchsorted(ends, before + most, side="right")), first + 1)
+        yield batch.slice(first, stop - first)
+        first = stop
+
+
+def text_pieces(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0)
+    return pieces_of(batch, lengths.to_numpy(zero_copy_only=False).astype(np.int64), most)
+
+
 def add_columns(
     df: DataFrame, text: str, fields: list[tuple[str, T.DataType]], body: Callable[[list[bytes]], list], keep: list[str] | None = None
 ) -> DataFrame:
@@ -38,9 +56,9 @@ def add_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                made = body(texts_of(batch, text))
-                old = [batch.column(batch.schema.get_field_index(c)) for c in kept]
+            for part in text_pieces(batch, text, PIECE_BYTES):
+                made = body(texts_of(part, text))
+                old = [part.column(part.schema.get_field_index(c)) for c in kept]
                 new = [x if isinstance(x, pa.Array) else pa.array(x, type=arrow.field(n).type) for n, x in zip(names, made, strict=True)]
                 yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip([*old, *new], arrow, strict=True)], schema=arrow)
 

@@ -29,13 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lexigauge.llm.batches import add_columns
+from lexigauge.llm.batches import add_columns, pieces_of
 
 LONG_WORD = 256
 #: Entries of a table of runs before it is cut back to those met more than once.
-CACHE = 600_000
+CACHE = 300_000
 #: Bytes or ids that are looked through for equal runs at once.
-SLICE = 2_000_000
+SLICE = 1_000_000
 
 _ENCODE = """
 WITH RECURSIVE steps(step, word, ids) AS (
@@ -72,7 +72,7 @@ class Codec:
     def __init__(self, path: str, pattern: str) -> None:
         self.ranks = read_ranks(path)
         self.pattern = regex.compile(pattern)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
         pairs, merged = [], []
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
@@ -116,8 +116,8 @@ class Codec:
                 out[i] = np.array(heap_merge([self.of_byte[b] for b in word], word, self.ranks), np.int32).tobytes()
             else:
                 short.append(i)
-        for first in range(0, len(short), 50_000):
-            some = short[first : first + 50_000]
+        for first in range(0, len(short), 20_000):
+            some = short[first : first + 20_000]
             offsets = np.concatenate([[0], np.cumsum([len(words[i]) for i in some])]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(self.of_byte[np.frombuffer(b"".join(words[i] for i in some), np.uint8)]))
             found = self._query(_ENCODE, "words", pa.table({"word": np.arange(len(some), dtype=np.int32), "ids": ids}))["ids"].combine_chunks()
@@ -223,6 +223,7 @@ class RunTable:
         starts, sizes = bounds[first], bounds[first + 1] - bounds[first]
         at = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
         known = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+        taken = known.copy()
         known[known] = self.key_sizes[at[known]] == sizes[known]
         inside = np.repeat(np.arange(len(hashes)), sizes * known)
         offset = np.arange(len(inside)) - np.repeat(np.cumsum(sizes * known) - sizes * known, sizes * known)
@@ -244,8 +245,7 @@ class RunTable:
         where[new] = len(old) + np.cumsum(sizes_new) - sizes_new
         out = spread_at(table, where[place], counts[place])
         if len(new):
-            fresh = ~np.isin(hashes[new], self.hashes)  # a hash shared with another run is not kept
-            pick = np.flatnonzero(fresh)
+            pick = np.flatnonzero(~taken[new])  # a run that shares its hash with one kept is made anew each time
             self._add(hashes[new][pick], sizes[new][pick], spread(keys, sizes[new], pick), made_counts[pick], spread(made, sizes_new, pick))
         return out, counts[place]
 
@@ -374,13 +374,16 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", data: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(ids))
-            lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-            flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int32, copy=False)
-            found, at = codec(path, pattern).decode(flat, ends)
-            made = pa.Array.from_buffers(pa.binary(), len(column), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(found)])
-            old = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            yield pa.RecordBatch.from_arrays([*[x.cast(arrow.field(c).type) for x, c in zip(old, kept, strict=True)], made], schema=arrow)
+            at = batch.schema.get_field_index(ids)
+            sizes = batch.column(at).value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for part in pieces_of(batch, sizes, SLICE):
+                column = part.column(at)
+                lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+                flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int32, copy=False)
+                found, stops = codec(path, pattern).decode(flat, ends)
+                made = pa.Array.from_buffers(pa.binary(), len(column), [None, pa.py_buffer(stops.astype(np.int32)), pa.py_buffer(found)])
+                old = [part.column(part.schema.get_field_index(c)) for c in kept]
+                yield pa.RecordBatch.from_arrays([*[x.cast(arrow.field(c).type) for x, c in zip(old, kept, strict=True)], made], schema=arrow)
 
     return df.select(*dict.fromkeys([*kept, ids])).mapInArrow(run, schema)
