@@ -46,7 +46,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and the hash of the decoded text of every row."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, keep=["doc_id"])
+    # Written in between, so that a task needs one Python worker at a time.
+    encoded = materialize(bpe.encode(docs, path, public_tokenizers.PATTERN, keep=["doc_id"]), "ids")
     decoded = bpe.decode(encoded, path, public_tokenizers.PATTERN, keep=["doc_id", "ids"])
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 

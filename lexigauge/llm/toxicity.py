@@ -23,14 +23,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lexigauge.llm.batches import add_columns, plain, texts_of
 from lexigauge.sources.scratch import materialize
 
 #: Bytes per string of the upper and the lower order; slots of strings and of their contexts; bits of the filter of keys.
 UPPER, LOWER = 6, 4
-BITS = {"upper": 21, "upper_left": 20, "lower": 20, "lower_left": 18}
+BITS = {"upper": 20, "upper_left": 19, "lower": 19, "lower_left": 17}
 FILTER_BITS = 26
 #: Labelled documents that fit the curve, at most: those with the smallest hashes in one of SLICES slices.
 CURVE_ROWS, SLICES = 4000, 8
@@ -78,7 +79,7 @@ def training_labels(labels: DataFrame, key: str, label: str, train: Column) -> D
     return known.groupBy(F.col(key).alias("_key")).agg(F.max(F.col(label).cast("int")).alias("_toxic"))
 
 
-def _key_filter(spark: SparkSession, truth: DataFrame) -> np.ndarray:
+def _key_filter(truth: DataFrame) -> np.ndarray:
     """Bits set at the hashes of the labelled keys, in 2 ** FILTER_BITS: 8 MB for any number of keys."""
     at = F.pmod(F.xxhash64("_key"), F.lit(1 << FILTER_BITS))
     rows = truth.select(F.bitmap_bucket_number(at).alias("b"), F.bitmap_bit_position(at).alias("p")).groupBy("b").agg(
@@ -91,10 +92,8 @@ def _key_filter(spark: SparkSession, truth: DataFrame) -> np.ndarray:
     return table
 
 
-def _only_labelled(docs: DataFrame, truth: DataFrame, key: str) -> DataFrame:
+def _only_labelled(docs: DataFrame, shared: Broadcast, key: str) -> DataFrame:
     """Drop most rows without a label before any shuffle. The join that follows drops the others."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(_key_filter(spark, truth))
     at = F.pmod(F.xxhash64(F.col(key)), F.lit(1 << FILTER_BITS))
     marked = docs.withColumn("_bit", F.bitmap_bucket_number(at) * (1 << 15) + F.bitmap_bit_position(at))
 
@@ -234,8 +233,10 @@ def fit(
     truth = materialize(training_labels(labels, key, label, F.lit(True) if train is None else train), "truth")
     in_slice = F.pmod(F.xxhash64(F.col("_key"), F.lit("curve")), F.lit(SLICES)) == 0
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).filter(F.col("_key").isNotNull())
-    counted = _only_labelled(rows, truth, "_key").join(truth.filter(~in_slice), "_key")
+    labelled = docs.sparkSession.sparkContext.broadcast(_key_filter(truth))
+    counted = _only_labelled(rows, labelled, "_key").join(truth.filter(~in_slice), "_key")
     counts = _with_slots(materialize(count_strings(counted, "_text", "_toxic"), "strings"))
+    labelled.destroy()
     both = lambda f: [f(F.col(c)) for c in ("n0", "n1")]
     seen = lambda n: F.sum(F.when(n > 0, 1).otherwise(0))
     known = lambda n: F.sum(F.greatest(n - DISCOUNT, F.lit(0)))
@@ -271,6 +272,7 @@ def _curve_rows(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
     names = [f"r{i}" for i in range(1 + len(WINDOWS))]
     made = add_columns(rows, "_text", [(n, T.DoubleType()) for n in names], lambda texts: list(ratios(shared.value, texts).T), ["_key", "_toxic"])
     shown = made.dropDuplicates(["_key"]).orderBy("_key").toArrow()  # a row per key picked
+    shared.destroy()  # or every Python worker keeps its copy
     return np.column_stack([shown[n].to_numpy() for n in names]), shown["_toxic"].to_numpy() > 0
 
 
