@@ -173,7 +173,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle:
     Documents without a key count as larger than any. Texts are shuffled once, to meet the keys that stay.
     """
     held = docs.withColumn("_row", F.xxhash64(*docs.columns))
-    known = near_duplicates(held, text, key, ["_row"], shingle).filter("component_id IS NOT NULL OR fingerprint IS NOT NULL")
+    known = near_duplicates(held, text, key, ["_row"], shingle)
     order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("_row").alias("row"))
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("f"), F.col("fingerprint").cast("string")))
     first = known.select(group.alias("_group"), F.col("component_id"), order.alias("o")).filter(
