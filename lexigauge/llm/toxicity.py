@@ -38,7 +38,7 @@ CURVE_ROWS, SLICES = 4000, 8
 WINDOWS = (8, 24, 64)
 DISCOUNT = 1
 THRESHOLD = 0.3
-_CHUNK, _PIECE = 2_000_000, 400_000
+_CHUNK, _PIECE = 1_500_000, 150_000
 
 
 @dataclass(frozen=True)
