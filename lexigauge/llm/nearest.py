@@ -25,8 +25,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexigauge.sources.scratch import materialize
 
-#: Rows of a block of queries and of vectors, and vector blocks that share a copy of the queries.
-QUERY_ROWS, VECTOR_ROWS, GROUP_BLOCKS = 512, 2048, 32
+#: Rows of a block of queries and of vectors, and groups of vector blocks per core; each group gets a copy of the queries.
+QUERY_ROWS, VECTOR_ROWS, GROUPS_PER_CORE = 512, 2048, 2
 #: Pairs that are recomputed at once.
 _PAIRS = 200_000
 _BLOCK = "dim int, block long, ids binary, vectors binary, codes binary, scales binary, norms binary, lost binary"
@@ -117,7 +117,8 @@ def push(heaps: list[list], i: np.ndarray, ids: np.ndarray, scores: np.ndarray,
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest rows of `vectors` other than those with its own id."""
-    v = materialize(blocks(vectors, key, vector, VECTOR_ROWS), "vector_blocks").withColumn("part", (F.col("block") / GROUP_BLOCKS).cast("long"))
+    groups = GROUPS_PER_CORE * vectors.sparkSession.sparkContext.defaultParallelism
+    v = materialize(blocks(vectors, key, vector, VECTOR_ROWS), "vector_blocks").withColumn("part", F.col("block") % groups)
     q = materialize(blocks(queries, key, vector, QUERY_ROWS), "query_blocks")
     parts = v.groupBy("dim").agg(F.max("part").alias("_last"))
     sent = q.join(parts, "dim").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), "_last"))).drop("_last")

@@ -25,7 +25,7 @@ def brute(rows, queries, k):
 def test_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(nearest, "VECTOR_ROWS", 30)
     monkeypatch.setattr(nearest, "QUERY_ROWS", 8)
-    monkeypatch.setattr(nearest, "GROUP_BLOCKS", 3)
+    monkeypatch.setattr(nearest, "GROUPS_PER_CORE", 1)
     rng = np.random.default_rng(1)
     vectors = [(i, [float(np.float32(x)) for x in rng.normal(size=8)]) for i in range(300)]
     vectors += [(400 + i, vectors[7][1]) for i in range(150)]  # one vector many times
