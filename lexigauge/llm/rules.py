@@ -123,7 +123,7 @@ def tail(k: int, n: int, p: float) -> float:
 
 def choose(bad: np.ndarray, good: np.ndarray, n_good: int, rate: float, level: float, price: float) -> int | None:
     """Index of the cutoff taken from good and bad documents rejected by each cutoff (lenient first); None: none certified."""
-    best, least = None, math.inf
+    best, least = None, 0.0
     for i, (b, g) in enumerate(zip(bad, good, strict=True)):
         if tail(int(g), n_good, rate) > level:
             break
@@ -135,7 +135,7 @@ def choose(bad: np.ndarray, good: np.ndarray, n_good: int, rate: float, level: f
 
 def fit_cutoffs(
     stats: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", strata: Sequence[str] = ("lang",),
-    risk: float = 0.03, confidence: float = 0.95, price: float = 10.0,
+    risk: float = 0.03, confidence: float = 0.95, price: float = 100.0,
 ) -> DataFrame:
     """One row per stratum: `stratum` and a cutoff per rule (null where none is certified).
 
