@@ -7,8 +7,10 @@ same in both classes. Bytes and not words, since many toxic expressions occur on
 A document is scored by the log-likelihood ratio of its bytes, normalised by length: over the whole text and over its best
 windows. A logistic curve, fitted to a slice of labelled documents that the counts leave out, turns these into a score.
 
-All labelled documents outside that slice are counted; one shuffle holds their distinct six-byte strings. The counts are then
-added up in a fixed number of slots by hash, so the model that reaches the tasks has the same size whatever the corpus.
+All labelled documents outside that slice are counted, each six-byte string for itself: the model is a table of exact counts
+that grows with the corpus and is never gathered. All counts behind a string share its three middle bytes (its five-byte
+context, its four-byte ending and the context of that), so the table is dealt into buckets by these bytes, each of which
+scores its strings alone. Documents are dealt into chunks; a chunk asks every bucket once for its distinct strings.
 
 Defined cases: null and empty texts, and texts without words, have ratio zero and get the score of that; without toxic or
 without ordinary training documents every score is 0; several label rows of a document count as one with the largest label;
@@ -18,40 +20,79 @@ are, but for those named `score` or `predicted`, which are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+import pyarrow.compute as pc
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from lexigauge.llm.batches import add_columns, plain, texts_of
+from lexigauge.llm.batches import PIECE_BYTES, plain, text_pieces, texts_of
 from lexigauge.sources.scratch import materialize
 
-#: Bytes per string of the upper and the lower order; slots of strings and of their contexts; bits of the filter of keys.
+#: Bytes per string of the upper and the lower order; bits of the filter of keys.
 UPPER, LOWER = 6, 4
-BITS = {"upper": 20, "upper_left": 19, "lower": 19, "lower_left": 17}
 FILTER_BITS = 26
 #: Labelled documents that fit the curve, at most: those with the smallest hashes in one of SLICES slices.
 CURVE_ROWS, SLICES = 4000, 8
 WINDOWS = (8, 24, 64)
 DISCOUNT = 1
 THRESHOLD = 0.3
-_CHUNK, _PIECE = 1_500_000, 150_000
+_CHUNK, _PIECE = 4_000_000, 500_000
+#: Bytes of text in a chunk and per bucket, strings of the model per bucket.
+CHUNK_BYTES, BUCKET_BYTES, BUCKET_STRINGS = 32_000_000, 64_000_000, 250_000
+
+
+class Lookup:
+    """Rows of `values` by their sorted `keys`; `other` for any other key."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, other: list[float]) -> None:
+        self.keys, self.values = keys, np.concatenate([values, [other]]).astype(np.float32)
+
+    def __getitem__(self, at: np.ndarray | int | tuple) -> np.ndarray:
+        if isinstance(at, tuple):
+            return self[at[0]][..., at[1]]
+        if not len(self.keys):
+            return self.values[np.full(np.shape(at), -1)]
+        place = np.minimum(np.searchsorted(self.keys, at), len(self.keys) - 1)
+        return self.values[np.where(self.keys[place] == at, place, -1)]
+
+
+@dataclass(frozen=True)
+class Tables:
+    """What some strings and their counts say, with a column per class (0 ordinary, 1 toxic); `shared` by the last two bytes."""
+
+    upper: Lookup
+    upper_left: Lookup
+    lower: Lookup
+    lower_left: Lookup
+    shared: np.ndarray
 
 
 @dataclass(frozen=True)
 class Model:
-    """Tables by slot with a column per class (0 ordinary, 1 toxic); `shared` by the last two bytes."""
+    """Exact `counts` (string, n0, n1) in the shared folder, `n_strings` of them; None without documents of both classes."""
 
-    upper: np.ndarray
-    upper_left: np.ndarray
-    lower: np.ndarray
-    lower_left: np.ndarray
+    counts: DataFrame | None
+    n_strings: int
     shared: np.ndarray
     curve: np.ndarray
 
+    @cached_property
+    def tables(self) -> Tables:
+        """The whole model in one process, for looking at a small one. Scoring never asks for it."""
+        rows = self.counts.toArrow()
+        return tables_of(*[rows[c].to_numpy() for c in ("string", "n0", "n1")], self.shared)
+
+    upper = property(lambda self: self.tables.upper)
+    upper_left = property(lambda self: self.tables.upper_left)
+    lower = property(lambda self: self.tables.lower)
+    lower_left = property(lambda self: self.tables.lower_left)
+
 
 def strings_of(data: np.ndarray) -> np.ndarray:
     """The UPPER bytes that end at each place from the UPPER-th on, as one number."""
@@ -62,15 +103,44 @@ def strings_of(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def _slot(values: np.ndarray, bits: int) -> np.ndarray:
-    """Fibonacci hashing of numbers."""
-    return ((values * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
-
-
 def _slots(strings: np.ndarray) -> dict[str, np.ndarray]:
-    lower = strings & np.uint64((1 << 8 * LOWER) - 1)
-    values = {"upper": strings, "upper_left": strings >> np.uint64(8), "lower": lower, "lower_left": lower >> np.uint64(8)}
-    return {name: _slot(v, BITS[name]) for name, v in values.items()} | {"shared": (strings & np.uint64(0xFFFF)).astype(np.int64)}
+    """The keys of strings in the tables of a model."""
+    strings = strings.astype(np.int64)
+    lower = strings & ((1 << 8 * LOWER) - 1)
+    return {"upper": strings, "upper_left": strings >> 8, "lower": lower, "lower_left": lower >> 8, "shared": strings & 0xFFFF}
+
+
+def _bucket(strings: np.ndarray, n: int) -> np.ndarray:
+    """Fibonacci hashing of the three middle bytes, which all counts behind a string have in common."""
+    middle = (strings.astype(np.uint64) >> np.uint64(8)) & np.uint64(0xFFFFFF)
+    return ((middle * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) % n
+
+
+def _distinct(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers in order of appearance, and the place of each number among them."""
+    found = pa.array(strings.view(np.int64)).dictionary_encode()
+    return found.dictionary.to_numpy(), found.indices.to_numpy()
+
+
+def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and a column of sums for each of `values`."""
+    found, place = np.unique(keys, return_inverse=True)
+    return found, np.column_stack([np.bincount(place, v, len(found)) for v in values])
+
+
+def tables_of(strings: np.ndarray, n0: np.ndarray, n1: np.ndarray, shared: np.ndarray) -> Tables:
+    """Tables of distinct strings, which hold all strings of the model with the same middle bytes, or none."""
+    kept = lambda n: np.maximum(n - DISCOUNT, 0)
+    order = np.argsort(strings)
+    strings, n = strings[order].astype(np.int64), np.column_stack([n0, n1])[order]
+    at = _slots(strings)
+    contexts, sums = _sums(at["upper_left"], *n.T, *kept(n).T)
+    endings, seen = _sums(at["lower"], *(n > 0).T)
+    short, totals = _sums(endings >> 8, *seen.T, *kept(seen).T)
+    return Tables(
+        Lookup(strings, kept(n), [0, 0]), Lookup(contexts, _shares(sums[:, :2], sums[:, 2:]), [0, 0, 1, 1]),
+        Lookup(endings, kept(seen), [0, 0]), Lookup(short, _shares(totals[:, :2], totals[:, 2:]), [0, 0, 1, 1]), shared,
+    )
 
 
 def training_labels(labels: DataFrame, key: str, label: str, train: Column) -> DataFrame:
@@ -113,10 +183,11 @@ def count_strings(docs: DataFrame, text: str, toxic: str) -> DataFrame:
         sizes = [0, 0]
 
         def counted(c: int) -> pa.RecordBatch:
-            strings, n = np.unique(strings_of(np.frombuffer(b"".join(held[c]), np.uint8)), return_counts=True)
+            found = pc.value_counts(pa.array(strings_of(np.frombuffer(b"".join(held[c]), np.uint8)).view(np.int64)))
+            strings, n = found.field(0), found.field(1).to_numpy()
             held[c], sizes[c] = [], 0
             columns = [n, np.zeros_like(n)] if c == 0 else [np.zeros_like(n), n]
-            return pa.RecordBatch.from_arrays([pa.array(strings.view(np.int64)), *map(pa.array, columns)], names=["string", "n0", "n1"])
+            return pa.RecordBatch.from_arrays([strings, *map(pa.array, columns)], names=["string", "n0", "n1"])
 
         for batch in batches:
             flags = batch.column(batch.schema.get_field_index(toxic)).to_pylist()
@@ -134,26 +205,6 @@ def count_strings(docs: DataFrame, text: str, toxic: str) -> DataFrame:
     return part.groupBy("string").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
-def _with_slots(counts: DataFrame) -> DataFrame:
-    names = [*BITS, "shared"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slots = _slots(batch.column(0).to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([*[pa.array(slots[n]) for n in names], batch.column(1), batch.column(2)], names=[*names, "n0", "n1"])
-
-    return counts.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", n0 long, n1 long")
-
-
-def _add_up(counts: DataFrame, slots: int, by: str, *sums: Column) -> np.ndarray:
-    """Sums by slot, a row per slot; the driver gets no more rows than there are slots."""
-    rows = counts.groupBy(by).agg(*[s.cast("double").alias(f"s{i}") for i, s in enumerate(sums)]).toArrow()
-    out = np.zeros((slots, len(sums)), np.float32)
-    if rows.num_rows:
-        out[rows[by].to_numpy()] = np.column_stack([rows[f"s{i}"].to_numpy() for i in range(len(sums))])
-    return out
-
-
 def _shares(total: np.ndarray, known: np.ndarray) -> np.ndarray:
     """Per context: one over its count in each class, and the share of it that goes to the lower order."""
     total, known = total.astype(np.float64), known.astype(np.float64)
@@ -174,9 +225,9 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return beta
 
 
-def byte_ratios(model: Model, data: np.ndarray) -> np.ndarray:
-    """log P(byte | toxic) - log P(byte | ordinary) for each byte from the UPPER-th on."""
-    at = _slots(strings_of(data))
+def string_ratios(model: Tables | Model, strings: np.ndarray) -> np.ndarray:
+    """log P(last byte | toxic) - log P(last byte | ordinary) after the first bytes of each string."""
+    at = _slots(strings)
     left = model.lower_left[at["lower_left"]]
     share = model.lower[at["lower"]] * left[:, :2] + left[:, 2:] * model.shared[at["shared"]][:, None]
     left = model.upper_left[at["upper_left"]]
@@ -185,15 +236,15 @@ def byte_ratios(model: Model, data: np.ndarray) -> np.ndarray:
     return share[:, 1] - share[:, 0]
 
 
-def ratios(model: Model, texts: list[bytes]) -> np.ndarray:
-    """A row per text: the mean ratio of its bytes, then the largest mean over a window of each width.
+def byte_ratios(model: Tables | Model, data: np.ndarray) -> np.ndarray:
+    """The ratio of each byte from the UPPER-th on."""
+    strings, place = _distinct(strings_of(data))
+    return string_ratios(model, strings)[place]
 
-    Texts are put side by side with neutral bytes between them, so a window never spans two of them; in a text shorter than
-    a window the rest of it counts as neutral.
-    """
-    out = np.zeros((len(texts), 1 + len(WINDOWS)))
-    gap = max(WINDOWS)
-    first = 0
+
+def _side_by_side(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Number of texts, their bytes and lengths: texts in pieces, with neutral bytes between them and before the first."""
+    gap, first = max(WINDOWS), 0
     while first < len(texts):
         last, size, parts, lengths = first, 0, [], []
         while last < len(texts) and (last == first or size < _PIECE):
@@ -203,9 +254,23 @@ def ratios(model: Model, texts: list[bytes]) -> np.ndarray:
             lengths.append(len(data))
             size += len(data) + gap
             last += 1
-        flat = np.frombuffer(b" " * (UPPER - 1) + b"".join(parts), np.uint8)
-        ratio = byte_ratios(model, flat).astype(np.float64)
-        starts = np.concatenate([[0], np.cumsum(np.array(lengths) + gap)[:-1]])
+        yield last - first, np.frombuffer(b" " * (UPPER - 1) + b"".join(parts), np.uint8), np.array(lengths)
+        first = last
+
+
+def ratios(model: Tables | Model, texts: list[bytes], of: Callable[[np.ndarray], np.ndarray] | None = None) -> np.ndarray:
+    """A row per text: the mean ratio of its bytes, then the largest mean over a window of each width.
+
+    Texts are put side by side with neutral bytes between them, so a window never spans two of them; in a text shorter than
+    a window the rest of it counts as neutral. `of` gives the ratios of bytes, if not `model`.
+    """
+    out = np.zeros((len(texts), 1 + len(WINDOWS)))
+    gap = max(WINDOWS)
+    first = 0
+    for n, flat, lengths in _side_by_side(texts):
+        last = first + n
+        ratio = (byte_ratios(model, flat) if of is None else of(flat)).astype(np.float64)
+        starts = np.concatenate([[0], np.cumsum(lengths + gap)[:-1]])
         inside = np.zeros(len(ratio) + 1, np.int32)
         np.add.at(inside, starts, 1)
         np.add.at(inside, starts + lengths, -1)
@@ -217,11 +282,157 @@ def ratios(model: Model, texts: list[bytes]) -> np.ndarray:
         for i, width in enumerate(WINDOWS):
             windows = (sums[width : width + len(ratio)] - sums[: len(ratio)]) / width
             windows[outside] = -np.inf  # starts behind its text
-            out[first:last, 1 + i] = np.where(np.array(lengths) > 0, np.maximum.reduceat(windows, starts), 0)
+            out[first:last, 1 + i] = np.where(lengths > 0, np.maximum.reduceat(windows, starts), 0)
         first = last
     return out
 
 
+def _by_bucket(strings: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Buckets and the places of their strings."""
+    bucket = _bucket(strings, n)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.flatnonzero(np.diff(bucket[order], append=-1)) + 1
+    for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+        yield int(bucket[order[a]]), order[a:b]
+
+
+def _dealt(counts: DataFrame, n: int) -> DataFrame:
+    """(bucket, strings, counts): the model in runs of strings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            strings, n0, n1 = (batch.column(i).to_numpy() for i in range(3))
+            rows = [(b, strings[at].tobytes(), np.concatenate([n0[at], n1[at]]).tobytes()) for b, at in _by_bucket(strings, n)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names=["bucket", "strings", "counts"])
+
+    return counts.select("string", "n0", "n1").mapInArrow(run, "bucket long, strings binary, counts binary")
+
+
+def _chunked(docs: DataFrame, text: str) -> DataFrame:
+    """(chunk, rows): runs of rows as compressed Arrow streams. Rows are dealt by their place, or copies would share a chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, first = 0, TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for part in text_pieces(batch, text, PIECE_BYTES):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                    stream.write_batch(part)
+                rows = pa.array([sink.getvalue().to_pybytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([first + size // CHUNK_BYTES]), rows], names=["chunk", "rows"])
+                size += part.nbytes
+
+    return docs.mapInArrow(run, "chunk long, rows binary")
+
+
+def _read(rows: bytes) -> Iterator[pa.RecordBatch]:
+    with pa.ipc.open_stream(rows) as stream:
+        yield from stream
+
+
+def _strings_in(texts: list[bytes]) -> list[np.ndarray]:
+    return [_distinct(strings_of(flat))[0] for _, flat, _ in _side_by_side(texts)]
+
+
+def _merged(parts: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+
+
+class _Gathered:
+    """Distinct strings, merged whenever twice as many are held."""
+
+    def __init__(self) -> None:
+        self.parts: list[np.ndarray] = []
+        self.size, self.limit = 0, 1_000_000
+
+    def add(self, parts: list[np.ndarray]) -> None:
+        self.parts += parts
+        self.size += sum(map(len, parts))
+        if self.size > self.limit:
+            self.strings()
+            self.limit = max(2 * self.size, self.limit)
+
+    def strings(self) -> np.ndarray:
+        self.parts = [_merged(self.parts)]
+        self.size = len(self.parts[0])
+        return self.parts[0]
+
+
+def _asked(chunked: DataFrame, text: str, n: int) -> DataFrame:
+    """(bucket, chunk, strings): the distinct strings of each chunk, a row per bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, _Gathered] = {}
+        for batch in batches:
+            for chunk, rows in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for part in _read(rows.as_buffer()):
+                    held.setdefault(chunk, _Gathered()).add(_strings_in(texts_of(part, text)))
+        for chunk in list(held):
+            strings = held.pop(chunk).strings()
+            rows = [(b, chunk, strings[at].tobytes()) for b, at in _by_bucket(strings, n)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names=["bucket", "chunk", "strings"])
+
+    return chunked.mapInArrow(run, "bucket long, chunk long, strings binary")
+
+
+def _numbers(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _with_ratios(
+    docs: DataFrame, model: Model, text: str, fields: list[tuple[str, T.DataType]], body: Callable[[np.ndarray], list], keep: list[str]
+) -> DataFrame:
+    """`docs` (its columns `keep`) with columns that `body` makes from the ratios of the texts.
+
+    The chunks are shuffled once: the plan reads that shuffle to ask for the strings and again to score with the answers.
+    """
+    names = [name for name, _ in fields]
+    kept = [c for c in keep if c not in names]
+    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(n, t) for n, t in fields])
+    arrow = to_arrow_schema(schema, prefers_large_types=False)
+    size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    n_chunks = max(-(-size // CHUNK_BYTES), cores)
+    n_buckets = max(-(-size // BUCKET_BYTES), -(-model.n_strings // BUCKET_STRINGS), cores)
+    chunked = _chunked(docs.select(*dict.fromkeys([*kept, text])), text).repartition(n_chunks, "chunk")
+    shared = model.shared
+
+    def answer(asked: pa.Table, counts: pa.Table) -> pa.Table:
+        n = [np.frombuffer(c, np.int64).reshape(2, -1) for c in counts["counts"].to_pylist()]
+        tables = tables_of(_numbers(counts["strings"], np.int64), *np.concatenate([np.zeros((2, 0), np.int64), *n], axis=1), shared)
+        told = [string_ratios(tables, np.frombuffer(s, np.int64)).astype(np.float32).tobytes() for s in asked["strings"].to_pylist()]
+        return pa.table({"chunk": asked["chunk"], "bucket": asked["bucket"], "ratios": pa.array(told, pa.binary())})
+
+    def scored(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        gathered = _Gathered()
+        for rows in chunk["rows"]:
+            for part in _read(rows.as_buffer()):
+                gathered.add(_strings_in(texts_of(part, text)))
+        strings = gathered.strings()
+        told = np.zeros(len(strings), np.float32)
+        by_bucket = dict(zip(answers["bucket"].to_pylist(), answers["ratios"].to_pylist(), strict=True))
+        for b, at in _by_bucket(strings, n_buckets):
+            told[at] = np.frombuffer(by_bucket[b], np.float32)  # fails if they are not as many as were asked for
+
+        def of(flat: np.ndarray) -> np.ndarray:
+            wanted, place = _distinct(strings_of(flat))
+            return told[np.searchsorted(strings, wanted)][place]
+
+        made = []
+        for rows in chunk["rows"]:
+            for part in _read(rows.as_buffer()):
+                new = body(ratios(None, texts_of(part, text), of))
+                columns = [*[part.column(part.schema.get_field_index(c)) for c in kept], *map(pa.array, new)]
+                made.append(pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(columns, arrow, strict=True)], schema=arrow))
+        return pa.Table.from_batches(made, arrow)
+
+    asked = _asked(chunked, text, n_buckets).groupBy("bucket")
+    answers = asked.cogroup(_dealt(model.counts, n_buckets).groupBy("bucket")).applyInArrow(answer, "chunk long, bucket long, ratios binary")
+    return chunked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(scored, schema)
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic",
     train: Column | None = None, curve_rows: int = CURVE_ROWS,
@@ -235,54 +446,50 @@ def fit(
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).filter(F.col("_key").isNotNull())
     labelled = docs.sparkSession.sparkContext.broadcast(_key_filter(truth))
     counted = _only_labelled(rows, labelled, "_key").join(truth.filter(~in_slice), "_key")
-    counts = _with_slots(materialize(count_strings(counted, "_text", "_toxic"), "strings"))
+    counts = materialize(count_strings(counted, "_text", "_toxic"), "strings")
     labelled.destroy()
-    both = lambda f: [f(F.col(c)) for c in ("n0", "n1")]
-    seen = lambda n: F.sum(F.when(n > 0, 1).otherwise(0))
-    known = lambda n: F.sum(F.greatest(n - DISCOUNT, F.lit(0)))
-    size = {name: 1 << bits for name, bits in BITS.items()}
-    left = _add_up(counts, size["upper_left"], "upper_left", *both(F.sum), *both(known))
-    if not left[:, 0].any() or not left[:, 1].any():
-        return Model(*[np.zeros(0)] * 6)
-    upper = _add_up(counts, size["upper"], "upper", *both(known))
-    lower = _add_up(counts, size["lower"], "lower", *both(seen))
-    lower_total = _add_up(counts, size["lower_left"], "lower_left", *both(seen))
-    kept = np.maximum(lower - DISCOUNT, 0)
-    # What the discounts leave of a context: its lower strings are spread over slots, so their sum is taken by context.
-    lower_known = _add_up(
-        counts.groupBy("lower_left", "lower").agg(*[seen(F.col(c)).alias(c) for c in ("n0", "n1")]), size["lower_left"], "lower_left", *both(known)
-    )
-    shared = _add_up(counts, 1 << 16, "shared", F.sum((F.col("n0") > 0).cast("int") + (F.col("n1") > 0).cast("int")))[:, 0].astype(np.float64) + 0.1
-    shared = (shared.reshape(256, 256) / shared.reshape(256, 256).sum(axis=1, keepdims=True)).ravel().astype(np.float32)
-    bare = Model(upper, _shares(left[:, :2], left[:, 2:]), kept, _shares(lower_total, lower_known), shared, np.zeros(0))
+    n_strings, *n = counts.agg(F.count(F.lit(1)), F.sum("n0"), F.sum("n1")).first()
+    if not all(n):
+        return Model(None, 0, np.zeros(0), np.zeros(0))
+    bare = Model(counts, n_strings, _shared(counts), np.zeros(0))
     picked = truth.filter(in_slice).orderBy(F.xxhash64(F.col("_key"), F.lit("order")), "_key").limit(curve_rows)
     few = materialize(picked, "curve")  # at most curve_rows rows
-    x, y = _curve_rows(rows.join(F.broadcast(few), "_key"), bare)
+    x, y = _curve_rows(materialize(rows.join(F.broadcast(few), "_key"), "curve_rows"), bare)
     if y.any() and not y.all():
         scale = np.maximum(x.std(axis=0), 1e-6)
         beta = _logistic(x / scale, y.astype(float))
         curve = np.concatenate([beta[:1], beta[1:] / scale])
     else:  # too few labelled documents for a curve: toxic once the likeliest window is
         curve = np.concatenate([[-2.0], np.zeros(len(WINDOWS)), [2.0]])
-    return Model(bare.upper, bare.upper_left, bare.lower, bare.lower_left, bare.shared, curve)
+    return replace(bare, curve=curve)
+
+
+def _shared(counts: DataFrame) -> np.ndarray:
+    """The share of each last byte after the one before it, by how many strings of either class end so: 2 ** 16 numbers."""
+    kinds = F.sum((F.col("n0") > 0).cast("int") + (F.col("n1") > 0).cast("int"))
+    rows = counts.groupBy(F.col("string").bitwiseAND(0xFFFF).alias("at")).agg(kinds.alias("n")).toArrow()
+    n = np.full(1 << 16, 0.1)
+    n[rows["at"].to_numpy()] += rows["n"].to_numpy()
+    n = n.reshape(256, 256)
+    return (n / n.sum(axis=1, keepdims=True)).ravel().astype(np.float32)
 
 
 def _curve_rows(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    shared = rows.sparkSession.sparkContext.broadcast(model)
     names = [f"r{i}" for i in range(1 + len(WINDOWS))]
-    made = add_columns(rows, "_text", [(n, T.DoubleType()) for n in names], lambda texts: list(ratios(shared.value, texts).T), ["_key", "_toxic"])
+    made = _with_ratios(rows, model, "_text", [(n, T.DoubleType()) for n in names], lambda x: list(x.T), ["_key", "_toxic"])
     shown = made.dropDuplicates(["_key"]).orderBy("_key").toArrow()  # a row per key picked
-    shared.destroy()  # or every Python worker keeps its copy
     return np.column_stack([shown[n].to_numpy() for n in names]), shown["_toxic"].to_numpy() > 0
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """Add `score` (0 to 1, higher: likelier toxic) and `predicted` (1 from `threshold` on)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    wanted = docs.columns if keep is None else keep
+    if model.counts is None:
+        return docs.select(*[c for c in wanted if c not in ("score", "predicted")], F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+    curve = model.curve
 
-    def body(texts: list[bytes]) -> list:
-        m = shared.value
-        values = 1 / (1 + np.exp(-np.clip(m.curve[0] + ratios(m, texts) @ m.curve[1:], -40, 40))) if len(m.curve) else np.zeros(len(texts))
+    def body(x: np.ndarray) -> list:
+        values = 1 / (1 + np.exp(-np.clip(curve[0] + x @ curve[1:], -40, 40)))
         return [values, (values >= threshold).astype(np.int32)]
 
-    return add_columns(docs, text, [("score", T.DoubleType()), ("predicted", T.IntegerType())], body, keep)
+    return _with_ratios(docs, model, text, [("score", T.DoubleType()), ("predicted", T.IntegerType())], body, wanted)

@@ -119,3 +119,30 @@ def test_quality_of_odd_rows(spark, documents, no_documents):
     assert {r["score"] for r in factorisation.score(documents, factorisation.fit(no_documents, labels)).collect()} == {0.5}
     only = factorisation.fit(docs, labels.filter("quality = 1"))
     assert all(r["score"] > 0.99 for r in factorisation.score(documents, only).collect())
+
+
+def test_strings_are_counted_each_for_itself(spark):
+    rng = np.random.default_rng(4)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
+    docs = [(i, 2 * bytes(letters[rng.integers(0, 26, 60_000)]).decode(), "en", "s", 0) for i in range(40)]
+    docs += [(100 + i, "zyxwqv zyxwqv " * 3 + "some more words", "en", "s", 0) for i in range(60)]
+    labels = [(d[0], int(d[0] >= 100)) for d in docs]
+    model = toxicity.fit(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    strings = toxicity.strings_of(np.frombuffer(b"zyxwqv zyxwqv", np.uint8))
+    known = [s for s in strings if not any(int(s).to_bytes(6, "big").decode() in d[1] for d in docs[:40])]
+    assert len(known) >= 6
+    upper = model.upper[toxicity._slots(np.array(known, np.uint64))["upper"]]
+    assert (upper[:, 0] == 0).all() and (upper[:, 1] > 0).all()
+
+
+def test_toxicity_of_chunks_is_that_of_one_process(spark, documents, tmp_path):
+    docs, labels = toxic_corpus(spark, 300)
+    model = toxicity.fit(docs, labels)
+    scored = toxicity.score(documents, model)
+    rows = scored.collect()
+    x = toxicity.ratios(model, [(r["text"] or "").encode() for r in rows])
+    assert np.allclose([r["score"] for r in rows], 1 / (1 + np.exp(-(model.curve[0] + x @ model.curve[1:]))), atol=1e-4)
+    docs.write.parquet(f"{tmp_path}/docs")
+    scored = toxicity.score(spark.read.parquet(f"{tmp_path}/docs"), model)
+    assert len(scored.collect()) == docs.count()
+    assert "ReusedExchange" in scored._jdf.queryExecution().executedPlan().toString()  # texts are shuffled once
