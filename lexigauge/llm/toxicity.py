@@ -5,9 +5,10 @@ The labelled documents give two models of the next byte, of the toxic and of the
 classes share. Counts are discounted first, so an expression seen rarely leaves its mass to the shared counts and says the
 same in both classes. Bytes and not words, since many toxic expressions occur once only but share a stem.
 A document is scored by the log-likelihood ratio of its bytes, normalised by length: over the whole text and over its best
-windows. A logistic curve, fitted to a slice of labelled documents that the counts leave out, turns these into a score.
+windows. A logistic curve turns these into a score. It is fitted to some labelled documents by the counts of all the others;
+then the strings of those documents are added to the counts.
 
-All labelled documents outside that slice are counted, each six-byte string for itself: the model is a table of exact counts
+All labelled documents are counted, each six-byte string for itself: the model is a table of exact counts
 that grows with the corpus and is never gathered. All counts behind a string share its three middle bytes (its five-byte
 context, its four-byte ending and the context of that), so the table is dealt into buckets by these bytes, each of which
 scores its strings alone. Documents are dealt into chunks; a chunk asks every bucket once for its distinct strings.
@@ -439,29 +440,37 @@ def fit(
 ) -> Model:
     """Count both classes and fit the curve. `train` tells which label rows may teach (all, if None).
 
-    `curve_rows` bounds the labelled documents that the driver gets for the curve; the counts cover all the others.
+    `curve_rows` bounds the labelled documents that fit the curve; the counts cover these, once it is fitted, and all others.
     """
     truth = materialize(training_labels(labels, key, label, F.lit(True) if train is None else train), "truth")
     in_slice = F.pmod(F.xxhash64(F.col("_key"), F.lit("curve")), F.lit(SLICES)) == 0
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).filter(F.col("_key").isNotNull())
     labelled = docs.sparkSession.sparkContext.broadcast(_key_filter(truth))
-    counted = _only_labelled(rows, labelled, "_key").join(truth.filter(~in_slice), "_key")
-    counts = materialize(count_strings(counted, "_text", "_toxic"), "strings")
-    labelled.destroy()
-    n_strings, *n = counts.agg(F.count(F.lit(1)), F.sum("n0"), F.sum("n1")).first()
-    if not all(n):
-        return Model(None, 0, np.zeros(0), np.zeros(0))
-    bare = Model(counts, n_strings, _shared(counts), np.zeros(0))
     picked = truth.filter(in_slice).orderBy(F.xxhash64(F.col("_key"), F.lit("order")), "_key").limit(curve_rows)
     few = materialize(picked, "curve")  # at most curve_rows rows
-    x, y = _curve_rows(materialize(rows.join(F.broadcast(few), "_key"), "curve_rows"), bare)
+    held = materialize(_only_labelled(rows, labelled, "_key").join(F.broadcast(few), "_key"), "curve_rows")
+    counted = _only_labelled(rows, labelled, "_key").join(truth.join(F.broadcast(few.select("_key")), "_key", "left_anti"), "_key")
+    counts = materialize(count_strings(counted, "_text", "_toxic"), "strings")
+    more = count_strings(held, "_text", "_toxic")
+    both = counts.unionByName(more).groupBy("string").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    both = materialize(both, "all_strings")
+    labelled.destroy()
+    full, bare = _uncurved(both), _uncurved(counts)
+    if full.counts is None:
+        return full
+    x, y = (np.zeros((0, 0)), np.zeros(0, bool)) if bare.counts is None else _curve_rows(held, bare)
     if y.any() and not y.all():
         scale = np.maximum(x.std(axis=0), 1e-6)
         beta = _logistic(x / scale, y.astype(float))
         curve = np.concatenate([beta[:1], beta[1:] / scale])
     else:  # too few labelled documents for a curve: toxic once the likeliest window is
         curve = np.concatenate([[-2.0], np.zeros(len(WINDOWS)), [2.0]])
-    return replace(bare, curve=curve)
+    return replace(full, curve=curve)
+
+
+def _uncurved(counts: DataFrame) -> Model:
+    n_strings, *n = counts.agg(F.count(F.lit(1)), F.sum("n0"), F.sum("n1")).first()
+    return Model(counts, n_strings, _shared(counts), np.zeros(0)) if all(n) else Model(None, 0, np.zeros(0), np.zeros(0))
 
 
 def _shared(counts: DataFrame) -> np.ndarray:

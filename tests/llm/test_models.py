@@ -146,3 +146,14 @@ def test_toxicity_of_chunks_is_that_of_one_process(spark, documents, tmp_path):
     scored = toxicity.score(spark.read.parquet(f"{tmp_path}/docs"), model)
     assert len(scored.collect()) == docs.count()
     assert "ReusedExchange" in scored._jdf.queryExecution().executedPlan().toString()  # texts are shuffled once
+
+
+def test_every_labelled_document_is_counted(spark):
+    docs, labels = toxic_corpus(spark, 120)
+    model = toxicity.fit(docs, labels, curve_rows=5)
+    known = labels.filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    texts = [b" " * 6 + plain(r["text"].encode()) for r in docs.join(known, "doc_id").collect()]
+    wanted, n = np.unique(np.concatenate([toxicity.strings_of(np.frombuffer(t, np.uint8)) for t in texts]), return_counts=True)
+    got = {r["string"]: r["n0"] + r["n1"] for r in model.counts.collect()}
+    assert set(wanted.tolist()) <= set(got)
+    assert sum(got.values()) >= n.sum()  # strings that reach from a text into the next are counted too
