@@ -151,8 +151,11 @@ def _same(one: DataFrame, other: DataFrame) -> bool:
     return digest(one) == digest(other)
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", keep: list[str] | None = None, shingle: int = SHINGLE) -> DataFrame:
-    """`docs` (or its columns `keep`) with `fingerprint` and `component_id`, the least key among the documents reachable by links."""
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", keep: list[str] | None = None, shingle: int = SHINGLE, root: str | None = None) -> DataFrame:
+    """`docs` (or its columns `keep`) with `fingerprint` and `component_id`, the least key among the documents reachable by links.
+
+    `root` names a further column, if given: the least fingerprint of the component, which it has without keys too.
+    """
     columns = list(dict.fromkeys([key, *(docs.columns if keep is None else keep)]))
     rows = materialize(add_fingerprint(docs, text, shingle, columns), "fingerprints")
     prints = materialize(rows.groupBy("fingerprint").agg(F.min(key).alias("_least")), "prints")
@@ -161,9 +164,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", ke
         "fingerprint", "_least", F.coalesce("root", "fingerprint").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("_least").alias("component_id"))
-    named = materialize(rooted.join(least, "root").select("fingerprint", "component_id"), "components")
+    further = [] if root is None else [F.col("root").alias(root)]
+    named = materialize(rooted.join(least, "root").select("fingerprint", "component_id", *further), "components")
     return rows.drop("component_id").join(named, "fingerprint").select(
-        *[c for c in columns if c not in ("fingerprint", "component_id")], "fingerprint", "component_id"
+        *[c for c in columns if c not in ("fingerprint", "component_id")], "fingerprint", "component_id", *([] if root is None else [root])
     )
 
 
@@ -173,9 +177,9 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle:
     Documents without a key count as larger than any. Texts are shuffled once, to meet the keys that stay.
     """
     held = docs.withColumn("_row", F.xxhash64(*docs.columns))
-    known = near_duplicates(held, text, key, ["_row"], shingle)
+    known = near_duplicates(held, text, key, ["_row"], shingle, "_root")
     order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("_row").alias("row"))
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("f"), F.col("fingerprint").cast("string")))
+    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("f"), F.col("_root").cast("string")))
     first = known.select(group.alias("_group"), F.col("component_id"), order.alias("o")).filter(
         "component_id IS NULL OR o.key = component_id"
     ).groupBy("_group").agg(F.min("o").alias("o"))

@@ -96,3 +96,13 @@ def test_empty_table(no_documents):
 def test_hex(spark):
     frame = spark.createDataFrame([(-1,), (0,), (255,)], "fingerprint long")
     assert [r[0] for r in frame.select(simhash.hex_of(F.col("fingerprint"))).collect()] == ["f" * 16, "0" * 16, "0" * 14 + "ff"]
+
+
+def test_one_of_linked_documents_without_keys_stays(spark):
+    words = [f"word{i}" for i in range(400)]
+    texts = [" ".join(words), " ".join([*words[:-1], "other"]), " ".join(words[::-1])]
+    prints = [simhash.fingerprint(t.encode()) for t in texts]
+    apart = [((prints[0] ^ p) & (2**64 - 1)).bit_count() for p in prints]
+    assert 0 < apart[1] <= simhash.MAX_BITS < apart[2]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    assert simhash.keep_one(docs).count() == 2
