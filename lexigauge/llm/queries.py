@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexigauge.llm import bpe, chat, factorisation, licenses, mixing, nearest, rules, sharding, simhash, toxicity
+from lexigauge.llm import (
+    alignment, bpe, chat, factorisation, language, lexical, licenses, mixing, nearest, rules, sharding, simhash, toxicity,
+)
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -85,6 +87,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *rules.STATISTICS[:5], "base_failed", "kept")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), 10)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align_documents(_read(spark, sf_dir, "documents"), *paths, public_tokenizers.PATTERN, keep=["doc_id"])
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = language.identify(_read(spark, sf_dir, "documents"), train=_fold(4) != 2, keep=["doc_id"])
+    return told.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,6 +111,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_chat, op3_nearest, op4_mixing, op5_licenses, op6_simhash, op7_quality, op8_toxicity, op9_sharding,
-        op10_quality_rules, pipeline,
+        op10_quality_rules, op11_lexical_search, op12_alignment, op13_language_id, pipeline,
     )
 }
