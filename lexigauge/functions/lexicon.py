@@ -4,7 +4,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexigauge.functions.exprs import small
+from lexigauge import config
+
+#: Parts that every term of a lexicon too large to broadcast is dealt in.
+SALTS = 16
 
 
 def has_term(low: Column, term: str) -> Column:
@@ -19,13 +22,14 @@ def hits(low: Column, terms: Sequence[str]) -> Column:
     return F.array_compact(F.array(*[F.when(has_term(low, t), F.lit(t)) for t in terms]))
 
 
-def lexicon_matches(
-    docs: DataFrame, lexicon: DataFrame, rows: int, doc_key: str = "doc_id"
-) -> DataFrame:
+def lexicon_matches(docs: DataFrame, lexicon: DataFrame, doc_key: str = "doc_id") -> DataFrame:
     """(doc_key, kind, term) for a lexicon of any size, given as a table (kind, term).
 
-    `rows` bounds the lexicon (a small one is broadcast). A term can only be the beginning of the text that follows a word start, so cutting those beginnings to each length turns the theta-join "term occurs in text"
-    into an equi-join. Beginnings are distinct per text before they are exploded.
+    A term can only be the beginning of the text that follows a word start, so cutting those beginnings to each length turns the
+    theta-join "term occurs in text" into an equi-join. Beginnings are distinct per text before they are exploded.
+
+    The lexicon is counted, up to one entry more than is broadcast. A larger one is dealt over the cluster by term, and so are the
+    cuts, each term in SALTS parts: a third of all texts may have the same beginning.
     """
     lengths = lexicon.where(F.length("term") > 0).select(F.length("term").alias("n")).distinct()
     sizes = sorted(r["n"] for r in lengths.collect())  # a row per length that occurs
@@ -36,16 +40,18 @@ def lexicon_matches(
             F.col("low"), F.lit(rf"(?s)(?<![a-z0-9])(?=(.{{{sizes[0]},{sizes[-1]}}}))"), F.lit(1)
         )
     )
-    entries = small(lexicon.select("kind", "term"), rows)
-    # Most beginnings already fail at the shortest length.
-    openings = small(lexicon.select(F.substring("term", 1, sizes[0]).alias("_opening")), rows)
     cuts = F.array(*[F.when(F.length("_start") >= n, F.substring("_start", 1, n)) for n in sizes])
-    return (
-        docs.select(doc_key, F.explode_outer(beginnings).alias("_start"))
-        .withColumn("_opening", F.substring("_start", 1, sizes[0]))
-        .join(openings, "_opening", "left_semi")
-        .select(doc_key, F.explode_outer(cuts).alias("term"))
-        .join(entries, "term")
-        .select(doc_key, "kind", "term")
-        .distinct()
-    )
+    starts = docs.select(doc_key, F.explode_outer(beginnings).alias("_start"))
+    entries = lexicon.select("kind", "term")
+    if lexicon.limit(config.BROADCAST_ROWS + 1).count() <= config.BROADCAST_ROWS:
+        # Most beginnings already fail at the shortest length.
+        openings = F.broadcast(lexicon.select(F.substring("term", 1, sizes[0]).alias("_opening")))
+        likely = starts.withColumn("_opening", F.substring("_start", 1, sizes[0])).join(openings, "_opening", "left_semi")
+        found = likely.select(doc_key, F.explode_outer(cuts).alias("term")).join(F.broadcast(entries), "term")
+    else:
+        part = F.pmod(F.xxhash64(doc_key), F.lit(SALTS)).alias("_part")
+        dealt = entries.withColumn("_part", F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)])))
+        # Cuts that several beginnings of a text share are one row; those of a text lie in one task, so this needs no shuffle.
+        own = F.array_distinct(F.flatten(F.transform(beginnings, lambda s: F.array(*[F.when(F.length(s) >= n, F.substring(s, 1, n)) for n in sizes]))))
+        found = docs.select(doc_key, part, F.explode_outer(own).alias("term")).filter("term IS NOT NULL").join(dealt, ["term", "_part"])
+    return found.select(doc_key, "kind", "term").distinct()

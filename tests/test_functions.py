@@ -1,8 +1,10 @@
 """Column functions against plain Python on random texts."""
 
 import itertools
+import random
 import re
 import sys
+import time
 import unicodedata
 from collections import Counter
 
@@ -103,7 +105,7 @@ def test_lexicon_terms_start_at_a_word(texts):
     words = ["clown", "here", "log in", "locked", "dog", "a.b", "12"]
     table = texts.sparkSession.createDataFrame([("k", w) for w in words], "kind string, term string")
     joined = {}
-    for r in lexicon.lexicon_matches(texts, table, len(words)).collect():
+    for r in lexicon.lexicon_matches(texts, table).collect():
         joined.setdefault(r["doc_id"], set()).add(r["term"])
     for r in texts.select("doc_id", "low", lexicon.hits(F.col("low"), words).alias("h")).collect():
         want = [w for w in words if re.search("(?:^|[^a-z0-9])" + re.escape(w), r["low"])]
@@ -111,6 +113,23 @@ def test_lexicon_terms_start_at_a_word(texts):
         assert joined.get(r["doc_id"], set()) == set(want)
 
 
+def test_a_lexicon_too_large_to_broadcast(spark, monkeypatch):
+    """300,000 terms, one of them at the start of a third of all texts; the same rows as by broadcast."""
+    rng = random.Random(9)
+    entries = [("long", f"term {i:x} {rng.random():.3f}") for i in range(300_000)] + [("k", "common"), ("j", "common"), ("k", "com"), ("k", "x"), ("k", "")]
+    table = spark.createDataFrame(entries, "kind string, term string").repartition(4)
+    rows = [(i, "common words and " + entries[rng.randrange(300_000)][1] if i % 3 == 0 else f"some {i} text xx") for i in range(600)] + [(None, ""), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, low string")
+    dealt = lexicon.lexicon_matches(docs, table)
+    assert "broadcast" not in dealt._jdf.queryExecution().logical().toString().lower()
+    got = sorted(map(tuple, dealt.collect()), key=str)
+    monkeypatch.setattr("lexigauge.config.BROADCAST_ROWS", 10**6)
+    sent = lexicon.lexicon_matches(docs, table)
+    assert "broadcast" in sent._jdf.queryExecution().logical().toString().lower()
+    assert got == sorted(map(tuple, sent.collect()), key=str)
+    assert sum(1 for _, kind, term in got if term == "common") == 400 and sum(1 for _, kind, _ in got if kind == "long") == 200
+
+
 def test_signals(texts):
     lex = {"urgency": ("clown", "locked"), "cta": ("here", "log in")}
     for r in signals.with_signals(texts, lex).collect():
@@ -140,3 +159,26 @@ def test_stop_words_are_the_ones_of_mllib(spark):
     from pyspark.ml.feature import StopWordsRemover
 
     assert list(config.STOP_WORDS) == StopWordsRemover.loadDefaultStopWords("english")
+
+
+def test_urls_of_many_shapes(spark):
+    """Edges, empty labels, schemes inside runs and paths, in all orders."""
+    rng = random.Random(1)
+    pieces = [
+        "a", "b1", ".", "..", ".com", ".co", ".io", "com", "-", "_", "__", "/", "://", "http", "https", "http://", "https://x", "é", "お", " ", "@", "\x01",
+        "www.", "x.org", "y.net/",
+    ]
+    made = ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 14))) for _ in range(20_000)]
+    frame = spark.createDataFrame([(t,) for t in made], "low string")
+    got = frame.select("low", urls.url_count(F.col("low")).alias("n"), urls.has_url(F.col("low")).alias("any")).collect()
+    assert [(t, n, a) for t, n, a in got] == [(t, len(HOST_OR_LINK.findall(t)), bool(HOST_OR_LINK.search(t))) for t in made]
+
+
+@pytest.mark.parametrize("text, n", [("a." * 500_000 + " see x.com", 1), ("a-" * 500_000 + ".com", 1), ("." * 1_000_000 + "a.com", 1), ("_a." * 300_000 + "com_", 0), ("http://" * 150_000, 1)])
+def test_urls_take_linear_time(spark, text, n):
+    """A megabyte without any URL, or with one at its end. A pattern that starts anew at every label takes hours."""
+    frame = spark.createDataFrame([(text,)], "low string").cache()
+    frame.count()
+    started = time.monotonic()
+    assert frame.select(urls.url_count(F.col("low"))).first()[0] == n
+    assert time.monotonic() - started < 20
