@@ -14,25 +14,25 @@ def text_hash(text: Column) -> Column:
     return F.coalesce(F.sha2(text, 256), F.lit(""))
 
 
-def keep_first(df: DataFrame, order: Sequence[str], text: str = "text") -> DataFrame:
-    """One row per distinct text, the first by `order`; adds `text_hash`.
+def keep_first(df: DataFrame, order: Sequence[str], text: str | None = "text") -> DataFrame:
+    """One row per distinct text, the first by `order`; adds `text_hash`. Without `text` the table has `text_hash` and needs no text.
 
     `row_number() = 1` is planned with a group limit before the shuffle: a text that makes up a third
     of the table leaves each map task as one row, so no reducer receives all its copies.
     """
     first = Window.partitionBy("text_hash").orderBy(*order)
     return (
-        df.withColumn("text_hash", text_hash(F.col(text)))
+        (df if text is None else df.withColumn("text_hash", text_hash(F.col(text))))
         .withColumn("_copy", F.row_number().over(first))
         .where("_copy = 1")
         .drop("_copy")
     )
 
 
-def label_conflicts(df: DataFrame, text: str = "text", label: str = "y") -> DataFrame:
-    """Hashes of texts that occur with more than one label."""
+def label_conflicts(df: DataFrame, text: str | None = "text", label: str = "y") -> DataFrame:
+    """(text_hash, lowest, highest) of texts that occur with more than one label. Without `text` the table has `text_hash`."""
     return (
-        df.groupBy(text_hash(F.col(text)).alias("text_hash"))
+        df.groupBy("text_hash" if text is None else text_hash(F.col(text)).alias("text_hash"))
         .agg(F.min(label).alias("lowest"), F.max(label).alias("highest"))
         .where("lowest <> highest")
     )

@@ -35,7 +35,10 @@ def group_profile(signals: DataFrame, group: str = "grp") -> DataFrame:
     The exact median comes from the histogram of lengths, so the documents are shuffled once, as
     partial sums, and no task sees a whole group.
     """
-    hist = _histogram(signals, group)
+    return _profile_of(_histogram(signals, group), group)
+
+
+def _profile_of(hist: DataFrame, group: str) -> DataFrame:
     upto = F.sum("n").over(Window.partitionBy(group).orderBy("split_words"))
     total = F.sum("n").over(Window.partitionBy(group))
     placed = hist.withColumn("_upto", upto).withColumn("_total", total)
@@ -90,8 +93,11 @@ def top_words(docs: DataFrame, stop_words: Sequence[str], n: int = 10, group: st
         .groupBy(group, "word")
         .agg(F.count(F.lit(1)).alias("docs"))
     )
+    return _top_words(counts, docs.groupBy(group).agg(F.count(F.lit(1)).alias("_n")), n, group)
+
+
+def _top_words(counts: DataFrame, sizes: DataFrame, n: int, group: str) -> DataFrame:
     best = Window.partitionBy(group).orderBy(F.desc("docs"), "word")
-    sizes = docs.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
     return (
         counts.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= n)
@@ -100,6 +106,55 @@ def top_words(docs: DataFrame, stop_words: Sequence[str], n: int = 10, group: st
     )
 
 
+def marks(signals: DataFrame, terms: Sequence[str] = LEXICONS["urgency"], hits: str = "urgency_hits", group: str = "grp") -> DataFrame:
+    """(group, kind, key, n, sums...): all that profile, lexicon rates and top words need, from one pass over the documents.
+
+    A document gives a row of kind 'length' with its sums, a row 'term' for every lexicon term in it (and 'any'), and a row 'word'
+    for every word, which are added up by kind and key before and behind one shuffle.
+    """
+    row = lambda kind, key, one=False: F.struct(
+        F.lit(kind).alias("kind"), key.alias("key"),
+        *[(F.col(c) if one else F.lit(None)).cast("double").alias(c) for c in ("urls", "caps_ratio", "excl")],
+        *[(F.size(c) > 0 if one else F.lit(None)).cast("long").alias(f"{c}_any") for c in ("urgency_hits", "cta_hits")],
+    )
+    found = F.filter(hits, lambda t: t.isin(list(terms)))
+    every = F.concat(
+        F.array(row("length", F.col("split_words").cast("string"), True)),
+        F.transform(F.when(F.size(hits) > 0, F.concat(F.array(F.lit("any")), found)).otherwise(found), lambda t: row("term", t)),
+        F.transform(alpha_words(F.col("low")), lambda w: row("word", w)),
+    )
+    long = signals.select(group, F.inline_outer(every))
+    return long.groupBy(group, "kind", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("urls").cast("long").alias("urls"), F.sum((F.col("urls") > 0).cast("long")).alias("url_any"),
+        F.sum("urgency_hits_any").alias("urg_any"), F.sum("cta_hits_any").alias("cta_any"), F.sum("caps_ratio").alias("caps"),
+        F.sum("excl").cast("long").alias("excl"),
+    )
+
+
+def marked_profile(marked: DataFrame, group: str = "grp") -> DataFrame:
+    """`group_profile` from marks."""
+    hist = marked.where("kind = 'length'").withColumn("split_words", F.col("key").cast("int")).drop("kind", "key")
+    return _profile_of(hist, group)
+
+
+def _sizes(marked: DataFrame, group: str) -> DataFrame:
+    return marked.where("kind = 'length'").groupBy(group).agg(F.sum("n").alias("_n"))
+
+
+def marked_rates(marked: DataFrame, terms: Sequence[str] = LEXICONS["urgency"], group: str = "grp") -> DataFrame:
+    """`lexicon_rates` from marks; the grid of groups and terms is complete."""
+    grid = _sizes(marked, group).select(group, "_n", F.explode(F.array(*[F.lit(t) for t in ("any", *terms)])).alias("term"))
+    seen = marked.where("kind = 'term'").select(F.col(group).alias("_group"), F.col("key").alias("_term"), "n")
+    matched = grid.join(seen, F.col(group).eqNullSafe(F.col("_group")) & (F.col("term") == F.col("_term")), "left")
+    return matched.select(group, "term", (100 * (F.coalesce("n", F.lit(0)) / F.col("_n"))).alias("pct"))
+
+
+def marked_words(marked: DataFrame, stop_words: Sequence[str], n: int = 10, group: str = "grp") -> DataFrame:
+    """`top_words` from marks."""
+    counts = marked.where((F.col("kind") == "word") & ~F.col("key").isin(list(stop_words))).select(group, F.col("key").alias("word"), F.col("n").alias("docs"))
+    return _top_words(counts, _sizes(marked, group), n, group)
+
+
 def rollup_counts(docs: DataFrame, origin: str = "origin", label: str = "y", text: str = "text_hash") -> DataFrame:
     """Rows and distinct texts for all, per label, per origin and per both, in one pass.
 

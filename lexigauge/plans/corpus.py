@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexigauge.config import LEXICONS
 from lexigauge.functions.clean import clean_text, lower_without_emails
-from lexigauge.functions.signals import with_signals
+from lexigauge.functions.signals import with_clean_text, with_signals
 from lexigauge.functions.terms import tokens
-from lexigauge.operators.dedup import keep_first
+from lexigauge.operators.dedup import keep_first, text_hash
 from lexigauge.operators.vocab import with_term_counts
 
 
@@ -20,6 +20,17 @@ def distinct_documents(corpus: DataFrame, order: Sequence[str] = ("grp_order", "
     return kept.withColumn("low", lower_without_emails(F.col("text")))
 
 
+def distinct_signals(
+    corpus: DataFrame, lexicons: Mapping[str, Sequence[str]] = LEXICONS, order: Sequence[str] = ("grp_order", "doc_id")
+) -> DataFrame:
+    """Counts and signals of the first of equal texts, without the texts.
+
+    All is made in the scan, so what is shuffled to find the first of a text is its hash, the order and some numbers.
+    """
+    ready = with_signals(with_clean_text(corpus), lexicons)
+    return keep_first(ready.withColumn("text_hash", text_hash(F.col("text"))).drop("raw", "text", "low"), order, text=None)
+
+
 def features(
     documents: DataFrame, lexicons: Mapping[str, Sequence[str]] = LEXICONS, words: Callable[[Column], Column] = tokens
 ) -> DataFrame:

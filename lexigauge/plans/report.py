@@ -35,18 +35,18 @@ def statistics(
     corpus: DataFrame, documents: DataFrame, lexicons: Mapping[str, Sequence[str]] = LEXICONS,
     stop_words: Sequence[str] = (*STOP_WORDS, *WEB_WORDS), group: str = "grp",
 ) -> DataFrame:
-    """(metric, key, group, value): sizes, profile, lexicon rates and top words of every group."""
-    ready = with_signals(documents, lexicons)
-    counts = (
-        corpus.groupBy(group).agg(F.count(F.lit(1)).alias("n_rows"))
-        .join(documents.groupBy(group).agg(F.count(F.lit(1)).alias("distinct_texts")), group, "left")
-        .na.fill(0, ["distinct_texts"])
-    )
+    """(metric, key, group, value): sizes, profile, lexicon rates and top words of every group.
+
+    The distinct documents are read once; everything derives from their marks.
+    """
+    marked = materialize(profile.marks(with_signals(documents, lexicons), lexicons["urgency"], group=group), "marks")
+    distinct = marked.where("kind = 'length'").groupBy(group).agg(F.sum("n").alias("distinct_texts"))
+    rows = corpus.groupBy(group).agg(F.count(F.lit(1)).alias("n_rows"))
     return profile.stats_table(
-        profile.group_profile(ready, group),
-        profile.lexicon_rates(ready, lexicons["urgency"], group=group),
-        profile.top_words(documents, stop_words, group=group),
-        counts,
+        profile.marked_profile(marked, group),
+        profile.marked_rates(marked, lexicons["urgency"], group),
+        profile.marked_words(marked, stop_words, group=group),
+        rows.join(distinct, group, "left").na.fill(0, ["distinct_texts"]),
         group,
     )
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lexigauge.config import CSV_NULLS
 from lexigauge.functions.clean import NOT_SPACE, decode_subject
+from lexigauge.functions.exprs import small
 from lexigauge.sources.scratch import materialize
 
 ORDER = ("file", "row_no", "piece")
@@ -33,13 +34,16 @@ def _position() -> list[Column]:
 def _numbered(rows: DataFrame) -> DataFrame:
     """`row_no` as the number of the row in its file, from 0, however the file was split.
 
-    A first pass counts the rows of every split, so the table that is joined has a row per split. It must not prune columns
-    in a way that changes what a row is, so it reads what the second pass reads.
+    A file is parsed once and its rows are written with their split and their number in it. How a file is split depends on the
+    cores of the moment, so a second read may split it elsewhere; the written rows keep what the first one saw. The splits'
+    offsets come from that table. There is a row per split, broadcast where there are few of them.
     """
-    splits = rows.groupBy("file", "part_start").agg(F.min("row_no").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    held = materialize(rows, "rows")
+    splits = held.groupBy("file", "part_start").agg(F.min("row_no").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("file").orderBy("part_start").rowsBetween(Window.unboundedPreceding, 0)
     base = materialize(splits.withColumn("_base", F.sum("_n").over(before) - F.col("_n") - F.col("_first")).drop("_n", "_first"), "splits")
-    return rows.join(F.broadcast(base), ["file", "part_start"]).withColumn("row_no", F.col("row_no") + F.col("_base")).drop("part_start", "_base")
+    joined = held.join(small(base, base.count()), ["file", "part_start"])
+    return joined.withColumn("row_no", F.col("row_no") + F.col("_base")).drop("part_start", "_base")
 
 
 def _blank_if_null(value: Column) -> Column:

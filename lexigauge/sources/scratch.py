@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _local_dir: str | None = None
 _written: list[str] = []
@@ -32,12 +33,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}"
 
 
-def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write `df` once and read it back: later jobs scan columns they need instead of recomputing."""
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = (), schema: StructType | None = None) -> DataFrame:
+    """Write `df` once and read it back: later jobs scan columns they need instead of recomputing.
+
+    `schema` is the one to read with, if it is not that of `df`: a type of its own in place of how it is stored.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema if schema is None else schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:

@@ -145,3 +145,32 @@ def test_reference_values_weigh_groups_equally(spark):
     table = spark.createDataFrame(rows, "grp string, y int, docs int, median_words double, urls double, urg_any double, cta_any double, caps double")
     got = signal_reference(profile.class_reference(table))
     assert got == {"urgency": (40, 2), "cta": (10, 1), "urls": (2, 0.5), "length": (90, 7), "caps": (4, 4)}
+
+
+def test_marks_give_profile_rates_and_words(spark):
+    """One pass over the documents gives what the three operators give on their own."""
+    lex = {"urgency": ("now", "never"), "cta": ("here",)}
+    rows = [("a", t) for t in ("Go now!", "now now here", "see x.com", "", "the word the word www")] + [("b", "never never Never"), ("b", None), (None, "now")]
+    docs = with_clean_text(spark.createDataFrame(rows, "grp string, raw string").na.fill("", ["raw"]))
+    ready = with_signals(docs, lex)
+    marked = profile.marks(ready, lex["urgency"])
+    same = lambda one, other: sorted(map(str, one.collect())) == sorted(map(str, other.select(one.columns).collect()))
+    assert same(profile.group_profile(ready), profile.marked_profile(marked))
+    known = "grp IS NOT NULL"  # joins by group leave rows without one aside
+    assert same(profile.lexicon_rates(ready, lex["urgency"]), profile.marked_rates(marked, lex["urgency"]))
+    assert same(profile.top_words(docs, ("the", "www"), 3).where(known), profile.marked_words(marked, ("the", "www"), 3))
+    assert profile.marks(ready.where("false")).count() == 0
+
+
+def test_first_signals_are_found_without_shuffling_texts(spark):
+    from lexigauge.plans.corpus import distinct_documents, distinct_signals
+
+    rows = [(i, f" Text  {i % 7} now! " if i % 3 else "the very same", "g", i % 2) for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, raw string, grp string, grp_order int")
+    lex = {"urgency": ("now",), "cta": ("here",)}
+    narrow = distinct_signals(frame, lex)
+    wide = with_signals(distinct_documents(frame), lex)
+    columns = ["doc_id", "text_hash", "words", "caps", "urgency_hits", "punct_per_100w"]
+    assert sorted(map(str, narrow.select(columns).collect())) == sorted(map(str, wide.select(columns).collect()))
+    window = [line for line in PLAN(narrow).splitlines() if "Exchange" in line or "Window" in line]
+    assert window and not {"text", "low", "raw"} & set(narrow.columns)

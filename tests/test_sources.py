@@ -143,3 +143,35 @@ def test_released_tables_are_gone(spark, monkeypatch):
     assert not scratch._written
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("layout", ["last_comma", "text"])
+def test_rows_stay_and_keep_their_numbers_when_files_are_split_otherwise_later(spark, tmp_path, layout):
+    """Splits depend on the cores and settings of the moment a scan runs; the loaded table does not."""
+    lines = [f"row {i} of the file" for i in range(5000)]
+    (tmp_path / "one.csv").write_text("\n".join(["text,label" if layout == "last_comma" else "text"] + ([f"{t},1" for t in lines] if layout == "last_comma" else lines)) + "\n")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    seen = []
+    try:
+        for first, then in (("1m", "3k"), ("3k", "1m"), ("2k", "7k")):
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            spark.conf.set("spark.sql.files.maxPartitionBytes", first)
+            if layout == "last_comma":
+                loaded = read_last_comma(spark, str(tmp_path / "one.csv"))
+            else:
+                loaded = read_text_column(spark, str(tmp_path / "one.csv"), multi_line=False)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", then)
+            seen.append([(r["row_no"], r["raw"]) for r in loaded.orderBy("row_no", "piece").collect()])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [raw for _, raw in seen[0]] == lines
+    assert [n for n, _ in seen[0]] == list(range(seen[0][0][0], seen[0][0][0] + 5000)) and seen[0] == seen[1] == seen[2]
+
+
+def test_many_splits_are_not_broadcast(spark, files, monkeypatch):
+    monkeypatch.setattr("lexigauge.functions.exprs.BROADCAST_ROWS", 0)
+    loaded = read_last_comma(spark, str(files / "unquoted.csv"))
+    assert loaded.count() == 6
+    plan = loaded._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan and "rightHint" not in plan
