@@ -1,8 +1,9 @@
 """The same results as plain SQL over the given tables, for an independent engine."""
 
 from lexigauge.catalog.setup import FIXED_INTERCEPT, GROUPS, LEXICONS, STOP
-from lexigauge.config import MAX_FEATURES, SEED, SIGNALS
+from lexigauge.config import MAX_FEATURES, SEED, SIGNAL_LABELS, SIGNALS
 from lexigauge.operators.profile import COMPARED, REFERENCED
+from lexigauge.plans.report import EDGE_TEXTS
 
 _SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]+"
 # fixed value: what counts as a URL
@@ -173,6 +174,61 @@ scored AS (
 )"""
 _SCORED = f"{_FIXED} SELECT doc_id, known_terms, round(z, 6) AS z, round(p, 6) AS p, pred FROM scored"
 
+_RANKED = """
+ranked AS (
+    SELECT doc_id, term, value, row_number() OVER (PARTITION BY doc_id ORDER BY abs(value) DESC, term) AS rank FROM contributions
+)"""
+_TYPICAL = (("urgency", "urg_any"), ("cta", "cta_any"), ("urls", "urls"), ("length", "median_words"), ("caps", "caps"))
+
+
+def _trials(parted: str, trains: str, tests: str) -> str:
+    """`outcomes` (model, grp, y, n, correct, positive) of trials with coefficients by position.
+
+    `parted`: a query for (doc_id, grp, y, text, low, part); `trains`, `tests`: queries for (model, part).
+    """
+    signal_rows = f"(UNPIVOT (SELECT doc_id, part, {', '.join(SIGNALS)} FROM signals) ON {', '.join(SIGNALS)} INTO NAME name VALUE x)"
+    places = ", ".join(f"('{n}', {i})" for i, n in enumerate(SIGNALS))
+    return f"""
+parted AS ({parted}), trains AS ({trains}), tests AS ({tests}),
+{_signals('parted', 'doc_id, grp, y, part')}, {_terms('parted', 'doc_id, part')},
+sizes AS (SELECT model, count(*) AS n FROM parted JOIN trains USING (part) GROUP BY model),
+stats AS (SELECT model, term, sum(cnt) AS tf, count(*) AS df FROM terms JOIN trains USING (part) GROUP BY model, term HAVING count(*) >= 2),
+kept AS (SELECT * FROM stats QUALIFY row_number() OVER (PARTITION BY model ORDER BY tf DESC, term) <= {MAX_FEATURES}),
+model_terms AS (
+    SELECT model, term, ln((1 + n) / (1 + df)) + 1 AS idf, ((row_number() OVER (PARTITION BY model ORDER BY term) - 1) % 7 - 3) * 0.5 AS coef
+    FROM kept JOIN sizes USING (model)
+),
+places(name, pos) AS (VALUES {places}),
+scale AS (
+    SELECT model, name, (pos - 2) * 0.2 AS coef, avg(x) AS mean, CASE WHEN stddev_pop(x) = 0 THEN 1 ELSE stddev_pop(x) END AS std
+    FROM {signal_rows} JOIN trains USING (part) JOIN places USING (name) GROUP BY model, name, pos
+),
+weighted AS (SELECT model, doc_id, (1 + ln(cnt)) * idf AS w, coef FROM terms JOIN tests USING (part) JOIN model_terms USING (model, term)),
+from_terms AS (SELECT model, doc_id, sum(w * coef) / sqrt(sum(w * w)) AS z FROM weighted GROUP BY model, doc_id),
+from_signals AS (
+    SELECT model, doc_id, sum((x - mean) / std * coef) AS z FROM {signal_rows} JOIN tests USING (part) JOIN scale USING (model, name) GROUP BY model, doc_id
+),
+judged AS (
+    SELECT model, grp, y, CASE WHEN 1 / (1 + exp(-(s.z + coalesce(t.z, 0) + {FIXED_INTERCEPT}))) >= 0.5 THEN 1 ELSE 0 END AS pred
+    FROM from_signals s LEFT JOIN from_terms t USING (model, doc_id) JOIN parted USING (doc_id)
+),
+outcomes AS (
+    SELECT model, grp, y, count(*) AS n, sum((pred = y)::INT) AS correct, sum(pred) AS positive FROM judged GROUP BY model, grp, y
+)"""
+
+
+_FOLDED = "SELECT doc_id, grp, y, text, low, (rank - 1) % 5 AS part FROM shuffled"
+_OTHER_FOLDS = "SELECT m.range AS model, p.range AS part FROM range(5) m, range(5) p WHERE m.range {} p.range"
+_SPLIT = """
+split_sizes AS (SELECT grp, count(*) AS n, ceil(0.2 * (SELECT count(*) FROM docs)) AS wanted, (SELECT count(*) FROM docs) AS total FROM docs GROUP BY grp),
+quotas AS (
+    SELECT grp, floor(wanted * n / total)
+        + CASE WHEN row_number() OVER (ORDER BY round(wanted * n / total - floor(wanted * n / total), 9) DESC, grp)
+            <= wanted - sum(floor(wanted * n / total)) OVER () THEN 1 ELSE 0 END AS quota
+    FROM split_sizes
+),
+split AS (SELECT *, CASE WHEN rank <= quota THEN 'test' ELSE 'train' END AS part FROM shuffled JOIN quotas USING (grp))"""
+
 _LISTED_METRICS = ("median_words", "urls", "url_any", "urg_any", "cta_any", "caps", "excl")
 _DIGITS = {"urls": 2, "url_any": 1, "urg_any": 1, "cta_any": 1, "caps": 1, "excl": 2}
 
@@ -194,13 +250,12 @@ ORACLES = {
         SELECT doc_id, origin, sha256(text) AS text_hash
         FROM (SELECT doc_id, CASE WHEN lang = 'en' THEN 'en' ELSE 'other' END AS origin, {_clean('text')} AS text FROM documents)
         QUALIFY row_number() OVER (PARTITION BY text ORDER BY origin, doc_id) = 1""",
-    "label_conflicts": f"""
-        SELECT sum((toxic > 1)::INT)::BIGINT AS toxic_conflicts, sum((quality > 1)::INT)::BIGINT AS quality_conflicts,
-            count(*) AS texts
-        FROM (
-            SELECT {_clean('text')} AS t, count(DISTINCT toxic) AS toxic, count(DISTINCT quality) AS quality
-            FROM documents JOIN labels USING (doc_id) GROUP BY t
-        )""",
+    "label_conflicts": f"""WITH cleaned AS (SELECT doc_id, source, sha256({_clean('text')}) AS text_hash FROM documents),
+        labelled AS (SELECT * FROM cleaned JOIN labels USING (doc_id))
+        {' UNION ALL '.join(
+            f"SELECT '{c}' AS label, text_hash, min({c})::VARCHAR AS lowest, max({c})::VARCHAR AS highest FROM {t} "
+            f"GROUP BY text_hash HAVING count(DISTINCT {c}) > 1"
+            for c, t in (('toxic', 'labelled'), ('quality', 'labelled'), ('source', 'cleaned')))}""",
     "duplicate_audit": f"""
         SELECT lang, count(*) AS n_rows, count(*) - count(DISTINCT (text, lang, source, n_chars)) AS identical_rows,
             count(*) - count(DISTINCT text) AS identical_text, count(DISTINCT text) AS unique_text,
@@ -278,25 +333,47 @@ ORACLES = {
         FROM kept""",
     "score_fixed": _SCORED,
     "stream_score": _SCORED,
+    "stream_first_texts": f"""WITH lines AS (
+            SELECT event_id, ts, epoch_us(ts) // 86400000000 AS day, sha256({_clean("event_type || ' ' || props")}) AS text_hash FROM events
+        )
+        SELECT day, text_hash, arg_min(event_id, (ts, event_id)) AS event_id, count(*) AS copies FROM lines
+        WHERE (day + 1) * 86400000000 <= (SELECT epoch_us(max(ts)) - 7200000000 FROM lines) GROUP BY day, text_hash""",
+    "stream_distinct_texts": f"""
+        SELECT text_hash, 1::BIGINT AS n FROM (SELECT DISTINCT sha256({_clean("event_type || ' ' || props")}) AS text_hash FROM events)""",
     "model_roundtrip": f"{_FIXED} SELECT doc_id, known_terms, round(p, 6) AS p, true AS agrees FROM scored",
     "explain_fixed": f"""{_FIXED},
-        ranked AS (
-            SELECT doc_id, abs(value) AS size, row_number() OVER (PARTITION BY doc_id ORDER BY abs(value) DESC, term) AS rank
-            FROM contributions
-        )
-        SELECT doc_id, rank, round(size, 6) AS size,
-            round(size / greatest(max(size) OVER (PARTITION BY doc_id), 1e-9), 6) AS rel_weight
+        {_RANKED}
+        SELECT doc_id, rank, term, round(value, 6) AS value,
+            round(abs(value) / greatest(max(abs(value)) OVER (PARTITION BY doc_id), 1e-9), 6) AS rel_weight
         FROM ranked WHERE rank <= 8""",
-    "report_fixed": f"""{_FIXED}
-        SELECT doc_id, CASE WHEN words = 0 THEN 'nothing_to_analyze' ELSE 'scored' END AS status,
+    "report_fixed": f"""{_FIXED}, {_RANKED},
+        labels_shown(term, label) AS (VALUES {', '.join(f"('[{k}]', '{v}')" for k, v in SIGNAL_LABELS.items())}),
+        driven AS (
+            SELECT doc_id, string_agg(coalesce(label, '“' || term || '”') || CASE WHEN value > 0 THEN ' positive' ELSE ' negative' END, '; ' ORDER BY rank) AS drivers
+            FROM ranked LEFT JOIN labels_shown USING (term) WHERE rank <= 8 GROUP BY doc_id
+        ),
+        grouped_counted AS (SELECT * FROM docs),
+        {_signals('grouped_counted', 'doc_id, grp').replace('counted AS (', 'group_counted AS (', 1).replace('signals AS (', 'group_signals AS (', 1).replace('FROM counted', 'FROM group_counted')},
+        {_PROFILE.replace('FROM signals', 'FROM group_signals')},
+        reference AS (SELECT y, {', '.join(f'round(avg({m}), 6) AS {m}' for m in REFERENCED)} FROM profile JOIN groups USING (grp) GROUP BY y),
+        typical AS (
+            SELECT {" || '; ' || ".join(f"printf('{name}/%.3f/%.3f', a.{c}, b.{c})" for name, c in _TYPICAL)} || '; punct' AS typical
+            FROM reference a, reference b WHERE a.y = 1 AND b.y = 0
+        )
+        SELECT doc_id, drivers, typical,
+            concat_ws('; ', CASE WHEN len(urgency_hits) > 0 THEN array_to_string(urgency_hits[1:3], ', ') ELSE 'none' END,
+                CASE WHEN len(cta_hits) > 0 THEN array_to_string(cta_hits[1:2], ', ') ELSE 'none' END, urls::VARCHAR, words || ' / ' || chars,
+                round_even(100 * caps_ratio, 1)::VARCHAR, punct::VARCHAR) AS shown,
+            CASE WHEN greatest(p, 1 - p) * 100 >= 99 THEN '>99' ELSE floor(greatest(p, 1 - p) * 100 + 0.5)::BIGINT::VARCHAR END AS confidence,
+            CASE WHEN words = 0 THEN 'nothing_to_analyze' ELSE 'scored' END AS status,
             CASE WHEN words = 0 THEN NULL WHEN pred = 1 THEN 'positive' ELSE 'negative' END AS verdict,
-            round(100 * p, 4) AS p_pct, known_terms, least(known_terms + 6, 8) AS drivers,
+            round(100 * p, 4) AS p_pct, known_terms,
             array_to_string(list_filter([
                 CASE WHEN len(urgency_hits) > 0 THEN 'urgency' END, CASE WHEN len(cta_hits) > 0 THEN 'cta' END,
                 CASE WHEN urls > 0 AND urls <= 3 THEN 'urls' END, CASE WHEN words < 150 THEN 'length' END,
                 CASE WHEN 100 * caps_ratio > 15 THEN 'caps' END], lambda x: x IS NOT NULL), ',') AS flags,
             array_to_string(urgency_hits[1:3], ', ') AS urgency_shown
-        FROM scored JOIN every_signals USING (doc_id)""",
+        FROM scored JOIN every_signals USING (doc_id) JOIN driven USING (doc_id), typical""",
     "model_terms_fixed": f"""{_FIXED},
         sided AS (
             SELECT 'positive' AS side, term, coef, row_number() OVER (ORDER BY coef DESC, idx DESC) AS rank FROM model_terms
@@ -305,7 +382,8 @@ ORACLES = {
         )
         SELECT side, rank, term, coef, round(abs(coef) / max(abs(coef)) OVER (), 6) AS rel_weight FROM sided WHERE rank <= 15""",
     "parity_check": f"""WITH {_LABELLED}
-        SELECT doc_id, grp, true AS agrees FROM corpus QUALIFY row_number() OVER (PARTITION BY grp ORDER BY doc_id) <= 2""",
+        SELECT doc_id, grp, true AS agrees FROM corpus QUALIFY row_number() OVER (PARTITION BY grp ORDER BY doc_id) <= 2
+        UNION ALL SELECT -1 - i, 'edge', true FROM range({len(EDGE_TEXTS)}) AS t(i)""",
     "stats_document": f"""WITH {_LABELLED_SIGNALS}, {_PROFILE}, {_RATES}, {_WORDS}
         {' UNION ALL '.join(f"SELECT '{m}' AS metric, '' AS key, grp, {_published(m)}::DOUBLE AS value FROM profile" for m in _LISTED_METRICS)}
         UNION ALL SELECT 'rows', '', grp, count(*)::DOUBLE FROM corpus GROUP BY grp
@@ -313,8 +391,36 @@ ORACLES = {
         UNION ALL SELECT 'urgency', term, grp, round_even(pct, 1)::DOUBLE FROM rates
         UNION ALL SELECT 'words', lpad(rank::VARCHAR, 2, '0') || ' ' || word, grp, round_even(pct, 0)::DOUBLE FROM words""",
     "file_corpus": f"""WITH {_LABELLED}
-        SELECT grp, grp_order, origin, y, md5(CASE WHEN grp_order < 2 THEN trim('subject, of a text ' || text, ' ') ELSE text END) AS text_md5
+        SELECT grp, grp_order, origin, y, md5(CASE WHEN grp_order < 2 THEN trim('café, of a text fine 1⁄2 ' || text, ' ') ELSE text END) AS text_md5
         FROM corpus""",
+    "cv_fixed": f"""WITH {_LABELLED}, {_FOLDS}, {_trials(_FOLDED, _OTHER_FOLDS.format('<>'), _OTHER_FOLDS.format('='))},
+        accuracies AS (
+            SELECT 'group' AS scope, grp, sum(correct) / sum(n) AS accuracy FROM outcomes GROUP BY model, grp
+            UNION ALL SELECT 'overall', NULL, sum(correct) / sum(n) FROM outcomes GROUP BY model
+        )
+        SELECT scope, grp, round_even(100 * avg(accuracy), 1) AS mean_pct, round_even(100 * stddev_pop(accuracy), 1) AS sd_pct
+        FROM accuracies GROUP BY scope, grp""",
+    "holdout_fixed": f"""WITH {_LABELLED}, {_FOLDS}, {_SPLIT},
+        {_trials("SELECT doc_id, grp, y, text, low, part FROM split", "SELECT 0 AS model, 'train' AS part", "SELECT 0 AS model, 'test' AS part")}
+        SELECT 'group' AS scope, grp, round_even(100 * (sum(correct) / sum(n)), 1) AS accuracy_pct, sum(n)::BIGINT AS n FROM outcomes GROUP BY grp
+        UNION ALL SELECT 'overall', NULL, round_even(100 * (sum(correct) / sum(n)), 1), sum(n)::BIGINT FROM outcomes""",
+    "cross_origin_fixed": f"""WITH {_LABELLED},
+        {_trials("SELECT doc_id, grp, y, text, low, origin AS part FROM docs", "VALUES (0, 'en'), (1, 'other')", "VALUES (0, 'other'), (1, 'en')")
+            .replace("trains AS", "trains(model, part) AS").replace("tests AS", "tests(model, part) AS")},
+        shares AS (
+            SELECT model, sum(correct) / sum(n) AS accuracy, sum(positive) FILTER (y = 1) / sum(n) FILTER (y = 1) AS found,
+                1 - sum(positive) FILTER (y = 0) / sum(n) FILTER (y = 0) AS spared, sum(positive) / sum(n) AS positive
+            FROM outcomes GROUP BY model
+        )
+        SELECT CASE model WHEN 0 THEN 'en_to_other' ELSE 'other_to_en' END AS direction, round_even(100 * accuracy, 1) AS accuracy_pct,
+            round_even(100 * ((found + spared) / 2), 1) AS balanced_accuracy_pct, round_even(100 * found, 1) AS positive_recall_pct,
+            round_even(100 * spared, 1) AS negative_recall_pct, round_even(100 * positive, 1) AS predicted_positive_pct,
+            round_even(100 * (1 - spared), 1) AS false_flag_pct
+        FROM shares""",
+    "fit_certificate": f"""WITH {_LABELLED}, {_FOLDS}, {_SPLIT}, training AS (SELECT doc_id, low FROM split WHERE part = 'train'), {_terms('training', 'doc_id')}
+        SELECT 0 AS model, (SELECT count(*) FROM training) AS n_train,
+            least({MAX_FEATURES}, (SELECT count(*) FROM (SELECT term FROM terms GROUP BY term HAVING count(*) >= 2))) AS n_terms,
+            true AS terms_solved, true AS intercept_solved""",
     "file_audit": f"""WITH {_LABELLED},
         written AS (SELECT grp, CASE WHEN grp_order = 2 THEN text ELSE raw END AS raw, text FROM corpus)
         SELECT grp, count(*) AS n_rows, count(*) - count(DISTINCT raw) AS identical_rows,

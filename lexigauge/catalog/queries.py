@@ -2,18 +2,19 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexigauge.catalog.setup import GROUPS, LEXICONS, STOP, all_distinct, corpus, distinct, documents, features, fixed_model, origin, read, texts
+from lexigauge.catalog.setup import FIXED_INTERCEPT, GROUPS, LEXICONS, STOP, all_distinct, corpus, distinct, documents, features, fixed_model, origin, read, texts
 from lexigauge.config import SIGNALS
 from lexigauge.functions.lexicon import lexicon_matches
 from lexigauge.functions.signals import with_clean_text, with_signals
 from lexigauge.functions.urls import has_url, url_count
 from lexigauge.operators import dedup, profile, rank, score, vocab, weights
 from lexigauge.plans import evaluate, report
-from lexigauge.plans.corpus import distinct_documents
-from lexigauge.plans.fit import Model, trial_vocabularies
+from lexigauge.plans.corpus import distinct_documents, distinct_signals
+from lexigauge.plans.fit import Model, fit_trials, fixed_trials, trial_vocabularies
 from lexigauge.sources import sinks
 from lexigauge.sources.files import GroupFile, load_corpus, load_for_audit
 from lexigauge.sources.scratch import materialize, new_path
+from lexigauge.streaming import dedup as stream_dedup
 from lexigauge.streaming.score import score_stream, score_texts
 
 
@@ -21,6 +22,10 @@ def rounded(name: str, digits: int = 6):
     return F.round(F.col(name), digits).alias(name)
 
 
+def signals_of_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    return distinct_signals(corpus(spark, sf), LEXICONS)
+
+
 def group_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows and distinct texts per group."""
     rows = corpus(spark, sf).groupBy("grp", "grp_name").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -41,17 +46,15 @@ def dedup_keep_first(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def label_conflicts(spark: SparkSession, sf: str) -> DataFrame:
-    """Texts with two labels, for both label columns; none may be left for training."""
-    docs = with_clean_text(documents(spark, sf))
-    labelled = docs.join(read(spark, sf, "labels"), "doc_id")
-    by_hash = labelled.groupBy(dedup.text_hash(F.col("text"))).agg(
-        *[(F.min(c) != F.max(c)).cast("long").alias(c) for c in ("toxic", "quality")]
-    )
-    return by_hash.agg(
-        F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic_conflicts"),
-        F.coalesce(F.sum("quality"), F.lit(0)).alias("quality_conflicts"),
-        F.count(F.lit(1)).alias("texts"),
-    )
+    """Texts with two labels, for both label columns, which have none to be left for training, and for the source, which differs."""
+    docs = with_clean_text(texts(spark, sf, "documents", "doc_id", "source", F.col("text").alias("raw"))).select("doc_id", "source", "text")
+    cleaned = materialize(docs.withColumn("text_hash", dedup.text_hash(F.col("text"))).drop("text"), "hashes")
+    labelled = cleaned.join(read(spark, sf, "labels"), "doc_id")
+    found = [
+        dedup.label_conflicts(df, text=None, label=c).select(F.lit(c).alias("label"), "text_hash", F.col("lowest").cast("string"), F.col("highest").cast("string"))
+        for df, c in ((labelled, "toxic"), (labelled, "quality"), (cleaned, "source"))
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 def duplicate_audit(spark: SparkSession, sf: str) -> DataFrame:
@@ -99,7 +102,7 @@ def signals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def signal_scaler(spark: SparkSession, sf: str) -> DataFrame:
-    scale = weights.signal_scaler(with_signals(all_distinct(spark, sf), LEXICONS))
+    scale = weights.signal_scaler(distinct_signals(documents(spark, sf), LEXICONS, ["doc_id"]))
     return scale.select("pos", "name", rounded("mean"), rounded("std"))
 
 
@@ -114,7 +117,7 @@ def url_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lexicon_rates(spark: SparkSession, sf: str) -> DataFrame:
-    docs = with_signals(distinct(spark, sf), LEXICONS)
+    docs = signals_of_distinct(spark, sf)
     return profile.lexicon_rates(docs, LEXICONS["urgency"]).select("grp", "term", rounded("pct"))
 
 
@@ -123,12 +126,11 @@ def lexicon_hits(spark: SparkSession, sf: str) -> DataFrame:
     entries = [(k, t) for k, ts in LEXICONS.items() for t in ts]
     table = spark.createDataFrame(entries, "kind string, term string")
     docs = with_clean_text(documents(spark, sf))
-    return lexicon_matches(docs, table, len(entries))
+    return lexicon_matches(docs, table)
 
 
 def group_profile(spark: SparkSession, sf: str) -> DataFrame:
-    docs = with_signals(distinct(spark, sf), LEXICONS)
-    table = profile.group_profile(docs)
+    table = profile.group_profile(signals_of_distinct(spark, sf))
     return table.select("grp", "docs", "median_words", *[rounded(c) for c in ("urls", "url_any", "urg_any", "cta_any", "caps", "excl")])
 
 
@@ -150,13 +152,13 @@ def rollup_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def class_reference(spark: SparkSession, sf: str) -> DataFrame:
-    table = profile.group_profile(with_signals(distinct(spark, sf), LEXICONS))
+    table = profile.group_profile(signals_of_distinct(spark, sf))
     labelled = table.join(F.broadcast(spark.createDataFrame([(g[2], g[1]) for g in GROUPS], "grp string, y int")), "grp")
     return profile.class_reference(labelled).select("y", *[rounded(c) for c in profile.REFERENCED])
 
 
 def comparison(spark: SparkSession, sf: str) -> DataFrame:
-    table = profile.group_profile(with_signals(distinct(spark, sf), LEXICONS))
+    table = profile.group_profile(signals_of_distinct(spark, sf))
     shown = [g[2] for g in GROUPS if g[0] == "en"]
     return profile.comparison(table, shown=shown).select("metric", "grp", rounded("value"), rounded("rel_weight"))
 
@@ -179,8 +181,9 @@ def first_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def fold_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     """Vocabulary and idf of every fold's model, from the other folds only."""
-    docs = vocab.with_term_counts(rank.stratified_folds(distinct(spark, sf), "grp"))
-    slim = materialize(docs.select("fold", "counted"), "folds")
+    docs = materialize(vocab.with_term_counts(distinct(spark, sf)).select("grp", "text_hash", "counted"), "counted")
+    folds = rank.stratified_folds(docs.select("grp", "text_hash"), "grp").select("text_hash", "fold")
+    slim = materialize(docs.join(folds, "text_hash").select("fold", "counted"), "folds")
     trials = evaluate.fold_trials()
     members = {r["fold"]: r["count"] for r in slim.groupBy("fold").count().collect()}
     sizes = {t.model: sum(members[f] for f in t.train) for t in trials}
@@ -204,10 +207,7 @@ def score_fixed(spark: SparkSession, sf: str) -> DataFrame:
 def explain_fixed(spark: SparkSession, sf: str) -> DataFrame:
     model, docs = _fixed(spark, sf)
     explained = score.explain(docs, model.weights, ["doc_id"], model.rows)
-    # Ranks of equal sizes depend on the last bits of a float, so the check looks at the values.
-    return score.top_contributions(explained, ["doc_id"]).select(
-        "doc_id", "rank", F.round(F.abs("value"), 6).alias("size"), rounded("rel_weight")
-    )
+    return score.top_contributions(explained, ["doc_id"]).select("doc_id", "rank", "term", rounded("value"), rounded("rel_weight"))
 
 
 REPORT_KEYS = ("doc_id", "words", "chars", "urls", "urgency_hits", "cta_hits", "caps_pct", "punct")
@@ -215,11 +215,16 @@ REPORT_KEYS = ("doc_id", "words", "chars", "urls", "urgency_hits", "cta_hits", "
 
 def report_fixed(spark: SparkSession, sf: str) -> DataFrame:
     model, docs = _fixed(spark, sf)
-    full = score.document_report(score.explain(docs, model.weights, REPORT_KEYS, model.rows))
+    typical = report.signal_reference(class_reference(spark, sf))
+    full = score.document_report(score.explain(docs, model.weights, REPORT_KEYS, model.rows), typical)
+    three = lambda x: F.replace(F.format_number(x, 3), F.lit(","), F.lit(""))
     flags = F.transform(F.filter("signals", lambda s: s["flagged"]), lambda s: s["name"])
     return full.select(
         "doc_id", "status", "verdict", F.round(100 * F.col("p"), 4).alias("p_pct"), "known_terms",
-        F.size("drivers").alias("drivers"), F.array_join(flags, ",").alias("flags"),
+        "confidence", F.array_join(flags, ",").alias("flags"),
+        F.array_join(F.transform("drivers", lambda d: F.concat(d["label"], F.lit(" "), d["direction"])), "; ").alias("drivers"),
+        F.array_join(F.transform("signals", lambda s: F.concat_ws("/", s["name"], three(s["typical_positive"]), three(s["typical_negative"]))), "; ").alias("typical"),
+        F.array_join(F.transform("signals", lambda s: s["shown"]), "; ").alias("shown"),
         F.array_join(F.slice("urgency_hits", 1, 3), ", ").alias("urgency_shown"),
     )
 
@@ -254,17 +259,45 @@ def stream_score(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).select("doc_id", "known_terms", rounded("z"), rounded("p"), "pred")
 
 
+def _event_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as a stream of log lines: type and properties."""
+    schema = read(spark, sf, "events").schema
+    events = spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet")
+    return events.select("event_id", stream_dedup.utc_time(F.col("ts")).alias("at"), F.concat_ws(" ", "event_type", "props").alias("raw"))
+
+
+def stream_first_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The first event of every text on every day that the stream has closed."""
+    kept = stream_dedup.first_per_window(_event_texts(spark, sf), "at", "1 day", "2 hours", ["event_id"])
+    out = new_path(spark, "first_texts")
+    stream_dedup.write_stream(kept, out, new_path(spark, "progress")).awaitTermination()
+    day = F.expr("unix_micros(window.start) div 86400000000")
+    return spark.read.parquet(out).select(day.alias("day"), "text_hash", "event_id", "copies")
+
+
+def stream_distinct_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text once, as a watermark longer than the stream has it."""
+    kept = stream_dedup.drop_repeats(_event_texts(spark, sf), "at", "3650 days")
+    out = new_path(spark, "distinct_texts")
+    stream_dedup.write_stream(kept.select("text_hash"), out, new_path(spark, "progress")).awaitTermination()
+    return spark.read.parquet(out).groupBy("text_hash").agg(F.count(F.lit(1)).alias("n"))
+
+
 def parity_check(spark: SparkSession, sf: str) -> DataFrame:
-    """Scores of the stored model against those of the model in memory, on sampled raw texts."""
+    """Scores of the stored model against those of the model in memory, on sampled raw texts and the edge cases."""
     model, _ = _fixed(spark, sf)
     sample = rank.first_rows(corpus(spark, sf), ["grp"], ["doc_id"], 2).select("doc_id", "grp", "raw")
-    return report.parity(spark, sample, model, LEXICONS, ["doc_id", "grp"]).select("doc_id", "grp", (F.col("diff") < 1e-4).alias("agrees"))
+    edges = spark.createDataFrame([(-1 - i, "edge", t) for i, t in enumerate(report.EDGE_TEXTS)], "doc_id long, grp string, raw string")
+    return report.parity(spark, sample.unionByName(edges), model, LEXICONS, ["doc_id", "grp"]).select("doc_id", "grp", (F.col("diff") < 1e-4).alias("agrees"))
 
 
 def stats_document(spark: SparkSession, sf: str) -> DataFrame:
     """Every published number as one long table."""
-    docs = materialize(distinct(spark, sf).select("grp", "text", "low"), "distinct")
-    return report.statistics(corpus(spark, sf), docs, LEXICONS, STOP)
+    return report.statistics(corpus(spark, sf), distinct(spark, sf).select("grp", "text", "low"), LEXICONS, STOP)
+
+
+# A subject as mail programs write it, and characters that have a plainer form.
+SUBJECT, COMPATIBLE = "=?utf-8?q?caf=C3=A9,_of_a?= text", "\ufb01ne \u00bd "
 
 
 def _written_files(spark: SparkSession, sf: str) -> list[GroupFile]:
@@ -274,7 +307,7 @@ def _written_files(spark: SparkSession, sf: str) -> list[GroupFile]:
     for org, y, grp, order, _ in GROUPS:
         path, own = new_path(spark, f"{grp}.csv"), docs.where(F.col("grp") == grp)
         if order < 2:
-            layout, rows = "subject_body", own.select(F.lit("subject, of a text").alias("subject"), F.col("raw").alias("body"))
+            layout, rows = "subject_body", own.select(F.lit(SUBJECT).alias("subject"), F.concat(F.lit(COMPATIBLE), "raw").alias("body"))
         elif order == 2:
             layout = "last_comma"
             rows = own.select(F.concat("text", F.lit(","), F.lit(y)).alias("value"))
@@ -320,7 +353,39 @@ def holdout_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cross_origin_report(spark: SparkSession, sf: str) -> DataFrame:
-    return evaluate.cross_origin(_fit_features(spark, sf), [("en", "other"), ("other", "en")])
+    return evaluate.cross_origin(_fit_features(spark, sf), PAIRS)
+
+
+PAIRS = [("en", "other"), ("other", "en")]
+
+
+def _by_position(docs: DataFrame, part: str, trials) -> Model:
+    """Models with coefficients by position, so that SQL can follow what is done with the models of trials."""
+    coef = F.when(F.col("is_term"), ((F.col("slot") - len(SIGNALS)) % 7 - 3) * 0.5).otherwise((F.col("slot") - 2) * 0.2)
+    return fixed_trials(docs, part, trials, coef=coef, intercept=FIXED_INTERCEPT)
+
+
+def cv_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    """The cross-validation report with coefficients by position: folds, their vocabularies, scalers, scores and accuracies."""
+    return evaluate.cross_validate(_fit_features(spark, sf), fitter=_by_position)
+
+
+def holdout_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.hold_out(_fit_features(spark, sf), fitter=_by_position)[2]
+
+
+def cross_origin_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.cross_origin(_fit_features(spark, sf), PAIRS, fitter=_by_position)
+
+
+def fit_certificate(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the fitted coefficients of the hold-out trial solve its problem, by the gradient at them."""
+    docs = evaluate.split_features(_fit_features(spark, sf))
+    model = fit_trials(docs, "split", evaluate.HOLDOUT, tol=1e-9)
+    found = evaluate.certificate(docs, "split", evaluate.HOLDOUT, model)
+    return found.select(
+        "model", "n_train", "n_terms", (F.col("gradient") < 0.02).alias("terms_solved"), (F.col("intercept_gradient") < 0.02).alias("intercept_solved")
+    )
 
 
 QUERIES = {
@@ -330,7 +395,8 @@ QUERIES = {
         token_counts, vocabulary, conversation_vocabulary, idf_weights, tfidf_l2, signals, signal_scaler, url_stats,
         lexicon_rates, lexicon_hits, role_profile, top_words, rollup_counts, class_reference, comparison, strat_folds,
         strat_split, first_rows, fold_vocabulary, score_fixed, explain_fixed, report_fixed, model_terms_fixed,
-        model_roundtrip, stream_score, parity_check, stats_document, file_corpus, file_audit, fit_terms, cv_report,
+        model_roundtrip, stream_score, stream_first_texts, stream_distinct_texts, parity_check, stats_document, file_corpus, file_audit, cv_fixed, holdout_fixed,
+        cross_origin_fixed, fit_certificate, fit_terms, cv_report,
         holdout_report, cross_origin_report,
     )
 }

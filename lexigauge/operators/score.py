@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexigauge.config import SIGNAL_LABELS, THRESHOLD
 from lexigauge.functions.exprs import round_half_even, sigmoid
-from lexigauge.operators.weights import INTERCEPT, ROW, norm_of, weighted_entries
+from lexigauge.operators import inrow
+from lexigauge.operators.inrow import INTERCEPT, lookup_of
+from lexigauge.operators.weights import ROW, norm_of, weighted_entries
 
 
 def score(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
@@ -25,17 +27,29 @@ def score(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int) -
             F.sum(F.when(~is_term, part)).alias("_rest"),
         )
         .withColumn("z", F.col("_terms") / F.col("_norm") + F.col("_rest"))
-        .withColumn("p", sigmoid(F.col("z")))
-        .withColumn("pred", (F.col("p") >= THRESHOLD).cast("int"))
         .drop(ROW, "_norm", "_terms", "_rest")
+        .transform(_judged)
     )
 
 
+def _judged(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("p", sigmoid(F.col("z"))).withColumn("pred", (F.col("p") >= THRESHOLD).cast("int"))
+
+
 def explain(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
     """(model, keys..., known_terms, z, p, pred, contributions): contributions by falling size, ties by name.
 
-    The list has at most one entry per feature of the model, so it fits a row.
+    The list has at most one entry per feature of the model, so it fits a row. It is made in the document's row.
     """
+    lookup = lookup_of(weights)
+    if lookup is None:
+        return joined_explain(docs, weights, keys, rows)
+    found = _judged(inrow.contributions(docs, lookup, keys))
+    return found.select("model", *keys, "known_terms", "z", "p", "pred", "contributions")
+
+
+def joined_explain(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """The same for a weight table of any size, by a join of features."""
     is_term, value = F.col("is_term"), F.col("value")
     entry = F.struct(F.col("key").alias("term"), is_term.alias("is_term"), (value * F.col("coef")).alias("value"))
     per_doc = (
@@ -57,8 +71,7 @@ def explain(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int)
     return (
         per_doc.withColumn("_all", scaled)
         .withColumn("z", F.aggregate("_all", F.lit(0.0), lambda a, e: a + e["value"]))
-        .withColumn("p", sigmoid(F.col("z")))
-        .withColumn("pred", (F.col("p") >= THRESHOLD).cast("int"))
+        .transform(_judged)
         .withColumn("contributions", _by_size(F.filter("_all", lambda e: e["term"] != INTERCEPT)))
         .drop(ROW, "_norm", "_entries", "_all")
     )

@@ -7,20 +7,18 @@ Signals have keys like '[log_words]' (no term contains a bracket) and the first
 
 from collections.abc import Sequence
 
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from lexigauge.config import SIGNALS
 from lexigauge.functions.exprs import small, unpack
+from lexigauge.operators import inrow
+from lexigauge.operators.inrow import INTERCEPT, VECTOR, lookup_of, signal_key
 
-INTERCEPT = "[intercept]"
 ROW = "_row"
 
 
-def signal_key(name: str) -> str:
-    return f"[{name}]"
-
-
 def sublinear(count: Column) -> Column:
     return 1 + F.log(count)
 
@@ -118,7 +116,13 @@ def norm_of(entries_is_term: Column, value: Column) -> Column:
 
 
 def tfidf(docs: DataFrame, vocabulary: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
-    """(key, term, weight): L2-normalised sublinear TF-IDF over vocabulary terms."""
+    """(key, term, weight): L2-normalised sublinear TF-IDF over vocabulary terms. `rows` bounds a vocabulary too large to look up."""
+    found = inrow.term_weights(docs, vocabulary, key)
+    return joined_tfidf(docs, vocabulary, rows, key) if found is None else found
+
+
+def joined_tfidf(docs: DataFrame, vocabulary: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
+    """The same for a vocabulary of any size, by a join of terms."""
     known = (
         docs.withColumn(ROW, F.monotonically_increasing_id())
         .select(ROW, key, unpack(F.col("counted")))
@@ -132,20 +136,20 @@ def tfidf(docs: DataFrame, vocabulary: DataFrame, rows: int, key: str = "doc_id"
     return per_doc.select(key, "norm", F.inline("entries")).select(key, "term", (F.col("w") / F.col("norm")).alias("weight"))
 
 
-def _vector_udf(size: int):
-    # MLlib has no column function for sparse vectors; this is the only row-wise Python in a fit.
-    @F.udf(VectorUDT())
-    def sparse(slots, values):
-        return Vectors.sparse(size, slots, values)
-
-    return sparse
+def with_vectors(schema: StructType, name: str = "features") -> StructType:
+    """The schema to read a written table with, so that `name`, stored as a struct, is a vector of MLlib."""
+    return StructType([StructField(f.name, VectorUDT(), f.nullable) if f.name == name else f for f in schema])
 
 
 def feature_vectors(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int, max_features: int) -> DataFrame:
     """(model, keys..., features): one sparse vector per document and model, normalised terms and standardised signals.
 
-    `keys` are carried along; they need not identify a row.
+    `features` is a struct as MLlib stores vectors: write the table and read it with the schema `with_vectors` makes. `keys` are
+    carried along; they need not identify a row.
     """
+    lookup = lookup_of(weights)
+    if lookup is not None:
+        return inrow.vectors(docs, lookup, keys, max_features + len(SIGNALS))
     entries = weighted_entries(docs, weights, keys, rows).where(F.col("slot").isNotNull())
     per_doc = entries.groupBy("model", ROW, *keys).agg(
         norm_of(F.col("is_term"), F.col("value")).alias("norm"),
@@ -154,5 +158,6 @@ def feature_vectors(docs: DataFrame, weights: DataFrame, keys: Sequence[str], ro
     values = F.transform(
         "entries", lambda e: F.when(e["is_term"], e["value"] / F.col("norm")).otherwise(e["value"])
     )
-    vector = _vector_udf(max_features + len(SIGNALS))
-    return per_doc.select("model", *keys, vector(F.col("entries.slot"), values).alias("features"))
+    size = F.lit(max_features + len(SIGNALS))
+    vector = F.struct(F.lit(0).cast("byte").alias("type"), size.alias("size"), F.col("entries.slot").alias("indices"), values.alias("values"))
+    return per_doc.select("model", *keys, vector.cast(VECTOR).alias("features"))

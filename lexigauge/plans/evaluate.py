@@ -1,12 +1,13 @@
 """Quality reports: cross-validation, hold-out, and transfer between origins."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from lexigauge.config import FOLDS, SEED, SIGNALS, TEST_SHARE
+from lexigauge.config import FOLDS, INVERSE_REGULARISATION, SEED, SIGNALS, TEST_SHARE
 from lexigauge.functions.exprs import percent
 from lexigauge.operators.rank import stratified_folds, stratified_split
+from lexigauge.operators import inrow
 from lexigauge.operators.score import score
 from lexigauge.plans.fit import Model, Trial, assign_trials, fit_trials
 from lexigauge.sources.scratch import materialize
@@ -90,25 +91,66 @@ def slim(features: DataFrame, *extra: str) -> DataFrame:
     return features.select("doc_id", "grp", "y", *extra, *SIGNALS, "counted")
 
 
-def cross_validate(features: DataFrame, folds: int = FOLDS, seed: int = SEED, **fit) -> DataFrame:
-    """Fold accuracies of models fitted on the other folds; see `fold_summary`."""
-    docs = materialize(slim(stratified_folds(features, "grp", folds, seed), "fold"), "folds")
+def with_part(features: DataFrame, part: str, assign: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The slim features with the column `part` that `assign` adds to a table with `grp` and `text_hash`.
+
+    The features are made and written once; ranking reads and shuffles two short columns of that. A text occurs once.
+    """
+    slimmed = materialize(slim(features, "text_hash"), "features")
+    parts = assign(slimmed.select("grp", "text_hash")).select("text_hash", part)
+    return materialize(slimmed.join(parts, "text_hash").drop("text_hash"), part)
+
+
+def cross_validate(
+    features: DataFrame, folds: int = FOLDS, seed: int = SEED, fitter: Callable[..., Model] = fit_trials, **fit
+) -> DataFrame:
+    """Fold accuracies of models fitted on the other folds; see `fold_summary`. `fitter` makes the models, see `fixed_trials`."""
+    docs = with_part(features, "fold", lambda df: stratified_folds(df, "grp", folds, seed))
     trials = fold_trials(folds)
-    model = fit_trials(docs, "fold", trials, **fit)
+    model = fitter(docs, "fold", trials, **fit)
     return fold_summary(outcome_counts(predictions(docs, "fold", trials, model)))
 
 
-def hold_out(features: DataFrame, share: float = TEST_SHARE, seed: int = SEED, **fit) -> tuple[Model, DataFrame, DataFrame]:
+def split_features(features: DataFrame, share: float = TEST_SHARE, seed: int = SEED) -> DataFrame:
+    """The slim features with `split`, written."""
+    return with_part(features, "split", lambda df: stratified_split(df, "grp", share, seed))
+
+
+def hold_out(
+    features: DataFrame, share: float = TEST_SHARE, seed: int = SEED, fitter: Callable[..., Model] = fit_trials, **fit
+) -> tuple[Model, DataFrame, DataFrame]:
     """The exported model, its test predictions and their summary."""
-    docs = materialize(slim(stratified_split(features, "grp", share, seed), "split"), "split")
-    model = fit_trials(docs, "split", HOLDOUT, **fit)
+    docs = split_features(features, share, seed)
+    model = fitter(docs, "split", HOLDOUT, **fit)
     predicted = materialize(predictions(docs, "split", HOLDOUT, model), "predicted")
     return model, predicted, holdout_summary(outcome_counts(predicted))
 
 
-def cross_origin(features: DataFrame, pairs: Sequence[tuple[str, str]], **fit) -> DataFrame:
+def certificate(docs: DataFrame, part: str, trials: Sequence[Trial], model: Model, C: float = INVERSE_REGULARISATION) -> DataFrame:
+    """(model, n_train, n_terms, loss, gradient, intercept_gradient): how far every trial's coefficients can be from the optimum.
+
+    The objective |w|^2 / 2 + C * sum(log loss) curves by at least 1 in every coefficient, so with the intercept at its best they
+    are off by `gradient`, the length of the gradient at the coefficients, at most. It is computed from the training documents and
+    the weight table, not from what the optimiser reported: one scan, then one row per coefficient.
+    """
+    lookup = inrow.lookup_of(model.weights, max(model.rows, 1))
+    slopes = inrow.slopes(assign_trials(docs, part, trials, "train"), lookup, "y")
+    summed = slopes.groupBy("model", "key").agg(F.sum("slope").alias("slope"), F.sum("n").alias("n"), F.sum("loss").alias("loss"))
+    table = model.weights.select("model", "key", "is_term", "coef").join(summed, ["model", "key"], "left").na.fill(0.0, ["slope"])
+    constant = F.col("key") == inrow.INTERCEPT
+    own = F.when(~constant, F.col("coef") - C * F.col("slope"))
+    return table.groupBy("model").agg(
+        F.max(F.when(constant, F.col("n"))).alias("n_train"), F.count_if("is_term").alias("n_terms"),
+        (F.sum(F.when(~constant, F.col("coef") * F.col("coef"))) / 2 + C * F.max(F.when(constant, F.col("loss")))).alias("loss"),
+        F.sqrt(F.sum(own * own)).alias("gradient"), F.abs(C * F.max(F.when(constant, F.col("slope")))).alias("intercept_gradient"),
+    )
+
+
+def cross_origin(
+    features: DataFrame, pairs: Sequence[tuple[str, str]], fitter: Callable[..., Model] = fit_trials, **fit
+) -> DataFrame:
     """Fit on one origin, test on another, for the pairs given; see `transfer_summary`."""
     docs = materialize(slim(features, "origin"), "origins")
     trials = origin_trials(pairs)
-    model = fit_trials(docs, "origin", trials, **fit)
+    model = fitter(docs, "origin", trials, **fit)
     return transfer_summary(outcome_counts(predictions(docs, "origin", trials, model)), trials)

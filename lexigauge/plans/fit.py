@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.util import inheritable_thread_target
 
 from lexigauge.config import (
@@ -15,7 +15,7 @@ from lexigauge.config import (
 from lexigauge.operators.rank import top_per_group
 from lexigauge.operators.vocab import part_statistics, smoothed_idf
 from lexigauge.operators.weights import (
-    feature_vectors, intercept_rows, scaler, signal_weight_rows, term_weight_rows,
+    feature_vectors, intercept_rows, scaler, signal_weight_rows, term_weight_rows, with_vectors,
 )
 from lexigauge.sources.scratch import materialize
 
@@ -101,13 +101,10 @@ def assign_trials(docs: DataFrame, part: str, trials: Sequence[Trial], role: str
     return docs.where(F.col(part).isin(list(wanted))).withColumn("models", F.coalesce(*cases))
 
 
-def fit_trials(
-    docs: DataFrame, part: str, trials: Sequence[Trial], max_features: int = MAX_FEATURES,
-    C: float = INVERSE_REGULARISATION, max_iter: int = MAX_ITER, tol: float = TOLERANCE, min_df: int = MIN_DOC_FREQ,
-    key: str = "doc_id",
-) -> Model:
-    """Fit all trials. `docs` has `key`, `y`, `part`, the signals and `counted`, and is read several times:
-    hand over a materialized table."""
+def trial_weights(
+    docs: DataFrame, part: str, trials: Sequence[Trial], max_features: int = MAX_FEATURES, min_df: int = MIN_DOC_FREQ
+) -> tuple[Model, dict[int, int]]:
+    """The weight table of all trials without coefficients, and the number of training documents of each."""
     spark = docs.sparkSession
     scales = trial_scalers(docs, part, trials)
     sizes = {m: s["n"] for m, s in scales.items()}
@@ -119,11 +116,35 @@ def fit_trials(
     weights = materialize(
         term_weight_rows(vocabulary).unionByName(signal_weight_rows(scale_rows)), "weights"
     )
-    rows = len(trials) * (max_features + len(SIGNALS) + 1)
+    return Model(weights, len(trials) * (max_features + len(SIGNALS) + 1)), sizes
+
+
+def fixed_trials(
+    docs: DataFrame, part: str, trials: Sequence[Trial], max_features: int = MAX_FEATURES, min_df: int = MIN_DOC_FREQ,
+    coef: Column | None = None, intercept: float = 0.0,
+) -> Model:
+    """All trials with given coefficients in place of fitted ones: `coef`, of the columns of a weight table (0, if None).
+
+    Everything but the optimiser is as in `fit_trials`, so that what is done with models can be checked without one.
+    """
+    bare, sizes = trial_weights(docs, part, trials, max_features, min_df)
+    constants = docs.sparkSession.createDataFrame([(m, float(intercept)) for m in sizes], "model int, intercept double")
+    weights = bare.weights.withColumn("coef", F.lit(0.0) if coef is None else coef.cast("double"))
+    return Model(materialize(weights.unionByName(intercept_rows(constants)), "model"), bare.rows)
+
+
+def fit_trials(
+    docs: DataFrame, part: str, trials: Sequence[Trial], max_features: int = MAX_FEATURES,
+    C: float = INVERSE_REGULARISATION, max_iter: int = MAX_ITER, tol: float = TOLERANCE, min_df: int = MIN_DOC_FREQ,
+) -> Model:
+    """Fit all trials. `docs` has `doc_id`, `y`, `part`, the signals and `counted`, and is read several times:
+    hand over a materialized table."""
+    spark = docs.sparkSession
+    bare, sizes = trial_weights(docs, part, trials, max_features, min_df)
+    weights, rows = bare.weights, bare.rows
     training = assign_trials(docs, part, trials, "train")
-    matrix = materialize(
-        feature_vectors(training, weights, [key, "y"], rows, max_features).drop(key), "matrix", ["model"]
-    )
+    stored = feature_vectors(training, weights, ["y"], rows, max_features)
+    matrix = materialize(stored, "matrix", ["model"], with_vectors(stored.schema))
 
     def fit(trial: Trial):
         # The objective of sum(log loss) * C + |w|^2 / 2, with a free intercept, in MLlib's scale.

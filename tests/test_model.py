@@ -9,6 +9,7 @@ import pytest
 from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
+from lexigauge import config
 from lexigauge.config import SIGNALS
 from lexigauge.functions.signals import with_clean_text
 from lexigauge.operators import score, weights
@@ -59,7 +60,8 @@ def model(ready):
 
 def matrix(ready, model, n=60):
     docs = assign_trials(ready, "part", FITTED, "train")
-    rows = weights.feature_vectors(docs, model.weights.drop("coef"), ["doc_id", "y"], model.rows, n).collect()
+    stored = weights.feature_vectors(docs, model.weights.drop("coef"), ["doc_id", "y"], model.rows, n)
+    rows = materialize(stored, "vectors", schema=weights.with_vectors(stored.schema)).collect()
     assert all(isinstance(r["features"], SparseVector) for r in rows)
     return [r["doc_id"] for r in rows], np.array([r["features"].toArray() for r in rows]), np.array([r["y"] for r in rows])
 
@@ -151,6 +153,55 @@ def test_scoring_needs_no_shuffle_of_terms_and_no_python(ready, model):
     assert "EvalPython" not in plan and plan.count("Exchange hashpartitioning") == 1
 
 
+def test_looked_up_and_joined_features_agree(ready, model, monkeypatch):
+    """Explanations, vectors and term weights from the lookup in the row and from the join that larger tables take."""
+    fixed = type(model)(materialize(model.weights, "fixed"), model.rows)
+    vocabulary = fixed.weights.where("is_term").select(F.col("key").alias("term"), "idf")
+    docs = assign_trials(ready, "part", FITTED, "train")
+
+    def made():
+        explained = score.explain(ready, fixed.weights, ["doc_id", "words"], fixed.rows)
+        vectors = weights.feature_vectors(docs, fixed.weights.drop("coef"), ["doc_id", "y"], fixed.rows, 60)
+        return explained, vectors, weights.tfidf(ready, vocabulary, fixed.rows)
+
+    looked = made()
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in looked]
+    assert not any(word in plan for plan in plans for word in ("explode", "inline", "collect_list", "PythonUDF", "Join"))
+    monkeypatch.setattr("lexigauge.config.BROADCAST_ROWS", 10)
+    joined = made()
+    assert "Join" in joined[0]._jdf.queryExecution().optimizedPlan().toString()
+    one, other = ({r["doc_id"]: r for r in df.collect()} for df in (looked[0], joined[0]))
+    assert looked[0].columns == joined[0].columns and one.keys() == other.keys()
+    for key, r in one.items():
+        q = other[key]
+        assert (r["words"], r["known_terms"], r["pred"]) == (q["words"], q["known_terms"], q["pred"]) and r["z"] == pytest.approx(q["z"], abs=1e-9)
+        assert [c["value"] for c in r["contributions"]] == pytest.approx([c["value"] for c in q["contributions"]], abs=1e-9)
+        assert {c["term"]: round(c["value"], 9) for c in r["contributions"]} == {c["term"]: round(c["value"], 9) for c in q["contributions"]}
+        assert [(-abs(c["value"]), c["term"]) for c in r["contributions"]] == sorted((-abs(c["value"]), c["term"]) for c in r["contributions"])
+    for a, b in zip(*[sorted(df.collect(), key=lambda r: r["doc_id"]) for df in (looked[1], joined[1])], strict=True):
+        assert (a["doc_id"], a["y"], a["features"]["size"], a["features"]["type"], a["features"]["indices"]) == (
+            b["doc_id"], b["y"], b["features"]["size"], b["features"]["type"], b["features"]["indices"])
+        assert a["features"]["values"] == pytest.approx(b["features"]["values"], abs=1e-9)
+    one, other = ({(r["doc_id"], r["term"]): r["weight"] for r in df.collect()} for df in (looked[2], joined[2]))
+    assert one.keys() == other.keys() and all(w == pytest.approx(other[k], abs=1e-12) for k, w in one.items())
+
+
+def test_lookup_of_odd_rows(spark, model):
+    """Documents without terms, without known terms, of no model, with a repeated key; an empty table; a model without terms."""
+    schema = "doc_id long, models array<int>, counted array<struct<term string, cnt double>>, " + ", ".join(f"{s} double" for s in config.SIGNALS)
+    zeros = (0.0,) * len(config.SIGNALS)
+    fixed = materialize(model.weights, "fixed")
+    term = fixed.where("is_term").first()["key"]
+    rows = [(1, [0], [], *zeros), (1, [0], [("no such term", 2.0)], *zeros), (2, [], [(term, 1.0)], *zeros), (None, [0, 7], [(term, 3.0)], *zeros)]
+    docs = spark.createDataFrame(rows, schema)
+    got = score.explain(docs, fixed, ["doc_id"], 100).collect()
+    assert sorted((r["doc_id"] or 0, r["known_terms"], len(r["contributions"])) for r in got) == [(0, 1, 7), (1, 0, 6), (1, 0, 6)]
+    assert score.explain(docs.filter("false"), fixed, ["doc_id"], 100).count() == 0
+    bare = score.explain(docs.drop("models"), fixed.where("NOT is_term"), ["doc_id"], 100).collect()
+    assert len(bare) == 4 and {r["known_terms"] for r in bare} == {0}
+    assert weights.tfidf(docs, spark.createDataFrame([], "term string, idf double"), 10).count() == 0
+
+
 def test_large_weight_tables_are_not_broadcast(ready, model):
     from lexigauge.functions.exprs import small
 
