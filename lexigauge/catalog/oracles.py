@@ -141,6 +141,8 @@ shuffled AS (
 )"""
 
 # The model with coefficients by position, applied to every document.
+_EVERY = f"SELECT doc_id, {_clean('text')} AS text FROM documents"
+_EVERY_AND_BLANK = f"{_EVERY} UNION ALL SELECT -1, ''"
 _ENTRY_SIGNALS = ", ".join(f"('{n}', {i})" for i, n in enumerate(SIGNALS))
 _FIXED = f"""
 WITH {_LABELLED}, {_signals('docs', 'doc_id')}, {_terms('docs', 'doc_id')}, {_vocabulary(MAX_FEATURES)},
@@ -152,7 +154,7 @@ scale AS (
         for i, n in enumerate(SIGNALS)
     )}
 ),
-every AS (SELECT *, {_low('text')} AS low FROM (SELECT doc_id, {_clean('text')} AS text FROM documents)),
+every AS (SELECT *, {_low('text')} AS low FROM ({_EVERY})),
 {_signals('every', 'doc_id').replace('counted AS', 'every_counted AS').replace('signals AS', 'every_signals AS').replace('FROM counted', 'FROM every_counted')},
 {_terms('every', 'doc_id', 'every_terms')},
 weighted AS (
@@ -346,7 +348,7 @@ ORACLES = {
         SELECT doc_id, rank, term, round(value, 6) AS value,
             round(abs(value) / greatest(max(abs(value)) OVER (PARTITION BY doc_id), 1e-9), 6) AS rel_weight
         FROM ranked WHERE rank <= 8""",
-    "report_fixed": f"""{_FIXED}, {_RANKED},
+    "report_fixed": f"""{_FIXED.replace(_EVERY, _EVERY_AND_BLANK)}, {_RANKED},
         labels_shown(term, label) AS (VALUES {', '.join(f"('[{k}]', '{v}')" for k, v in SIGNAL_LABELS.items())}),
         driven AS (
             SELECT doc_id, string_agg(coalesce(label, '“' || term || '”') || CASE WHEN value > 0 THEN ' positive' ELSE ' negative' END, '; ' ORDER BY rank) AS drivers
@@ -428,3 +430,4 @@ ORACLES = {
             count(DISTINCT text) AS after_cleaning
         FROM written GROUP BY grp""",
 }
+ORACLES["stats_saved"] = ORACLES["stats_document"]

@@ -190,10 +190,11 @@ def fold_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     return trial_vocabularies(slim, "fold", trials, sizes).select("model", "term", "idx", "tf", "df", rounded("idf"))
 
 
-def _fixed(spark: SparkSession, sf: str):
-    """The fixed-coefficient model and the features of every document, labelled or not."""
+def _fixed(spark: SparkSession, sf: str, *blank: tuple):
+    """The fixed-coefficient model and the features of every document, labelled or not, and of the rows `blank`."""
     learned = materialize(features(distinct(spark, sf)).select("counted", *SIGNALS), "learned")
-    docs = with_clean_text(documents(spark, sf))
+    every = documents(spark, sf)
+    docs = with_clean_text(every.unionByName(spark.createDataFrame(list(blank), every.schema)) if blank else every)
     model = fixed_model(learned)
     return Model(materialize(model.weights, "weights"), model.rows), features(docs)
 
@@ -214,7 +215,8 @@ REPORT_KEYS = ("doc_id", "words", "chars", "urls", "urgency_hits", "cta_hits", "
 
 
 def report_fixed(spark: SparkSession, sf: str) -> DataFrame:
-    model, docs = _fixed(spark, sf)
+    """The report of every document, and of a blank one, which has a score but no verdict."""
+    model, docs = _fixed(spark, sf, (-1, " \t\u00a0"))
     typical = report.signal_reference(class_reference(spark, sf))
     full = score.document_report(score.explain(docs, model.weights, REPORT_KEYS, model.rows), typical)
     three = lambda x: F.replace(F.format_number(x, 3), F.lit(","), F.lit(""))
@@ -300,6 +302,13 @@ def stats_document(spark: SparkSession, sf: str) -> DataFrame:
 SUBJECT, COMPATIBLE = "=?utf-8?q?caf=C3=A9,_of_a?= text", "\ufb01ne \u00bd "
 
 
+def stats_saved(spark: SparkSession, sf: str) -> DataFrame:
+    """The published numbers as they come back from the JSON that is published."""
+    stats, path = stats_document(spark, sf), new_path(spark, "stats")
+    sinks.save_stats(stats, path)
+    return spark.read.schema(stats.schema).json(path)
+
+
 def _written_files(spark: SparkSession, sf: str) -> list[GroupFile]:
     """The corpus as CSV files in the three layouts the sources read."""
     docs = materialize(with_clean_text(corpus(spark, sf)).select("grp", "raw", "text"), "corpus")
@@ -395,7 +404,7 @@ QUERIES = {
         token_counts, vocabulary, conversation_vocabulary, idf_weights, tfidf_l2, signals, signal_scaler, url_stats,
         lexicon_rates, lexicon_hits, role_profile, top_words, rollup_counts, class_reference, comparison, strat_folds,
         strat_split, first_rows, fold_vocabulary, score_fixed, explain_fixed, report_fixed, model_terms_fixed,
-        model_roundtrip, stream_score, stream_first_texts, stream_distinct_texts, parity_check, stats_document, file_corpus, file_audit, cv_fixed, holdout_fixed,
+        model_roundtrip, stream_score, stream_first_texts, stream_distinct_texts, parity_check, stats_document, stats_saved, file_corpus, file_audit, cv_fixed, holdout_fixed,
         cross_origin_fixed, fit_certificate, fit_terms, cv_report,
         holdout_report, cross_origin_report,
     )

@@ -15,7 +15,7 @@ from lexigauge.functions.signals import with_clean_text
 from lexigauge.operators import score, weights
 from lexigauge.plans import evaluate, report
 from lexigauge.plans.corpus import distinct_documents, features
-from lexigauge.plans.fit import Trial, assign_trials, fit_trials, trial_vocabularies
+from lexigauge.plans.fit import Trial, assign_trials, fit_trials, fixed_trials, trial_vocabularies
 from lexigauge.sources import sinks
 from lexigauge.sources.scratch import materialize, new_path
 from lexigauge.operators.vocab import with_term_counts
@@ -153,6 +153,44 @@ def test_scoring_needs_no_shuffle_of_terms_and_no_python(ready, model):
     assert "EvalPython" not in plan and plan.count("Exchange hashpartitioning") == 1
 
 
+def test_certificate_bounds_the_distance_to_the_optimum(ready, model):
+    """The gradient equals the one of the matrix, vanishes at the fit, and grows as coefficients are moved."""
+    _, X, y = matrix(ready, model)
+    for moved in (0.0, 0.25):
+        weights_now = model.weights.withColumn("coef", F.when(F.col("slot") % 3 == 0, F.col("coef") + moved).otherwise(F.col("coef")))
+        found = evaluate.certificate(ready, "part", FITTED, type(model)(materialize(weights_now, "moved"), model.rows)).first()
+        coef = {r["slot"]: r["coef"] for r in weights_now.collect()}
+        w = np.array([coef.get(slot, 0.0) for slot in range(X.shape[1])])
+        z = X @ w + coef[None]
+        above = y - 1 / (1 + np.exp(-z))
+        gradient = w - 4.0 * X.T @ above
+        assert found["gradient"] == pytest.approx(np.linalg.norm(gradient), abs=1e-6)
+        assert found["intercept_gradient"] == pytest.approx(abs(4.0 * above.sum()), abs=1e-6)
+        assert found["loss"] == pytest.approx(w @ w / 2 + 4.0 * np.sum(np.logaddexp(0, z) - y * z), rel=1e-9)
+        assert (found["n_train"], found["n_terms"]) == (len(X), len(coef) - 1 - len(SIGNALS))
+        assert (found["gradient"] < 2e-3) == (moved == 0.0)
+
+
+def test_trials_with_given_coefficients(ready):
+    """Reports of constant models: with every coefficient 0 the intercept alone decides."""
+    for intercept, share in ((1.0, lambda y: y), (-1.0, lambda y: 1 - y)):
+        fixed = lambda docs, part, trials, **fit: fixed_trials(docs, part, trials, intercept=intercept, **fit)  # noqa: B023, E731
+        rows = ready.select("grp", "y").collect()
+        right = 100 * sum(share(r["y"]) for r in rows) / len(rows)
+        cv = {(r["scope"], r["grp"]): r for r in evaluate.cross_validate(ready, folds=4, max_features=50, fitter=fixed).collect()}
+        assert cv["overall", None]["mean_pct"] == pytest.approx(right, abs=0.6)
+        assert all(r["mean_pct"] == 100 * share(int(g[-1])) and r["sd_pct"] == 0 for (scope, g), r in cv.items() if scope == "group")
+        transfer = evaluate.cross_origin(ready, [("one", "two")], max_features=50, fitter=fixed).first()
+        assert (transfer["balanced_accuracy_pct"], transfer["predicted_positive_pct"]) == (50.0, 100.0 if intercept > 0 else 0.0)
+
+
+def test_parts_are_added_to_features_made_once(ready):
+    split = evaluate.split_features(ready)
+    assert sorted(split.columns) == sorted([*evaluate.slim(ready).columns, "split"]) and split.count() == ready.count()
+    again = evaluate.split_features(ready.repartition(3))
+    assert sorted(map(tuple, split.select("doc_id", "split").collect())) == sorted(map(tuple, again.select("doc_id", "split").collect()))
+
+
 def test_looked_up_and_joined_features_agree(ready, model, monkeypatch):
     """Explanations, vectors and term weights from the lookup in the row and from the join that larger tables take."""
     fixed = type(model)(materialize(model.weights, "fixed"), model.rows)
