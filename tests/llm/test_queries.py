@@ -20,6 +20,9 @@ COLUMNS = {
     "op8_toxicity": "doc_id:bigint held_out:boolean score:double predicted:int",
     "op9_sharding": "doc_id:bigint size:bigint text_crc32:bigint law:string shard:int slot:bigint grown_shard:int",
     "op10_quality_rules": "doc_id:bigint n_words:bigint word_chars:bigint n_symbols:bigint n_dup_lines:bigint n_repeat_words:bigint base_failed:boolean kept:boolean",
+    "op11_lexical_search": "item_id:bigint rank:int doc_id:bigint score:bigint",
+    "op12_alignment": "doc_id:bigint n_a:bigint n_b:bigint n_groups:bigint n_links:bigint n_best:bigint count_sum:bigint groups_sha256:string",
+    "op13_language_id": "doc_id:bigint held_out:boolean lang_pred:string score:double accepted:boolean",
 }
 
 
@@ -27,7 +30,7 @@ COLUMNS = {
 def test_columns_and_rows(spark, name):
     frame = QUERIES[name](spark, SF)
     assert " ".join(f"{n}:{t}" for n, t in frame.dtypes) == COLUMNS[name]
-    if name not in ("op2_chat", "op3_nearest"):
+    if name not in ("op2_chat", "op3_nearest", "op11_lexical_search"):
         assert frame.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
 
 
@@ -35,7 +38,7 @@ def test_columns_and_rows(spark, name):
 def test_query_equals_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for table in ("conversations", "embeddings"):
+    for table in ("conversations", "embeddings", "documents", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.execute(ORACLES[name]).df()
     got = QUERIES[name](spark, SF).toPandas()
