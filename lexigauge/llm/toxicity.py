@@ -29,10 +29,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lexigauge.llm.batches import PIECE_BYTES, plain, text_pieces, texts_of
+from lexigauge.llm.batches import PIECE_BYTES, give_back, plain, text_pieces, texts_of
 from lexigauge.sources.scratch import materialize
 
 #: Bytes per string of the upper and the lower order; bits of the filter of keys.
@@ -111,10 +111,51 @@ def _slots(strings: np.ndarray) -> dict[str, np.ndarray]:
     return {"upper": strings, "upper_left": strings >> 8, "lower": lower, "lower_left": lower >> 8, "shared": strings & 0xFFFF}
 
 
-def _bucket(strings: np.ndarray, n: int) -> np.ndarray:
-    """Fibonacci hashing of the three middle bytes, which all counts behind a string have in common."""
-    middle = (strings.astype(np.uint64) >> np.uint64(8)) & np.uint64(0xFFFFFF)
-    return ((middle * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) % n
+@dataclass(frozen=True)
+class Buckets:
+    """Where strings are scored. All counts behind a string have its three middle bytes in common, which are hashed to `n` buckets.
+
+    Middle bytes that many strings share (`hot`, sorted) have buckets of their own, `parts` of them from `first` on. Each holds all
+    their counts, 2 ** 24 at most, and answers a share of the chunks, so that what one task answers does not grow with the corpus.
+    """
+
+    n: int
+    hot: np.ndarray
+    parts: np.ndarray
+
+    @property
+    def first(self) -> np.ndarray:
+        return self.n + np.cumsum(self.parts) - self.parts
+
+    def _places(self, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Middle bytes, their place among the hot ones, and whether they are there."""
+        middle = (strings.astype(np.uint64) >> np.uint64(8)) & np.uint64(0xFFFFFF)
+        if not len(self.hot):
+            return middle, np.zeros(len(strings), np.int64), np.zeros(len(strings), bool)
+        place = np.minimum(np.searchsorted(self.hot, middle.astype(np.int64)), len(self.hot) - 1)
+        return middle, place, self.hot[place] == middle.astype(np.int64)
+
+    def asked(self, strings: np.ndarray, chunk: int) -> np.ndarray:
+        """The bucket that answers each string of a chunk."""
+        middle, place, hot = self._places(strings)
+        plain = ((middle * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) % self.n
+        return np.where(hot, self.first[place] + chunk % self.parts[place], plain) if len(self.hot) else plain
+
+    def holding(self, strings: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places of strings, buckets) that hold the counts of strings: one for most, all parts of the hot ones."""
+        yield np.arange(len(strings)), self.asked(strings, 0)
+        _, place, hot = self._places(strings)
+        for part in range(1, int(self.parts.max(initial=0))):
+            more = np.flatnonzero(hot & (self.parts[place] > part)) if len(self.hot) else np.zeros(0, np.int64)
+            yield more, self.asked(strings[more], part)
+
+
+def buckets_of(counts: DataFrame, n_strings: int, n: int) -> Buckets:
+    """`n` buckets and more for the middle bytes of over half a bucket's strings: at most 2 * n rows come to the driver."""
+    middle = F.shiftright("string", 8).bitwiseAND(0xFFFFFF)
+    rows = counts.groupBy(middle.alias("m")).agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") * 2 * n > n_strings).orderBy("m").collect()
+    parts = [max(1, -(-r["k"] * n // n_strings)) for r in rows]
+    return Buckets(n, np.array([r["m"] for r in rows], np.int64), np.array(parts, np.int64))
 
 
 def _distinct(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,9 +223,11 @@ def count_strings(docs: DataFrame, text: str, toxic: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[bytes]] = [[], []]
         sizes = [0, 0]
+        # With one byte less than a string between texts every string has a byte of one text and none of two.
+        gap = b" " * (UPPER - 1)
 
         def counted(c: int) -> pa.RecordBatch:
-            found = pc.value_counts(pa.array(strings_of(np.frombuffer(b"".join(held[c]), np.uint8)).view(np.int64)))
+            found = pc.value_counts(pa.array(strings_of(np.frombuffer(gap + b"".join(held[c]), np.uint8)).view(np.int64)))
             strings, n = found.field(0), found.field(1).to_numpy()
             held[c], sizes[c] = [], 0
             columns = [n, np.zeros_like(n)] if c == 0 else [np.zeros_like(n), n]
@@ -194,13 +237,15 @@ def count_strings(docs: DataFrame, text: str, toxic: str) -> DataFrame:
             flags = batch.column(batch.schema.get_field_index(toxic)).to_pylist()
             for body, flag in zip(texts_of(batch, text), flags, strict=True):
                 c = int(flag > 0)
-                held[c].append(b" " * UPPER + plain(body))
-                sizes[c] += len(held[c][-1])
+                if body:
+                    held[c].append(plain(body) + gap)
+                    sizes[c] += len(held[c][-1])
                 if sizes[c] >= _CHUNK:
                     yield counted(c)
         for c in (0, 1):
             if held[c]:
                 yield counted(c)
+        give_back()
 
     part = docs.select(text, toxic).mapInArrow(run, "string long, n0 long, n1 long")
     return part.groupBy("string").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
@@ -288,41 +333,58 @@ def ratios(model: Tables | Model, texts: list[bytes], of: Callable[[np.ndarray],
     return out
 
 
-def _by_bucket(strings: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Buckets and the places of their strings."""
-    bucket = _bucket(strings, n)
     order = np.argsort(bucket, kind="stable")
     ends = np.flatnonzero(np.diff(bucket[order], append=-1)) + 1
     for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
         yield int(bucket[order[a]]), order[a:b]
 
 
-def _dealt(counts: DataFrame, n: int) -> DataFrame:
+def _dealt(counts: DataFrame, buckets: Buckets) -> DataFrame:
     """(bucket, strings, counts): the model in runs of strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             strings, n0, n1 = (batch.column(i).to_numpy() for i in range(3))
-            rows = [(b, strings[at].tobytes(), np.concatenate([n0[at], n1[at]]).tobytes()) for b, at in _by_bucket(strings, n)]
+            rows = [
+                (b, strings[places[at]].tobytes(), np.concatenate([n0[places[at]], n1[places[at]]]).tobytes())
+                for places, held in buckets.holding(strings) for b, at in _by_bucket(held)
+            ]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names=["bucket", "strings", "counts"])
 
     return counts.select("string", "n0", "n1").mapInArrow(run, "bucket long, strings binary, counts binary")
 
 
-def _chunked(docs: DataFrame, text: str) -> DataFrame:
-    """(chunk, rows): runs of rows as compressed Arrow streams. Rows are dealt by their place, or copies would share a chunk."""
+def _chunk_keys(spark: SparkSession, n: int) -> np.ndarray:
+    """One number per hash partition of `n`, so that every chunk has a partition for itself. 8 bytes for CHUNK_BYTES of text."""
+    keys, tried = np.full(n, -1), 16 * n + 100
+    while (keys < 0).any():
+        at = F.pmod(F.hash("id"), F.lit(n))
+        rows = spark.range(tried).groupBy(at.alias("at")).agg(F.min("id").alias("key")).toArrow()
+        keys[rows["at"].to_numpy()] = rows["key"].to_numpy()
+        tried *= 4
+    return keys
+
+
+def _chunked(docs: DataFrame, text: str, keys: np.ndarray) -> DataFrame:
+    """(chunk, rows): pieces of rows as compressed Arrow streams, dealt to the chunks in turn.
+
+    Rows are dealt by their place, or copies would share a chunk; chunks become equally large.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size, first = 0, TaskContext.get().partitionId() << 32
+        at = TaskContext.get().partitionId() * 0x9E3779B1
         for batch in batches:
             for part in text_pieces(batch, text, PIECE_BYTES):
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
                     stream.write_batch(part)
                 rows = pa.array([sink.getvalue().to_pybytes()], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([first + size // CHUNK_BYTES]), rows], names=["chunk", "rows"])
-                size += part.nbytes
+                yield pa.RecordBatch.from_arrays([pa.array([keys[at % len(keys)]]), rows], names=["chunk", "rows"])
+                at += 1
+        give_back()
 
     return docs.mapInArrow(run, "chunk long, rows binary")
 
@@ -360,7 +422,7 @@ class _Gathered:
         return self.parts[0]
 
 
-def _asked(chunked: DataFrame, text: str, n: int) -> DataFrame:
+def _asked(chunked: DataFrame, text: str, buckets: Buckets) -> DataFrame:
     """(bucket, chunk, strings): the distinct strings of each chunk, a row per bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -371,9 +433,10 @@ def _asked(chunked: DataFrame, text: str, n: int) -> DataFrame:
                     held.setdefault(chunk, _Gathered()).add(_strings_in(texts_of(part, text)))
         for chunk in list(held):
             strings = held.pop(chunk).strings()
-            rows = [(b, chunk, strings[at].tobytes()) for b, at in _by_bucket(strings, n)]
+            rows = [(b, chunk, strings[at].tobytes()) for b, at in _by_bucket(buckets.asked(strings, chunk))]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names=["bucket", "chunk", "strings"])
+        give_back()
 
     return chunked.mapInArrow(run, "bucket long, chunk long, strings binary")
 
@@ -397,13 +460,16 @@ def _with_ratios(
     cores = docs.sparkSession.sparkContext.defaultParallelism
     n_chunks = max(-(-size // CHUNK_BYTES), cores)
     n_buckets = max(-(-size // BUCKET_BYTES), -(-model.n_strings // BUCKET_STRINGS), cores)
-    chunked = _chunked(docs.select(*dict.fromkeys([*kept, text])), text).repartition(n_chunks, "chunk")
+    buckets = buckets_of(model.counts, model.n_strings, n_buckets)
+    keys = _chunk_keys(docs.sparkSession, n_chunks)
+    chunked = _chunked(docs.select(*dict.fromkeys([*kept, text])), text, keys).repartition(n_chunks, "chunk")
     shared = model.shared
 
     def answer(asked: pa.Table, counts: pa.Table) -> pa.Table:
         n = [np.frombuffer(c, np.int64).reshape(2, -1) for c in counts["counts"].to_pylist()]
         tables = tables_of(_numbers(counts["strings"], np.int64), *np.concatenate([np.zeros((2, 0), np.int64), *n], axis=1), shared)
-        told = [string_ratios(tables, np.frombuffer(s, np.int64)).astype(np.float32).tobytes() for s in asked["strings"].to_pylist()]
+        told = [string_ratios(tables, np.frombuffer(s.as_buffer(), np.int64)).astype(np.float32).tobytes() for s in asked["strings"]]
+        give_back()
         return pa.table({"chunk": asked["chunk"], "bucket": asked["bucket"], "ratios": pa.array(told, pa.binary())})
 
     def scored(chunk: pa.Table, answers: pa.Table) -> pa.Table:
@@ -414,7 +480,8 @@ def _with_ratios(
         strings = gathered.strings()
         told = np.zeros(len(strings), np.float32)
         by_bucket = dict(zip(answers["bucket"].to_pylist(), answers["ratios"].to_pylist(), strict=True))
-        for b, at in _by_bucket(strings, n_buckets):
+        # The chunk is the same in all rows of its group.
+        for b, at in _by_bucket(buckets.asked(strings, chunk["chunk"][0].as_py())):
             told[at] = np.frombuffer(by_bucket[b], np.float32)  # fails if they are not as many as were asked for
 
         def of(flat: np.ndarray) -> np.ndarray:
@@ -427,10 +494,12 @@ def _with_ratios(
                 new = body(ratios(None, texts_of(part, text), of))
                 columns = [*[part.column(part.schema.get_field_index(c)) for c in kept], *map(pa.array, new)]
                 made.append(pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(columns, arrow, strict=True)], schema=arrow))
+        del strings, told, by_bucket
+        give_back()
         return pa.Table.from_batches(made, arrow)
 
-    asked = _asked(chunked, text, n_buckets).groupBy("bucket")
-    answers = asked.cogroup(_dealt(model.counts, n_buckets).groupBy("bucket")).applyInArrow(answer, "chunk long, bucket long, ratios binary")
+    asked = _asked(chunked, text, buckets).groupBy("bucket")
+    answers = asked.cogroup(_dealt(model.counts, buckets).groupBy("bucket")).applyInArrow(answer, "chunk long, bucket long, ratios binary")
     return chunked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(scored, schema)
 
 

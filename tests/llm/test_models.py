@@ -152,8 +152,37 @@ def test_every_labelled_document_is_counted(spark):
     docs, labels = toxic_corpus(spark, 120)
     model = toxicity.fit(docs, labels, curve_rows=5)
     known = labels.filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    texts = [b" " * 6 + plain(r["text"].encode()) for r in docs.join(known, "doc_id").collect()]
+    texts = [b" " * 5 + plain(r["text"].encode()) + b" " * 5 for r in docs.join(known, "doc_id").collect()]
     wanted, n = np.unique(np.concatenate([toxicity.strings_of(np.frombuffer(t, np.uint8)) for t in texts]), return_counts=True)
     got = {r["string"]: r["n0"] + r["n1"] for r in model.counts.collect()}
-    assert set(wanted.tolist()) <= set(got)
-    assert sum(got.values()) >= n.sum()  # strings that reach from a text into the next are counted too
+    assert got == dict(zip(wanted.tolist(), n.tolist(), strict=True))  # no string reaches from a text into the next
+
+
+def test_counts_do_not_depend_on_neighbours(spark, documents):
+    rows = documents.select("text", F.lit(1).alias("toxic"))
+    counts = [sorted(map(tuple, toxicity.count_strings(rows.repartition(n), "text", "toxic").collect())) for n in (1, 6)]
+    assert counts[0] == counts[1]
+
+
+def test_common_middle_bytes_are_dealt_to_several_buckets(spark, documents, monkeypatch):
+    docs, labels = toxic_corpus(spark, 200)
+    model = toxicity.fit(docs, labels)
+    whole = {(r["doc_id"], r["text"]): r["score"] for r in toxicity.score(documents, model).collect()}
+    monkeypatch.setattr(toxicity, "BUCKET_STRINGS", 20)
+    monkeypatch.setattr(toxicity, "CHUNK_BYTES", 30_000)
+    n = -(-model.n_strings // 20)
+    buckets = toxicity.buckets_of(model.counts, model.n_strings, n)
+    assert len(buckets.hot) > 3 and buckets.parts.max() > 1
+    strings = np.array([r["string"] for r in model.counts.collect()])
+    held = {(int(s), int(b)) for places, at in buckets.holding(strings) for s, b in zip(strings[places], at, strict=True)}
+    for chunk in (0, 1, 5, 12_345):
+        assert {(int(s), int(b)) for s, b in zip(strings, buckets.asked(strings, chunk), strict=True)} <= held
+    dealt = {(r["doc_id"], r["text"]): r["score"] for r in toxicity.score(documents, model).collect()}
+    assert dealt.keys() == whole.keys() and all(abs(dealt[k] - whole[k]) < 1e-6 for k in whole)
+
+
+def test_every_chunk_has_a_partition_for_itself(spark):
+    for n in (1, 2, 17, 200):
+        keys = toxicity._chunk_keys(spark, n)
+        at = spark.createDataFrame([(int(k),) for k in keys], "k long").select(F.pmod(F.hash("k"), F.lit(n)).alias("p")).collect()
+        assert [r["p"] for r in at] == list(range(n))
