@@ -32,6 +32,7 @@ from lexigauge.llm.batches import add_columns
 from lexigauge.sources.scratch import materialize
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 3
+PRINTS_PER_TASK = 3000
 HALVES = (tuple(range(32)), tuple(range(32, 64)))
 #: Bits whose flips are made before the shuffle, twelve of each half; the others are flipped behind it.
 KEY = (tuple(range(12)), tuple(range(32, 44)))
@@ -110,7 +111,8 @@ def links(prints: DataFrame) -> DataFrame:
         "fingerprint", F.inline(F.when(odd, _structs([*_CENTRES, *_GUESTS])).otherwise(_structs(_CENTRES)))
     ).select("fingerprint", "kind", "centre", F.col("fingerprint").bitwiseXOR(F.col("flip")).alias("near"))
     sent = sent.withColumn("part", F.col("near").bitwiseAND(F.lit(KEY_MASK)))
-    n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Behind the shuffle a fingerprint has some 500 rows, which a task sorts.
+    n = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-prints.count() // PRINTS_PER_TASK))
     flips = F.when(F.col("kind") == 0, _array(_BEHIND[0]))
     for kind in (1, 2, 3, 4):
         flips = flips.when(F.col("kind") == kind, _array(_BEHIND[kind]))
