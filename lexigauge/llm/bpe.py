@@ -29,13 +29,15 @@ import xxhash
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lexigauge.llm.batches import add_columns, pieces_of
+from lexigauge.llm.batches import add_columns, give_back, pieces_of
 
 LONG_WORD = 256
 #: Entries of a table of runs before it is cut back to those met more than once.
 CACHE = 300_000
 #: Bytes or ids that are looked through for equal runs at once.
-SLICE = 1_000_000
+SLICE = 400_000
+#: Words that DuckDB encodes at once.
+QUERY_WORDS = 8_000
 
 _ENCODE = """
 WITH RECURSIVE steps(step, word, ids) AS (
@@ -116,8 +118,8 @@ class Codec:
                 out[i] = np.array(heap_merge([self.of_byte[b] for b in word], word, self.ranks), np.int32).tobytes()
             else:
                 short.append(i)
-        for first in range(0, len(short), 20_000):
-            some = short[first : first + 20_000]
+        for first in range(0, len(short), QUERY_WORDS):
+            some = short[first : first + QUERY_WORDS]
             offsets = np.concatenate([[0], np.cumsum([len(words[i]) for i in some])]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(self.of_byte[np.frombuffer(b"".join(words[i] for i in some), np.uint8)]))
             found = self._query(_ENCODE, "words", pa.table({"word": np.arange(len(some), dtype=np.int32), "ids": ids}))["ids"].combine_chunks()
@@ -385,5 +387,6 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", data: str =
                 made = pa.Array.from_buffers(pa.binary(), len(column), [None, pa.py_buffer(stops.astype(np.int32)), pa.py_buffer(found)])
                 old = [part.column(part.schema.get_field_index(c)) for c in kept]
                 yield pa.RecordBatch.from_arrays([*[x.cast(arrow.field(c).type) for x, c in zip(old, kept, strict=True)], made], schema=arrow)
+        give_back()
 
     return df.select(*dict.fromkeys([*kept, ids])).mapInArrow(run, schema)
