@@ -36,14 +36,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lexigauge.llm.batches import PIECE_BYTES, text_pieces, texts_of
+from lexigauge.llm.batches import PIECE_BYTES, give_back, text_pieces, texts_of
 from lexigauge.sources.scratch import materialize
 
 ORDER = 4
 UNKNOWN = "und"
 BLOCK_BYTES = 64_000_000
 #: Text that a task counts before it hands on its counts.
-COUNTED_BYTES = 4_000_000
+COUNTED_BYTES = 2_000_000
 #: Least share of training rows of a language that `accepted` refuses; width and number of the margins' bins.
 REJECT, BIN, BINS = 0.001, 0.02, 200
 #: More distinct values are no languages: a model has a column for each.
@@ -131,6 +131,7 @@ def count_strings(docs: DataFrame, text: str, language: str) -> DataFrame:
                     yield from counted()
                     size = 0
         yield from counted()
+        give_back()
 
     part = docs.select(text, language).mapInArrow(run, "language string, hash long, n long")
     return part.groupBy("language", "hash").agg(F.sum("n").alias("n"))
@@ -156,25 +157,26 @@ def _orders(counts: DataFrame) -> dict[int, DataFrame]:
 
 
 def _entries(counts: dict[int, DataFrame]) -> DataFrame:
-    """(order, language, hash, value) of all orders. Discounts are n1 / (n1 + 2 n2) of their order and language."""
+    """(order, language, hash, value) of all orders. Discounts are n1 / (n1 + 2 n2) of their order and language.
+
+    What stands in one context, at most one string per character, meets in one row and is laid out again.
+    """
     parts = []
     for order, table in counts.items():
         once = table.groupBy("language").agg(F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"))
         cut = F.least(F.greatest(F.col("n1") / (F.col("n1") + 2 * F.col("n2")), F.lit(0.1)), F.lit(0.9))
         cuts = once.select("language", F.coalesce(F.when(F.col("n1") > 0, cut), F.lit(0.5)).alias("cut"))  # a row per language
-        context = F.shiftrightunsigned("hash", 16)
-        of = table.withColumn("context", context).join(F.broadcast(cuts), "language")
-        sums = of.groupBy("language", "context").agg(F.sum("n").alias("total"), (F.count(F.lit(1)) * F.first("cut")).alias("kept"))
-        if order > 1:
-            of = of.join(sums.select("language", "context", "total"), ["language", "context"])
-        else:
-            of = of.join(F.broadcast(sums.select("language", "total")), "language")  # a row per language
-        parts.append(of.select(F.lit(order).alias("order"), "language", "hash", ((F.col("n") - F.col("cut")) / F.col("total")).alias("value")))
-        parts.append(sums.select(F.lit(1 - order).alias("order"), "language", F.col("context").alias("hash"), (F.col("kept") / F.col("total")).alias("value")))
+        met = table.groupBy("language", F.shiftrightunsigned("hash", 16).alias("context")).agg(
+            F.sum("n").alias("total"), F.collect_list(F.struct("hash", "n")).alias("strings")
+        )
+        entry = lambda k, hashes, value: F.struct(F.lit(k).alias("order"), hashes.alias("hash"), value.alias("value"))
+        left = entry(1 - order, F.col("context"), F.size("strings") * F.col("cut") / F.col("total"))
+        own = F.transform("strings", lambda s: entry(order, s["hash"], (s["n"] - F.col("cut")) / F.col("total")))  # noqa: B023
+        parts.append(met.join(F.broadcast(cuts), "language").select("language", F.inline(F.concat(F.array(left), own))))
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
-    return every
+    return every.select("order", "language", "hash", "value")
 
 
 def _before_last(order: Column, hashes: Column) -> Column:
@@ -279,6 +281,7 @@ def _pass(frame: DataFrame, text: str, names: list[str], schema: T.StructType, s
                 new = [None if not ok else (row if b is None else row + np.array(b)) for row, b, ok in zip(sums, before, lettered, strict=True)]
                 columns = [*[part[c] for c in names], pa.array(new, pa.list_(pa.float64())), pa.array(n, pa.int64())]
                 yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(columns, arrow, strict=True)], schema=arrow)
+        give_back()
 
     return frame.mapInArrow(run, schema)
 
