@@ -399,7 +399,8 @@ def _strings_in(texts: list[bytes]) -> list[np.ndarray]:
 
 
 def _merged(parts: list[np.ndarray]) -> np.ndarray:
-    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+    """Distinct numbers in any order."""
+    return pc.unique(pa.array(np.concatenate(parts))).to_numpy() if parts else np.zeros(0, np.int64)
 
 
 class _Gathered:
@@ -413,11 +414,13 @@ class _Gathered:
         self.parts += parts
         self.size += sum(map(len, parts))
         if self.size > self.limit:
-            self.strings()
+            self.parts = [_merged(self.parts)]
+            self.size = len(self.parts[0])
             self.limit = max(2 * self.size, self.limit)
 
     def strings(self) -> np.ndarray:
-        self.parts = [_merged(self.parts)]
+        """The distinct strings in order."""
+        self.parts = [np.sort(_merged(self.parts))]
         self.size = len(self.parts[0])
         return self.parts[0]
 
