@@ -1,4 +1,8 @@
+import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from lexigauge.llm import licenses
 
@@ -46,6 +50,98 @@ def test_base_places_equal_brute_force_and_notices_are_found(spark, documents):
             assert 0 <= s["start"] < s["end"] <= r["n_words"]
 
 
+def brute_cover(words, phrase):
+    """The largest share of a phrase's word pairs found in order at diagonals that differ by SHIFT at most from one of them."""
+    want = phrase.split()
+    pairs = list(zip(want, want[1:], strict=False))
+    diagonals = {}
+    for i, pair in enumerate(zip(words, words[1:], strict=False)):
+        for at, other in enumerate(pairs):
+            if pair == other:
+                diagonals.setdefault(i - at, []).append(at)
+    best = 0
+    for centre in diagonals:
+        near = sorted((min(ats) + d, d, ats) for d, ats in diagonals.items() if abs(d - centre) <= licenses.SHIFT)
+        last_pair = last_place = -1
+        votes = 0
+        for _, d, ats in near:
+            for at in [a for a in sorted(ats) if a > max(last_pair, last_place - d)]:
+                votes, last_pair, last_place = votes + 1, at, at + d
+        best = max(best, votes / len(pairs))
+    return best
+
+
+def brute_labels(text):
+    words = WORD.findall((text or "").translate(LOWER))
+    covers = {(label, phrase): brute_cover(words, phrase) for label, phrases in licenses.NOTICES.items() for phrase in phrases}
+    base = {label for phrase, label in licenses.BASE.items() if brute_cover_exact(words, phrase)}
+    labels = base | {label for (label, _), cover in covers.items() if cover >= licenses.COVER}
+    return ",".join(sorted(labels)), max([*covers.values(), 1.0 if base else 0.0])
+
+
+def brute_cover_exact(words, phrase):
+    want = phrase.split()
+    return any(words[i : i + len(want)] == want for i in range(len(words) - len(want) + 1))
+
+
+def test_labels_equal_brute_force(spark):
+    """Notices whole, with words put in, left out and swapped, in pieces and over and over."""
+    rng = random.Random(11)
+    phrases = [p for ps in licenses.NOTICES.values() for p in ps] + list(licenses.BASE)
+    texts = ["public license " * 4, "license public " * 30, "the software the software", *phrases, " ".join(phrases), " ".join(reversed(" ".join(phrases).split()))]
+    for _ in range(300):
+        words = []
+        for _ in range(rng.randint(1, 4)):
+            part = rng.choice(phrases).split()
+            for _ in range(rng.choice([0, 0, 1, 2, 5])):
+                at = rng.randrange(len(part) + 1)
+                change = rng.random()
+                if change < 0.4:
+                    part[at:at] = [rng.choice(["x", "the", "license", "public"])] * rng.randint(1, 3)
+                elif change < 0.8:
+                    del part[at : at + rng.randint(1, 3)]
+                elif 0 < at < len(part):
+                    part[at - 1], part[at] = part[at], part[at - 1]
+            words += part + rng.choice([[], ["and"], ["y"] * 3])
+        texts.append(" ".join(words))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = set()
+    for r in licenses.scan(frame, keep=["doc_id", "text"]).collect():
+        labels, score = brute_labels(r["text"])
+        assert (r["labels"], round(r["score"], 9)) == (labels, round(score, 9)), r
+        seen.update(labels.split(","))
+        own = {s["label"] for s in r["spans"]}
+        assert own == set(filter(None, labels.split(",")))
+    assert len(seen) > 9
+    by_text = {r["text"]: r for r in licenses.scan(frame, keep=["text"]).collect()}
+    assert "lgpl" not in by_text["public license " * 4]["labels"]
+
+
+def test_spans_are_the_places_of_notices(spark):
+    notice = licenses.NOTICES["mit"][1]
+    text = "one two " + notice + " three " + notice.replace("free of charge", "free of any charge") + " four"
+    row = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    n = len(notice.split())
+    assert [(s["start"], s["end"]) for s in row["spans"] if s["label"] == "mit"] == [(2, 2 + n), (3 + n, 4 + 2 * n)]
+
+
+def test_a_megabyte_of_matches(spark):
+    texts = ["cc by x y z w q r " * 60_000, "cc by " * 170_000, "public license " * 70_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    started = time.monotonic()
+    rows = {r["doc_id"]: r for r in licenses.scan(frame).collect()}
+    assert time.monotonic() - started < 60
+    assert [rows[i]["n_base"] for i in range(3)] == [60_000, 170_000, 0] and rows[2]["labels"] == ""
+
+
+def test_clashing_names(documents):
+    names = ["first", "label", "template", "pairs", "votes", "at", "hash", "mask", "diagonal", "last", "is_base", "w1", "row", "start", "cover"]
+    frame = documents.select("doc_id", "text", *[F.lit("x").alias(n) for n in names])
+    got = licenses.scan(frame, keep=["doc_id", *names])
+    assert got.columns == ["doc_id", *names, *licenses.RESULTS, "spans"]
+    assert got.filter(" AND ".join(f"`{n}` = 'x'" for n in names)).count() == documents.count()
+
+
 def test_empty_table(no_documents):
     assert licenses.scan(no_documents).count() == 0
 
