@@ -27,16 +27,15 @@ ORACLES: dict[str, str] = {
             sum(length('### ' || {_ESCAPED.format('role', ':|')} || ': ' || {_ESCAPED.format('text', '')} || ' </turn>' || chr(10)))::BIGINT AS formatted_chars
         FROM turns GROUP BY conv_id""",
     "op3_nearest": """WITH usable AS (
-            SELECT vec_id, min(embedding::DOUBLE[]) AS v FROM embeddings
+            SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS v FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
                 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
-            GROUP BY vec_id
         ),
         scored AS (
-            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
-            FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0
+            SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+            FROM usable q JOIN usable c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0
         )
-        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+        SELECT query_id, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
         FROM scored QUALIFY rank <= 20""",
     "op11_lexical_search": rf"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
         tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM docs) GROUP BY r, term),
