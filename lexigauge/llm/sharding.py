@@ -9,8 +9,8 @@ Only counts leave the scan: rows per cell, a cell being a slice of an arc. The p
 per arc, of which there are shards * points whatever the input. Within its cell a row gets its rank by a window, the arc's
 earlier cells shift it, and the piece of the arc it falls in tells shard and slot.
 
-Defined cases: null texts have no bytes; a null key hashes like any other value; rows equal in key and text share a shard or neighbouring slots in
-arbitrary order among themselves; an empty table gives an empty result; further columns are returned as they are, but for those named like a result.
+Defined cases: null texts have no bytes; a null key hashes like any other value; rows of one key lie on one arc, in any order among
+themselves where there are more than 2 * CELL_ROWS of them; an empty table gives an empty result; further columns are returned as they are, but for those named like a result.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from lexigauge.functions.exprs import small
 from lexigauge.sources.scratch import materialize
 
 SHARDS, POINTS = 16, 64
@@ -85,32 +86,45 @@ def shards(
     """`docs` (or its columns `keep`) with size, text_crc32, law `rows`, shard, slot and grown_shard (null under this law)."""
     columns = [c for c in (docs.columns if keep is None else keep) if c not in RESULTS]
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    # Own columns have names with a prefix: those of `docs` may have any.
     rows = materialize(docs.select(
-        *columns, (F.octet_length(data) + 1).cast("long").alias("size"), F.crc32(data).alias("text_crc32"), hash53(key).alias("_hash"),
-        F.xxhash64(F.col(key), F.col(text)).alias("_tie"),
+        *columns, (F.octet_length(data) + 1).cast("long").alias("size"), F.crc32(data).alias("text_crc32"), hash53(key).alias("_ring_hash"),
+        F.xxhash64(F.col(key), F.col(text)).alias("_ring_tie"), F.monotonically_increasing_id().alias("_ring_no"),
     ), "sizes")
     points_of = ring(n, points)
     ends, owners = [p for p, _ in points_of], [s for _, s in points_of]
     spark = docs.sparkSession
     total = rows.count()
     cells = max(1, -(-4 * total // (CELL_ROWS * len(ends))))
-    table = spark.createDataFrame(segments(ends), "tile long, arc int, above long, upto long, shift long, span long")
+    names = [f"_ring_{c}" for c in ("tile", "arc", "above", "upto", "shift", "span")]
+    table = spark.createDataFrame(segments(ends), ", ".join(f"{c} {'int' if c == '_ring_arc' else 'long'}" for c in names))
     # One or two segments per tile of the ring, so a table of fixed size.
-    ringed = rows.join(F.broadcast(table), (F.shiftright("_hash", 53 - TILE_BITS) == F.col("tile")) & (F.col("_hash") > F.col("above")) & (F.col("_hash") <= F.col("upto")))
-    ringed = ringed.withColumn("_offset", F.col("_hash") - F.col("shift")).withColumn(
-        "_cell", F.least(F.floor(F.col("_offset").cast("double") / F.col("span") * cells), F.lit(cells - 1)).cast("int")
-    ).withColumnRenamed("arc", "_arc").drop("tile", "above", "upto", "shift", "span")
-    per_cell = materialize(ringed.groupBy("_arc", "_cell").agg(F.count(F.lit(1)).alias("n")), "cells")
-    before = per_cell.withColumn("_before", F.sum("n").over(W.partitionBy("_arc").orderBy("_cell").rowsBetween(W.unboundedPreceding, 0)) - F.col("n")).drop("n")
+    at = F.col("_ring_hash")
+    ringed = rows.join(F.broadcast(table), (F.shiftright(at, 53 - TILE_BITS) == F.col("_ring_tile")) & (at > F.col("_ring_above")) & (at <= F.col("_ring_upto")))
+    ringed = ringed.withColumn("_ring_offset", at - F.col("_ring_shift")).withColumn(
+        "_ring_cell", F.least(F.floor(F.col("_ring_offset").cast("double") / F.col("_ring_span") * cells), F.lit(cells - 1)).cast("int")
+    ).drop("_ring_tile", "_ring_above", "_ring_upto", "_ring_shift", "_ring_span")
+    # Many rows of one key, or of none, lie in one cell. It is cut by the texts and the rows' numbers.
+    full = ringed.groupBy("_ring_arc", "_ring_cell").agg(F.count(F.lit(1)).alias("_ring_n")).filter(F.col("_ring_n") > 2 * CELL_ROWS)
+    full = materialize(full.select("_ring_arc", "_ring_cell", F.ceil(F.col("_ring_n") / CELL_ROWS).alias("_ring_parts")), "full_cells")
+    cut = ringed.join(small(full, full.count()), ["_ring_arc", "_ring_cell"], "left")
+    part = F.coalesce(F.pmod(F.xxhash64("_ring_tie", "_ring_no"), F.col("_ring_parts")), F.lit(0))
+    ringed = cut.withColumn("_ring_part", part).drop("_ring_parts")
+    cell = ["_ring_arc", "_ring_cell", "_ring_part"]
+    per_cell = materialize(ringed.groupBy(*cell).agg(F.count(F.lit(1)).alias("_ring_n")), "cells")
+    upto = W.partitionBy("_ring_arc").orderBy("_ring_cell", "_ring_part").rowsBetween(W.unboundedPreceding, 0)
+    before = per_cell.withColumn("_ring_before", F.sum("_ring_n").over(upto) - F.col("_ring_n")).drop("_ring_n")
     counts = [0] * len(ends)
-    for row in per_cell.groupBy("_arc").agg(F.sum("n").alias("n")).collect():  # a row per arc
-        counts[row["_arc"]] = row["n"]
-    parts = spark.createDataFrame(pieces(counts, owners, n), "arc int, first long, stop long, shard int, slot0 long")
-    inside = W.partitionBy("_arc", "_cell").orderBy("_offset", "_tie", "size", "text_crc32")
-    ranked = ringed.withColumn("_rank", F.row_number().over(inside)).join(before, ["_arc", "_cell"]).withColumn("_rank", F.col("_rank") - 1 + F.col("_before"))
+    for row in per_cell.groupBy("_ring_arc").agg(F.sum("_ring_n").alias("n")).collect():  # a row per arc
+        counts[row["_ring_arc"]] = row["n"]
+    parts = spark.createDataFrame(pieces(counts, owners, n), "_ring_in int, _ring_first long, _ring_stop long, shard int, _ring_slot long")
+    inside = W.partitionBy(*cell).orderBy("_ring_offset", "_ring_tie", "size", "text_crc32")
+    ranked = ringed.withColumn("_ring_rank", F.row_number().over(inside)).join(before, cell)
+    rank = F.col("_ring_rank")
+    ranked = ranked.withColumn("_ring_rank", rank - 1 + F.col("_ring_before"))
     # At most one piece per arc and shard: a table of fixed size.
-    placed = ranked.join(F.broadcast(parts), (F.col("_arc") == F.col("arc")) & (F.col("_rank") >= F.col("first")) & (F.col("_rank") < F.col("stop")))
+    placed = ranked.join(F.broadcast(parts), (F.col("_ring_arc") == F.col("_ring_in")) & (rank >= F.col("_ring_first")) & (rank < F.col("_ring_stop")))
     return placed.select(
-        *columns, "size", "text_crc32", F.lit("rows").alias("law"), "shard", (F.col("slot0") + F.col("_rank") - F.col("first")).alias("slot"),
+        *columns, "size", "text_crc32", F.lit("rows").alias("law"), "shard", (F.col("_ring_slot") + rank - F.col("_ring_first")).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )

@@ -61,3 +61,52 @@ def test_every_hash_lies_on_one_arc():
 
 def test_empty_table(no_documents):
     assert sharding.shards(no_documents).count() == 0
+
+
+def test_shards_equal_the_ring_walked_key_by_key(spark):
+    """Every row on its arc; arcs in ring order, then the rows that found their shard full, clockwise."""
+    n = 5
+    frame = spark.range(3000).selectExpr("id AS doc_id", "cast(id % 7 AS string) AS text")
+    got = {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shards(frame, keep=["doc_id"], n=n, points=8).collect()}
+    hashes = {r["doc_id"]: r["h"] for r in frame.select("doc_id", sharding.hash53("doc_id").alias("h")).collect()}
+    points = sharding.ring(n, 8)
+    ends, owners = [p for p, _ in points], [s for _, s in points]
+    arc = {d: next((i for i, e in enumerate(ends) if h <= e), 0) for d, h in hashes.items()}
+    offset = {d: (h - ends[arc[d] - 1]) % (1 << 53) for d, h in hashes.items()}
+    room = [3000 // n + (s < 3000 % n) for s in range(n)]
+    shard, late = {}, []
+    for d in sorted(arc, key=lambda d: (arc[d], offset[d])):
+        if room[owners[arc[d]]]:
+            room[owners[arc[d]]] -= 1
+            shard[d] = owners[arc[d]]
+        else:
+            late.append(d)
+    for d in late:
+        step = arc[d]
+        while not room[owners[step]]:
+            step = (step + 1) % len(ends)
+        room[owners[step]] -= 1
+        shard[d] = owners[step]
+    assert {d: s for d, (s, _) in got.items()} == shard
+    assert len(set(got.values())) == 3000
+
+
+def test_many_rows_of_one_key_are_cut(spark, monkeypatch):
+    """A third of all rows without a key, a third with one; the same text in many of them."""
+    monkeypatch.setattr(sharding, "CELL_ROWS", 50)
+    frame = spark.range(6000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 7 ELSE id END AS doc_id", "CASE WHEN id % 2 = 0 THEN 'same' ELSE cast(id AS string) END AS text"
+    )
+    placed = sharding.shards(frame)
+    rows = placed.collect()
+    counts = Counter(r["shard"] for r in rows)
+    assert len(rows) == 6000 and max(counts.values()) - min(counts.values()) <= 1
+    assert all(sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(n)) for s, n in counts.items())
+
+
+def test_clashing_names(documents):
+    names = ["span", "first", "tile", "arc", "above", "upto", "shift", "stop", "slot0", "n", "_rank", "_cell"]
+    frame = documents.selectExpr("doc_id", "text", "source AS shard", *[f"'x' AS {n}" for n in names])
+    got = sharding.shards(frame)
+    assert got.columns == ["doc_id", "text", *names, *sharding.RESULTS]
+    assert got.filter(" AND ".join(f"`{n}` = 'x'" for n in names)).count() == documents.count()
