@@ -1,10 +1,11 @@
 r"""Cross-tokenizer alignment: which tokens of a byte-level BPE (A) and of a piece BPE (B) cover the same bytes of a text.
 
 A encodes the text behind a space, B the text itself and adds the space. Both give an array of the byte offsets where their tokens
-end. The two arrays are compared along a diagonal: from token i of A and token j of B on, at the shift j - i, slices of 1, 2, 4, ...
-ends are compared as long as they are equal, then ever shorter ones; so a stretch of one-to-one tokens is jumped over in a few
-comparisons. Where ends differ, the smaller one moves on until both meet: an irregular group, after which the shift is another.
-Places where tokens of both end cut the text into groups; tokens whose byte ranges overlap are linked.
+end. The two arrays are compared along a diagonal: from token i of A and token j of B on, at the shift j - i, the next 8, 16, 32, ...
+ends are compared at once as long as all are equal; so a stretch of one-to-one tokens is jumped over in a few comparisons. Where ends
+differ, the smaller one moves on until both meet: an irregular group, after which the shift is another. A task does this in many
+lanes at once, from places in its texts where both sides end. Places where tokens of both end cut the text into groups; tokens whose
+byte ranges overlap are linked.
 
 How many documents hold a pair of ids linked is counted over the whole corpus: a task tells the distinct pairs of its documents,
 Spark adds them up. To look the counts up again, the pairs of most documents, HOT_PAIRS at most, are joined by broadcast, all others
@@ -25,6 +26,7 @@ import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,9 @@ from lexigauge.llm.batches import text_pieces, texts_of
 from lexigauge.sources.scratch import materialize
 
 #: Pairs that are joined by broadcast, at most; text that a task works on at once, or one text.
-HOT_PAIRS, PIECE_BYTES = 1_000_000, 250_000
+HOT_PAIRS, PIECE_BYTES = 1_000_000, 500_000
+#: Tokens of A from one lane to the next, about; the first and the largest number of ends that are compared at once.
+LANE, FIRST, MOST = 256, 8, 256
 RESULTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
@@ -76,6 +80,8 @@ class Pair:
         self.a = Tokens(entries, (",", "|"))
         self._b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [(self._b.id_to_piece(i), self._b.is_byte(i)) for i in range(self._b.get_piece_size())]
+        if len(entries) * len(pieces) >= 1 << 32:
+            raise ValueError("the vocabularies have too many pairs of ids")
         self.b = Tokens([bytes([int(p[3:5], 16)]) if byte else p.replace("▁", " ").encode() for p, byte in pieces], (",", ";"))
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
@@ -89,7 +95,7 @@ def load(path_a: str, path_b: str, pattern: str) -> Pair:
 
 @dataclass(frozen=True)
 class Alignment:
-    """Of one text: the ends of its groups as numbers of tokens of A and of B, and its links as places of tokens."""
+    """The ends of the groups as numbers of tokens of A and of B, and the links as places of tokens."""
 
     ends_a: np.ndarray
     ends_b: np.ndarray
@@ -97,63 +103,69 @@ class Alignment:
     links_b: np.ndarray
 
 
-def _runs(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int], list[int], list[int], list[int]]:
-    """One-to-one stretches as (start in A, start in B, length), with one irregular group behind each; the links of those groups."""
-    at_a, at_b, length, links_a, links_b = [], [], [], [], []
-    i = j = 0
-    n = len(ends_a)
-    while i < n:
-        at_a.append(i)
-        at_b.append(j)
-        step = 1
-        while step:
-            run = ends_a[i : i + step]
-            if run and run == ends_b[j : j + step]:
-                i += len(run)
-                j += len(run)
-                step *= 2
-            else:
-                step //= 2
-        length.append(i - at_a[-1])
-        if i < n:
-            a, b = ends_a[i], ends_b[j]
-            while a != b:
-                links_a.append(i)
-                links_b.append(j)
-                if a < b:
-                    i += 1
-                    a = ends_a[i]
-                else:
-                    j += 1
-                    b = ends_b[j]
-            links_a.append(i)
-            links_b.append(j)
-            i += 1
-            j += 1
-    return at_a, at_b, length, links_a, links_b
-
-
 def _steps(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... of every stretch."""
     before = np.cumsum(lengths) - lengths
     return np.arange(int(lengths.sum())) + np.repeat(starts - before, lengths)
 
 
+def _lanes(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of A and of B at which lanes start: behind a place where both end, looked up behind every LANE-th token of A."""
+    near = np.arange(LANE, len(ends_a), LANE)[:, None] + np.arange(LANE // 8)
+    near = near[near[:, -1] < len(ends_a) - 1]
+    at = np.searchsorted(ends_b, ends_a[near])
+    both = ends_b[at] == ends_a[near]
+    rows, first = np.flatnonzero(both.any(axis=1)), both.argmax(axis=1)
+    return tuple(np.concatenate([[0], x[rows, first[rows]] + 1]) for x in (near, at))
+
+
 def align(ends_a: np.ndarray, ends_b: np.ndarray) -> Alignment:
-    """Two rising arrays of ends with the same last one."""
-    at_a, at_b, length, links_a, links_b = (np.array(x, np.int64) for x in _runs(ends_a.tolist(), ends_b.tolist()))
-    one_a, one_b = _steps(at_a, length), _steps(at_b, length)
-    # Behind a stretch an irregular group reaches to the next one; there is none where the stretch reaches the end.
-    group_a, group_b = np.append(at_a[1:], len(ends_a)), np.append(at_b[1:], len(ends_b))
-    there = group_a > at_a + length
+    """Two rising arrays of ends with the same last one.
+
+    Many lanes are aligned at once, each at a place of its own; every lane goes on by itself from stretch to group to stretch.
+    """
+    a, b = (np.concatenate([x, np.full(MOST, y)]) for x, y in ((ends_a, -1), (ends_b, -2)))  # nothing equals what is behind the end
+    i, j = _lanes(ends_a, ends_b)
+    stop = np.append(i[1:], len(ends_a))
+    starts_a, starts_b, lengths, links_a, links_b, met_a, met_b = ([np.zeros(0, np.int64)] for _ in range(7))
+    lanes = np.flatnonzero(i < stop)
+    while lanes.size:
+        begun, block, running = i[lanes], FIRST, lanes
+        starts_a.append(begun)
+        starts_b.append(j[lanes])
+        while running.size:  # the stretch at the shift j - i
+            places = np.arange(block)
+            same = a[i[running][:, None] + places] == b[j[running][:, None] + places]
+            whole = same.all(axis=1)
+            length = np.minimum(np.where(whole, block, same.argmin(axis=1)), stop[running] - i[running])
+            i[running] += length
+            j[running] += length
+            running = running[whole & (i[running] < stop[running])]
+            block = min(2 * block, MOST)
+        lengths.append(i[lanes] - begun)
+        apart = lanes = lanes[i[lanes] < stop[lanes]]
+        while apart.size:  # the irregular group
+            at_a, at_b = i[apart], j[apart]
+            end_a, end_b = a[at_a], b[at_b]
+            links_a.append(at_a)
+            links_b.append(at_b)
+            i[apart] += end_a <= end_b
+            j[apart] += end_b <= end_a
+            met = end_a == end_b
+            met_a.append(at_a[met] + 1)
+            met_b.append(at_b[met] + 1)
+            apart = apart[~met]
+        lanes = lanes[i[lanes] < stop[lanes]]
+    starts_a, starts_b, lengths, links_a, links_b, met_a, met_b = map(np.concatenate, (starts_a, starts_b, lengths, links_a, links_b, met_a, met_b))
+    one_a, one_b = _steps(starts_a, lengths), _steps(starts_b, lengths)
     return Alignment(
-        np.sort(np.concatenate([one_a + 1, group_a[there]])), np.sort(np.concatenate([one_b + 1, group_b[there]])),
+        np.sort(np.concatenate([one_a + 1, met_a])), np.sort(np.concatenate([one_b + 1, met_b])),
         np.concatenate([one_a, links_a]), np.concatenate([one_b, links_b]),
     )
 
 
-def groups_text(pair: Pair, ids_a: np.ndarray, ids_b: np.ndarray, found: Alignment) -> str:
-    """The groups in order: ids of A, a bar, ids of B, a semicolon between groups."""
+def written_groups(pair: Pair, ids_a: np.ndarray, ids_b: np.ndarray, found: Alignment) -> np.ndarray:
+    """Ids with their separators, group by group: ids of A, a bar, ids of B, a semicolon."""
     last_a, last_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
     last_a[found.ends_a - 1], last_b[found.ends_b - 1] = len(pair.a.entries), len(pair.b.entries)
     # A group's tokens of A stand behind all tokens of earlier groups, those of B behind its own ones of A.
@@ -162,20 +174,48 @@ def groups_text(pair: Pair, ids_a: np.ndarray, ids_b: np.ndarray, found: Alignme
     sizes_a, sizes_b = np.diff(found.ends_a, prepend=0), np.diff(found.ends_b, prepend=0)
     out[np.arange(len(ids_a)) + np.repeat(before_b, sizes_a)] = pair.a.written[ids_a + last_a]
     out[np.arange(len(ids_b)) + np.repeat(found.ends_a, sizes_b)] = pair.b.written[ids_b + last_b]
-    return "".join(out.tolist())[:-1]
-
-
-def _linked(pair: Pair, text: bytes, a: list[int], b: list[int]) -> tuple[tuple[int, int, int, int], str, np.ndarray, np.ndarray]:
-    """(n_a, n_b, n_groups, n_links), the digest of the groups, the distinct linked pairs of ids and their numbers of links."""
-    nothing = (0, 0, 0, 0), "", np.zeros(0, np.int64), np.zeros(0, np.int64)
-    whole = b" " + text
-    if not text or b"".join(map(pair.a.entries.__getitem__, a)) != whole or b"".join(map(pair.b.entries.__getitem__, b)) != whole:
-        return nothing
-    ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
+    return out
+
+
+def _whole(tokens: Tokens, ids: np.ndarray, sizes: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """For each text, whether the bytes of its ids are a space and the text."""
+    ends = np.concatenate([[0], np.cumsum(tokens.lengths[ids])])[np.concatenate([[0], np.cumsum(sizes)])]
+    made = b"".join(map(tokens.entries.__getitem__, ids.tolist()))
+    if made == b"".join(x for t in texts for x in (b" ", t)) and np.array_equal(np.diff(ends), np.array(list(map(len, texts))) + 1):
+        return np.ones(len(texts), bool)
+    return np.array([made[x:y] == b" " + t for x, y, t in zip(ends[:-1].tolist(), ends[1:].tolist(), texts, strict=True)], bool)
+
+
+def linked(pair: Pair, texts: list[bytes]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Per text (n_a, n_b, n_groups, n_links) and the digest of its groups; where the pairs of a text end, all distinct linked pairs
+    of ids, text by text, and their numbers of links.
+
+    All texts are aligned as one: each ends where tokens of both sides end.
+    """
+    encoded = pair.encode([t.decode() for t in texts])
+    sizes = [np.array(list(map(len, side)), np.int64) for side in encoded]
+    ids = [np.fromiter(chain.from_iterable(side), np.int64) for side in encoded]
+    good = np.array(list(map(bool, texts)), bool)
+    for tokens, side, size in zip((pair.a, pair.b), ids, sizes, strict=True):
+        good &= _whole(tokens, side, size, texts)
+    kept = np.flatnonzero(good)
+    numbers, digests = np.zeros((len(texts), 4), np.int64), [""] * len(texts)
+    if not len(kept):
+        return numbers, digests, np.zeros(len(texts), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ids_a, ids_b = (side[np.repeat(good, size)] for side, size in zip(ids, sizes, strict=True))
+    sizes_a, sizes_b = (size[kept] for size in sizes)
     found = align(np.cumsum(pair.a.lengths[ids_a]), np.cumsum(pair.b.lengths[ids_b]))
-    digest = hashlib.sha256(groups_text(pair, ids_a, ids_b, found).encode()).hexdigest()
-    pairs, links = np.unique(ids_a[found.links_a] * len(pair.b.entries) + ids_b[found.links_b], return_counts=True)
-    return (len(a), len(b), len(found.ends_a), len(found.links_a)), digest, pairs, links
+    tokens_a = np.cumsum(sizes_a)
+    groups = np.diff(np.searchsorted(found.ends_a, tokens_a, side="right"), prepend=0)
+    text = np.repeat(kept, sizes_a)[found.links_a]
+    numbers[kept] = np.column_stack([sizes_a, sizes_b, groups, np.bincount(text, minlength=len(texts))[kept]])
+    words, first = written_groups(pair, ids_a, ids_b, found).tolist(), 0
+    for i, last in zip(kept.tolist(), np.cumsum(sizes_a + sizes_b).tolist(), strict=True):
+        digests[i] = hashlib.sha256("".join(words[first:last])[:-1].encode()).hexdigest()
+        first = last
+    # Both numbers of a pair are below 2 ** 32 together, as a piece's texts are.
+    codes, links = np.unique(text << 32 | ids_a[found.links_a] * len(pair.b.entries) + ids_b[found.links_b], return_counts=True)
+    return numbers, digests, np.searchsorted(codes >> 32, np.arange(len(texts)), side="right"), codes & 0xFFFFFFFF, links
 
 
 def _aligned(docs: DataFrame, text: str, kept: list[str], paths: tuple[str, str], pattern: str) -> DataFrame:
@@ -191,14 +231,11 @@ def _aligned(docs: DataFrame, text: str, kept: list[str], paths: tuple[str, str]
         pair = load(*paths, pattern)
         for batch in batches:
             for part in text_pieces(batch, text, PIECE_BYTES):
-                bodies = texts_of(part, text)
-                encoded = pair.encode([t.decode() for t in bodies])
-                rows = [_linked(pair, t, a, b) for t, a, b in zip(bodies, *encoded, strict=True)]
-                counts, digests, pairs, links = zip(*rows, strict=True)
-                ends = pa.array(np.cumsum([0, *map(len, pairs)]).astype(np.int32))
+                counts, digests, ends, pairs, links = linked(pair, texts_of(part, text))
+                ends = pa.array(np.concatenate([[0], ends]).astype(np.int32))
                 columns = [
-                    *[part[c] for c in kept], *[pa.array(n, pa.int64()) for n in zip(*counts, strict=True)], pa.array(digests, pa.string()),
-                    *[pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x))) for x in (pairs, links)],
+                    *[part[c] for c in kept], *[pa.array(n) for n in counts.T.copy()], pa.array(digests, pa.string()),
+                    *[pa.ListArray.from_arrays(ends, pa.array(x)) for x in (pairs, links)],
                 ]
                 yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(columns, arrow, strict=True)], schema=arrow)
 
