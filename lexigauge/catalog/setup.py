@@ -6,7 +6,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexigauge.config import MAX_FEATURES, SIGNALS, STOP_WORDS, WEB_WORDS
-from lexigauge.operators.vocab import select_vocabulary, term_statistics, with_idf
+from lexigauge.operators.vocab import vocabulary_of, with_idf
 from lexigauge.operators.weights import signal_scaler
 from lexigauge.plans import corpus as plans
 from lexigauge.plans.fit import Model
@@ -68,7 +68,7 @@ features = partial(plans.features, lexicons=LEXICONS)
 
 def fixed_model(docs: DataFrame) -> Model:
     """From a feature table: its vocabulary, idf and scaler with coefficients by position."""
-    terms = with_idf(select_vocabulary(term_statistics(docs)), docs).withColumn(
+    terms = with_idf(vocabulary_of(docs), docs).withColumn(
         "coef", (F.col("idx") % 7 - 3) * 0.5
     )
     numeric = signal_scaler(docs).withColumn("coef", (F.col("pos") - 2) * 0.2)

@@ -13,7 +13,7 @@ from lexigauge.config import (
     INVERSE_REGULARISATION, MAX_FEATURES, MAX_ITER, MIN_DOC_FREQ, SIGNALS, TOLERANCE,
 )
 from lexigauge.operators.rank import top_per_group
-from lexigauge.operators.vocab import part_statistics, smoothed_idf
+from lexigauge.operators.vocab import frequent_terms, smoothed_idf
 from lexigauge.operators.weights import (
     feature_vectors, intercept_rows, scaler, signal_weight_rows, term_weight_rows, with_vectors,
 )
@@ -57,10 +57,11 @@ def trial_vocabularies(
 ) -> DataFrame:
     """(model, term, idx, tf, df, idf) of every trial, each from its training parts only.
 
-    Terms are counted per part in one shuffle; a trial's counts are sums over its parts.
+    Terms are counted per part for all trials; a trial's counts are sums over its parts.
     """
     parts = sorted({p for t in trials for p in t.train})
-    stats = part_statistics(docs.where(F.col(part).isin(parts)), part, parts)
+    groups = [[parts.index(p) for p in t.train] for t in trials]
+    stats = frequent_terms(docs.where(F.col(part).isin(parts)), part, parts, groups, max_features, min_df)
 
     def total(what, trial):
         return reduce(lambda a, b: a + b, [F.col(f"{what}_{parts.index(p)}") for p in trial.train])
