@@ -31,7 +31,10 @@ def _nfkc_udf():
         from unicodedata import normalize
 
         # Not pyarrow's own utf8_normalize: it leaves some letter-and-accent pairs uncomposed.
-        return pa.array([t if t is None else normalize("NFKC", t) for t in texts.to_pylist()], pa.string())
+        # Some texts at once: as Python strings a batch takes a multiple of its size.
+        parts = (texts.slice(i, 256).to_pylist() for i in range(0, len(texts), 256))
+        made = [pa.array([t if t is None else normalize("NFKC", t) for t in part], pa.string()) for part in parts]
+        return pa.concat_arrays([pa.array([], pa.string()), *made])
 
     return nfkc
 
@@ -73,7 +76,9 @@ def _mime_udf():
             except Exception:  # a broken header stays as it was written
                 return value
 
-        return pa.array([v if v is None else one(v) for v in values.to_pylist()], pa.string())
+        parts = (values.slice(i, 256).to_pylist() for i in range(0, len(values), 256))
+        made = [pa.array([v if v is None else one(v) for v in part], pa.string()) for part in parts]
+        return pa.concat_arrays([pa.array([], pa.string()), *made])
 
     return decode
 

@@ -8,6 +8,7 @@ The table must fit a broadcast, which is measured: `lookup_of` counts as it coll
 operators then join rows of terms instead.
 """
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -21,6 +22,8 @@ from lexigauge import config
 from lexigauge.config import SIGNALS
 
 INTERCEPT = "[intercept]"
+#: Entries of documents that a task looks up at once.
+AT_ONCE = 200_000
 ENTRIES = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("value", T.DoubleType())]))
 #: A sparse vector as MLlib stores it in Parquet.
 VECTOR = T.StructType([
@@ -112,6 +115,21 @@ class Found:
         return pa.array(np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=self.size))]).astype(np.int32))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with AT_ONCE entries of `counted`, or one row: the arrays made of them stay small, however large a batch is."""
+    for batch in batches:
+        ends, done = np.cumsum(pc.fill_null(pc.list_value_length(batch.column("counted")), 0).to_numpy()), 0
+        while done < batch.num_rows:
+            stop = max(int(np.searchsorted(ends, (ends[done - 1] if done else 0) + AT_ONCE, side="right")), done + 1)
+            yield batch.slice(done, stop - done)
+            done = stop
+    # Workers outlive their stage, and the next one needs the memory.
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim is not None:
+        trim(0)
+
+
 def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """Document, term and count of every entry of `counted`."""
     lists = batch.column("counted")
@@ -157,7 +175,7 @@ def per_model(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: Lookup = shared.value
-        for batch in batches:
+        for batch in _pieces(batches):
             for at, found in _found(table, batch):
                 rows = pa.array(at)
                 made = [pa.array(np.full(len(at), table.models[found.model])), *[batch.column(k).take(rows) for k in keys], *map(_arrow, body(found))]
@@ -170,6 +188,17 @@ def _arrow(values: pa.Array | np.ndarray) -> pa.Array:
     return values if isinstance(values, pa.Array) else pa.array(values)
 
 
+def scores(docs: DataFrame, lookup: Lookup, keys: Sequence[str]) -> DataFrame:
+    """(model, keys..., known_terms, z)."""
+
+    def body(found: Found) -> list:
+        m, table = found.model, found.lookup
+        terms = np.bincount(found.doc, found.weight * table.coef[m, found.place], found.size) / found.norm
+        return [found.known_terms, terms + found.signals @ table.signal_coef[m] + table.intercept[m]]
+
+    return per_model(docs, lookup, keys, [("known_terms", T.LongType()), ("z", T.DoubleType())], body)
+
+
 def contributions(docs: DataFrame, lookup: Lookup, keys: Sequence[str]) -> DataFrame:
     """(model, keys..., known_terms, z, contributions): terms and signals by falling size, ties by name."""
 
@@ -221,7 +250,7 @@ def slopes(docs: DataFrame, lookup: Lookup, label: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: Lookup = shared.value
         names = pa.concat_arrays([table.names, pa.array([INTERCEPT])])
-        for batch in batches:
+        for batch in _pieces(batches):
             labels = batch.column(label).to_numpy(zero_copy_only=False).astype(np.float64)
             for at, found in _found(table, batch):
                 m, y = found.model, labels[at]
@@ -253,7 +282,7 @@ def term_weights(docs: DataFrame, vocabulary: DataFrame, key: str) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: Lookup = shared.value
-        for batch in batches:
+        for batch in _pieces(batches):
             doc, terms, counts = _entries(batch)
             place = pc.index_in(terms, value_set=table.terms).fill_null(-1).to_numpy().astype(np.int64)
             here = place >= 0

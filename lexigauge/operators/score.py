@@ -12,10 +12,16 @@ from lexigauge.operators.weights import ROW, norm_of, weighted_entries
 
 
 def score(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
-    """(model, keys..., known_terms, z, p, pred): one row per row of `docs`. Shuffles one small row per document.
+    """(model, keys..., known_terms, z, p, pred): one row per row of `docs` and model, made in the document's row: no shuffle.
 
     `keys` are carried along; rows that repeat one are scored each for itself.
     """
+    lookup = lookup_of(weights)
+    return joined_score(docs, weights, keys, rows) if lookup is None else _judged(inrow.scores(docs, lookup, keys))
+
+
+def joined_score(docs: DataFrame, weights: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """The same for a weight table of any size, by a join of features. Shuffles one small row per document."""
     is_term, value, part = F.col("is_term"), F.col("value"), F.col("value") * F.col("coef")
     return (
         weighted_entries(docs, weights, keys, rows)
