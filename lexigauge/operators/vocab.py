@@ -117,9 +117,3 @@ def _last_wanted(found: DataFrame, group: Sequence[int], max_features: int, min_
     kept = found.where(_over([group], "df", min_df)).select(_summed("tf", group).alias("n")).orderBy(F.desc("n")).limit(max_features)
     row = kept.agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("n")).first()
     return row["n"] if row["rows"] == max_features else 0
-
-
-def vocabulary_of(df: DataFrame, max_features: int = MAX_FEATURES, min_df: int = MIN_DOC_FREQ) -> DataFrame:
-    """`select_vocabulary` of the `term_statistics` of a table, without counting terms too rare for it by their strings."""
-    whole = frequent_terms(df.withColumn("_part", F.lit(0)), "_part", [0], [[0]], max_features, min_df)
-    return select_vocabulary(whole.withColumnsRenamed({"tf_0": "tf", "df_0": "df"}), max_features, min_df)
