@@ -10,7 +10,7 @@ from lexigauge.operators.rank import stratified_folds, stratified_split
 from lexigauge.operators import inrow
 from lexigauge.operators.score import score
 from lexigauge.plans.fit import Model, Trial, assign_trials, fit_trials
-from lexigauge.sources.scratch import materialize
+from lexigauge.sources.scratch import materialize, small_batches
 
 
 def fold_trials(folds: int = FOLDS) -> list[Trial]:
@@ -86,6 +86,12 @@ def transfer_summary(outcomes: DataFrame, trials: Sequence[Trial]) -> DataFrame:
     )
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """`df`, which counts or looks up terms in Python, written."""
+    with small_batches(df.sparkSession):
+        return materialize(df, name)
+
+
 def slim(features: DataFrame, *extra: str) -> DataFrame:
     """What fitting and scoring need of a feature table."""
     return features.select("doc_id", "grp", "y", *extra, *SIGNALS, "counted")
@@ -96,7 +102,7 @@ def with_part(features: DataFrame, part: str, assign: Callable[[DataFrame], Data
 
     The features are made and written once; ranking reads and shuffles two short columns of that. A text occurs once.
     """
-    slimmed = materialize(slim(features, "text_hash"), "features")
+    slimmed = _written(slim(features, "text_hash"), "features")
     parts = assign(slimmed.select("grp", "text_hash")).select("text_hash", part)
     return materialize(slimmed.join(parts, "text_hash").drop("text_hash"), part)
 
@@ -108,7 +114,7 @@ def cross_validate(
     docs = with_part(features, "fold", lambda df: stratified_folds(df, "grp", folds, seed))
     trials = fold_trials(folds)
     model = fitter(docs, "fold", trials, **fit)
-    return fold_summary(outcome_counts(predictions(docs, "fold", trials, model)))
+    return fold_summary(_written(outcome_counts(predictions(docs, "fold", trials, model)), "outcomes"))
 
 
 def split_features(features: DataFrame, share: float = TEST_SHARE, seed: int = SEED) -> DataFrame:
@@ -122,7 +128,7 @@ def hold_out(
     """The exported model, its test predictions and their summary."""
     docs = split_features(features, share, seed)
     model = fitter(docs, "split", HOLDOUT, **fit)
-    predicted = materialize(predictions(docs, "split", HOLDOUT, model), "predicted")
+    predicted = _written(predictions(docs, "split", HOLDOUT, model), "predicted")
     return model, predicted, holdout_summary(outcome_counts(predicted))
 
 
@@ -150,7 +156,7 @@ def cross_origin(
     features: DataFrame, pairs: Sequence[tuple[str, str]], fitter: Callable[..., Model] = fit_trials, **fit
 ) -> DataFrame:
     """Fit on one origin, test on another, for the pairs given; see `transfer_summary`."""
-    docs = materialize(slim(features, "origin"), "origins")
+    docs = _written(slim(features, "origin"), "origins")
     trials = origin_trials(pairs)
     model = fitter(docs, "origin", trials, **fit)
-    return transfer_summary(outcome_counts(predictions(docs, "origin", trials, model)), trials)
+    return transfer_summary(_written(outcome_counts(predictions(docs, "origin", trials, model)), "outcomes"), trials)

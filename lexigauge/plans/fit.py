@@ -17,7 +17,7 @@ from lexigauge.operators.vocab import frequent_terms, smoothed_idf
 from lexigauge.operators.weights import (
     feature_vectors, intercept_rows, scaler, signal_weight_rows, term_weight_rows, with_vectors,
 )
-from lexigauge.sources.scratch import materialize
+from lexigauge.sources.scratch import materialize, small_batches
 
 FITS_AT_ONCE = 8
 ROWS_PER_TASK = 20_000
@@ -120,6 +120,19 @@ def trial_weights(
     return Model(weights, len(trials) * (max_features + len(SIGNALS) + 1)), sizes
 
 
+def fits_at_once(rows: int, cores: int) -> int:
+    """How many fits of so many rows run side by side: as many as fill the cores, and one more for the pauses between their passes.
+
+    A fit keeps its rows in memory until it ends. One with more tasks than there are cores runs alone, so those kept at a time
+    are the rows of one fit, or 2 * ROWS_PER_TASK a core.
+    """
+    return min(FITS_AT_ONCE, 1 + cores // max(_tasks(rows), 1))
+
+
+def _tasks(rows: int) -> int:
+    return -(-rows // ROWS_PER_TASK)
+
+
 def fixed_trials(
     docs: DataFrame, part: str, trials: Sequence[Trial], max_features: int = MAX_FEATURES, min_df: int = MIN_DOC_FREQ,
     coef: Column | None = None, intercept: float = 0.0,
@@ -145,7 +158,10 @@ def fit_trials(
     weights, rows = bare.weights, bare.rows
     training = assign_trials(docs, part, trials, "train")
     stored = feature_vectors(training, weights, ["y"], rows, max_features)
-    matrix = materialize(stored, "matrix", ["model"], with_vectors(stored.schema))
+    most, cores = max(sizes.values(), default=0), spark.sparkContext.defaultParallelism
+    # A task writes a file per model: as many rows in each as a fit's task works on, not those of one split of the documents.
+    with small_batches(spark):
+        matrix = materialize(stored.coalesce(max(_tasks(most), cores)), "matrix", ["model"], with_vectors(stored.schema))
 
     def fit(trial: Trial):
         # The objective of sum(log loss) * C + |w|^2 / 2, with a free intercept, in MLlib's scale.
@@ -155,11 +171,11 @@ def fit_trials(
         )
         rows = matrix.where(F.col("model") == trial.model)
         # Hundreds of short passes: few rows are best kept in few tasks.
-        tasks = -(-sizes[trial.model] // ROWS_PER_TASK)
+        tasks = _tasks(sizes[trial.model])
         fitted = lr.fit(rows.coalesce(tasks) if tasks < rows.rdd.getNumPartitions() else rows)
         return trial.model, fitted.intercept, fitted.coefficients.toArray()
 
-    with ThreadPoolExecutor(min(FITS_AT_ONCE, len(trials))) as pool:
+    with ThreadPoolExecutor(min(fits_at_once(most, cores), len(trials))) as pool:
         results = list(pool.map(inheritable_thread_target(spark)(fit), trials))
 
     # Vocabulary-sized: max_features + 6 numbers per model.

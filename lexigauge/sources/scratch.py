@@ -4,11 +4,15 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+#: Bytes of rows that a task hands to Python at once in `small_batches`. Spark's own figure is 64 MB.
+BATCH_BYTES = 8 << 20
+
 _local_dir: str | None = None
 _written: list[str] = []
 
@@ -44,6 +48,24 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = (), sche
     return spark.read.schema(df.schema if schema is None else schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What is written meanwhile goes to Python BATCH_BYTES at a time.
+
+    For rows with long arrays: JVM and worker both hold a batch, with room to grow, outside the heap, and every core has one of each.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def release(spark: SparkSession) -> None:
     """Delete the intermediate tables of this program. Results that still read them stop working."""
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()

@@ -9,8 +9,11 @@ from lexigauge.config import SIGNALS
 from lexigauge.functions.clean import decode_subject, nfkc
 from lexigauge.functions.terms import run_lengths, term_counts, terms
 from lexigauge.operators import inrow, score, vocab
+from lexigauge.plans import fit
+from lexigauge.plans.fit import Trial, fits_at_once
 from lexigauge.sources.files import read_last_comma
-from lexigauge.sources.scratch import materialize
+from lexigauge.sources import scratch
+from lexigauge.sources.scratch import materialize, small_batches
 
 
 @pytest.fixture(scope="module")
@@ -60,6 +63,62 @@ def test_scores_are_made_in_the_row(spark, counted):
     assert rounded(own).exceptAll(rounded(joined)).isEmpty()
 
 
+@pytest.mark.parametrize("rows, cores, fits", [(1, 8, 8), (15_000, 6, 7), (80_000, 6, 2), (80_000, 12, 4), (240_001, 12, 1), (900_000, 12, 1), (9_000_000, 12, 1)])
+def test_fits_side_by_side_fill_the_cores_and_no_more(rows, cores, fits):
+    """The rows that fits keep in memory together: those of one fit, or twice a task's share of every core."""
+    assert fits_at_once(rows, cores) == fits
+    assert fits == 1 or fits * rows <= 2 * fit.ROWS_PER_TASK * cores
+
+
+def test_large_fits_take_turns_and_write_few_files(spark, counted, monkeypatch):
+    """Fits of more tasks than cores run one after the other, with the coefficients of fits side by side; files of the matrix follow rows, not splits."""
+    signals = [(F.pmod("doc_id", F.lit(3 + i)) / 2).alias(n) for i, n in enumerate(SIGNALS)]
+    docs = materialize(counted.repartition(60).select("doc_id", "part", F.when(F.col("low").contains("dog"), 1).otherwise(0).alias("y"), *signals, "counted"), "docs")
+    trials = [Trial(i, f"without {i}", tuple(j for j in range(3) if j != i), (i,)) for i in range(3)]
+    pools, written, batches, pool, write = [], {}, {}, fit.ThreadPoolExecutor, fit.materialize
+    size = lambda: spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    monkeypatch.setattr(fit, "ThreadPoolExecutor", lambda n: pools.append(n) or pool(n))
+    monkeypatch.setattr(fit, "materialize", lambda df, name, *a: batches.update({name: size()}) or written.setdefault(name, write(df, name, *a)))
+
+    splits = spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def coefficients():
+        written.clear()
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        try:
+            model = fit.fit_trials(docs, "part", trials, 30, tol=1e-9)
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", splits)
+        files = [sum(f"model={t.model}/" in f for f in written["matrix"].inputFiles()) for t in trials]
+        return {(r["model"], r["key"]): r["coef"] for r in model.weights.collect()}, files
+
+    usual = size()
+    together, files = coefficients()
+    assert batches["matrix"] == str(scratch.BATCH_BYTES) and size() == usual
+    assert max(files) <= spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(fit, "ROWS_PER_TASK", 100)
+    alone, files = coefficients()
+    assert max(files) <= -(-counted.count() // 100) and pools == [3, 1]
+    assert alone.keys() == together.keys() and all(alone[k] == pytest.approx(together[k], abs=1e-4) for k in together)
+
+
+def test_small_batches_reach_python_and_end(spark, counted, monkeypatch):
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "bytes"])
+
+    one = counted.coalesce(1).select("counted")
+    sizes = lambda: [(r["n"], r["bytes"]) for r in materialize(one.mapInArrow(run, "n long, bytes long"), "sizes").collect()]
+    monkeypatch.setattr(scratch, "BATCH_BYTES", 50_000)
+    whole = sizes()
+    with small_batches(spark):
+        parts = sizes()
+    with pytest.raises(ValueError), small_batches(spark):
+        raise ValueError
+    assert len(parts) > 4 * len(whole) and max(b for _, b in parts) < 100_000
+    assert sum(n for n, _ in parts) == sum(n for n, _ in whole) == counted.count() and len(sizes()) == len(whole)
+
+
 def test_a_batch_is_looked_up_in_pieces(monkeypatch):
     monkeypatch.setattr(inrow, "AT_ONCE", 10)
     lists = [[{"term": "a", "cnt": 1.0}] * n for n in (4, 6, 1, 25, 0, 0, 9, 2)] + [None]
